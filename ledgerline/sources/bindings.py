@@ -12,25 +12,34 @@ the Parquet scans underneath.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.sources.tables import Tables
 
 
-@dataclass
 class Roles:
-    """E-commerce role frames plus the literals that mark statuses/events."""
+    """E-commerce role frames plus the literals that mark statuses/events.
+
+    Frames are built on first access only: constructing a DataFrame reads
+    Parquet footers and analyzes the plan, so a pipeline that needs two
+    roles should not pay for five.
+    """
+
+    ROLE_NAMES = ("products", "customers", "customers_geo", "orders", "clickstream", "recommendations")
+
+    def __init__(self, builders: dict, literals: dict | None = None):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+        self.literals = dict(literals or {})
 
-    products: DataFrame
-    customers: DataFrame
-    customers_geo: DataFrame
-    orders: DataFrame
-    clickstream: DataFrame
-    recommendations: DataFrame
-    literals: dict = field(default_factory=dict)
+    def __getattr__(self, name: str) -> DataFrame:
+        builders = self.__dict__.get("_builders", {})
+        if name not in builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = builders[name]()
+        return self._built[name]
 
     def lit(self, name: str) -> str:
         return self.literals.get(name, DEFAULT_LITERALS[name])
@@ -142,11 +151,13 @@ def driver_recommendations(t: Tables) -> DataFrame:
 def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
     t = Tables(spark, sf_dir)
     return Roles(
-        products=driver_products(t),
-        customers=driver_customers(t),
-        customers_geo=driver_customers_geo(t),
-        orders=driver_orders(t),
-        clickstream=driver_clickstream(t),
-        recommendations=driver_recommendations(t),
-        literals=dict(DRIVER_LITERALS),
+        {
+            "products": lambda: driver_products(t),
+            "customers": lambda: driver_customers(t),
+            "customers_geo": lambda: driver_customers_geo(t),
+            "orders": lambda: driver_orders(t),
+            "clickstream": lambda: driver_clickstream(t),
+            "recommendations": lambda: driver_recommendations(t),
+        },
+        DRIVER_LITERALS,
     )
