@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.plans import reports, retail
+from ledgerline.sources import catalog
+from ledgerline.sources import generate as G
 from ledgerline.sources.bindings import driver_roles
 from ledgerline.sources.tables import Tables
 
@@ -132,6 +134,49 @@ def q_display_format(spark, sf_dir):
     return reports.events_display(Tables(spark, sf_dir).events)
 
 
+# ------------------------------------------------------------ generators
+# The seed jobs generate from spark.range; the registered forms take their
+# ids (and customer foreign keys) from the driver tables, so the work grows
+# with the data.
+def q_gen_customers(spark, sf_dir):
+    return G.customers(Tables(spark, sf_dir).customer.select(F.col("c_custkey").alias("id")))
+
+
+def q_gen_orders(spark, sf_dir):
+    ids = Tables(spark, sf_dir).orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_num"))
+    return G.orders(ids, G.products(spark))
+
+
+def q_gen_clickstream(spark, sf_dir):
+    ids = Tables(spark, sf_dir).events.select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("customer_num"))
+    return G.clickstream(ids)
+
+
+def q_gen_recommendations(spark, sf_dir):
+    ids = Tables(spark, sf_dir).orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_num"))
+    return G.recommendations(ids)
+
+
+WIDE_COLUMNS = 50
+WIDE_SEED = G.SEED_WIDE["large_dim_100k"]
+
+
+def q_gen_wide(spark, sf_dir):
+    ids = Tables(spark, sf_dir).part.select(F.col("p_partkey").alias("id"))
+    return G.wide(ids, WIDE_COLUMNS, WIDE_SEED)
+
+
+SHAPE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def q_table_shapes(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return catalog.shapes({n: getattr(t, n) for n in SHAPE_TABLES})
+
+
 SCAN_TABLES = ("lineitem", "orders", "customer", "events")
 
 QUERIES: dict[str, Query] = {
@@ -155,6 +200,12 @@ QUERIES: dict[str, Query] = {
     "meta_left_join": q_meta_left_join,
     "total_row": q_total_row,
     "display_format": q_display_format,
+    "gen_customers": q_gen_customers,
+    "gen_orders": q_gen_orders,
+    "gen_clickstream": q_gen_clickstream,
+    "gen_recommendations": q_gen_recommendations,
+    "gen_wide": q_gen_wide,
+    "table_shapes": q_table_shapes,
 }
 
 
@@ -306,3 +357,30 @@ FROM events
 GROUP BY event_type
 """,
 }
+
+
+def _gen_orders_sql() -> str:
+    lines = G.generator_sql(
+        G.order_columns("duckdb"), "SELECT o_orderkey AS id, o_custkey AS customer_num FROM orders")
+    cols = ", ".join("p.price AS unit_price" if c == "unit_price" else f"g.{c}" for c in G.ORDER_COLUMNS)
+    return f"SELECT {cols} FROM ({lines}) g JOIN ({G.products_sql()}) p ON g.product_id = p.product_id"
+
+
+_DECLARED_COLS = {
+    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+}
+
+ORACLE_SQL.update({
+    "gen_customers": G.generator_sql(G.customer_columns("duckdb"), "SELECT c_custkey AS id FROM customer"),
+    "gen_orders": _gen_orders_sql(),
+    "gen_clickstream": G.generator_sql(
+        G.clickstream_columns("duckdb"), "SELECT event_id AS id, user_id AS customer_num FROM events"),
+    "gen_recommendations": G.generator_sql(
+        G.recommendation_columns("duckdb"), "SELECT o_orderkey AS id, o_custkey AS customer_num FROM orders"),
+    "gen_wide": G.generator_sql(
+        G.wide_columns("duckdb", WIDE_COLUMNS, WIDE_SEED), "SELECT p_partkey AS id FROM part"),
+    "table_shapes": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\", CAST({_DECLARED_COLS[t]} AS INTEGER) AS cols FROM {t}"
+        for t in SHAPE_TABLES
+    ),
+})
