@@ -215,7 +215,7 @@ TOP_RECOMMENDATIONS_SQL = """
 SELECT r.customer_id, p.product_name, p.category, r.score, r.reason
 FROM {recommendations} r
 JOIN {products} p ON r.product_id = p.product_id
-WHERE r.score > :min_score
+WHERE r.score > CAST(:min_score AS {score_type})
 ORDER BY r.score DESC, r.customer_id, p.product_name, p.category, r.reason
 LIMIT :k
 """
@@ -225,8 +225,11 @@ def top_recommendations_sql(
     spark: SparkSession, recommendations: DataFrame, products: DataFrame,
     min_score: float = 0.7, k: int = 20,
 ) -> DataFrame:
+    # the literal takes the column's type, as in the DataFrame form
+    score_type = recommendations.schema["score"].dataType.simpleString()
+    text = TOP_RECOMMENDATIONS_SQL.replace("{score_type}", score_type)
     return spark.sql(
-        TOP_RECOMMENDATIONS_SQL, args={"min_score": min_score, "k": k},
+        text, args={"min_score": min_score, "k": k},
         recommendations=recommendations, products=products,
     )
 
