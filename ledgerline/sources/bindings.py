@@ -26,7 +26,8 @@ class Roles:
     roles should not pay for five.
     """
 
-    ROLE_NAMES = ("products", "customers", "customers_geo", "orders", "clickstream", "recommendations")
+    ROLE_NAMES = ("products", "customers", "customers_geo", "orders", "order_headers", "order_lines",
+                  "clickstream", "recommendations")
 
     def __init__(self, builders: dict, literals: dict | None = None):
         self._builders = builders
@@ -123,6 +124,26 @@ def driver_orders(t: Tables) -> DataFrame:
     )
 
 
+def driver_order_headers(t: Tables) -> DataFrame:
+    """orders → order headers (one row per order)."""
+    return t.orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+def driver_order_lines(t: Tables) -> DataFrame:
+    """lineitem → order lines without header columns."""
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("unit_price"),
+    )
+
+
 def driver_clickstream(t: Tables) -> DataFrame:
     """events → clickstream: ten consecutive event ids form a session and
     the product is the ``k`` field of the JSON ``props``."""
@@ -156,6 +177,8 @@ def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
             "customers": lambda: driver_customers(t),
             "customers_geo": lambda: driver_customers_geo(t),
             "orders": lambda: driver_orders(t),
+            "order_headers": lambda: driver_order_headers(t),
+            "order_lines": lambda: driver_order_lines(t),
             "clickstream": lambda: driver_clickstream(t),
             "recommendations": lambda: driver_recommendations(t),
         },
