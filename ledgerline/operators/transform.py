@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.schema import schema_of
+from ledgerline.session import ship_package
 
 
 def transform(
@@ -37,9 +38,13 @@ def transform(
             res = fn(pdf)
             yield res[names]
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, out_schema)
 
 
 def series_udf(fn: Callable[[pd.Series], pd.Series], return_type: str | T.DataType) -> Callable[..., Column]:
-    """Element-wise function over a Series as an Arrow-batched pandas UDF."""
+    """Element-wise function over a Series as an Arrow-batched pandas UDF.
+
+    Call ``ledgerline.session.ship_package(spark)`` first when ``fn`` lives
+    in a module the executors cannot import."""
     return F.pandas_udf(fn, returnType=return_type)

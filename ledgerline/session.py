@@ -64,6 +64,29 @@ def build_session(
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in executor Python workers.
+
+    Only Python-side operators (``mapInPandas``, pandas UDFs) need it. The
+    package directory is distributed with ``SparkContext.addFile`` (recursive);
+    Python workers put the SparkFiles root on ``sys.path``. Where the package
+    is installed on the executors already, this is a harmless no-op.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    try:
+        sc.addFile(pkg_dir, recursive=True)
+    except Exception:  # noqa: BLE001 - already registered for this application
+        pass
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
