@@ -29,8 +29,18 @@ def seed_ecommerce(
     sizes: dict | None = None,
     fmt: str = "parquet",
     max_records_per_file: int = 5_000_000,
+    buckets: int | None = 16,
 ) -> DataFrame:
-    """Q14: namespace → five tables → ``(table, rows)`` counts read back."""
+    """Q14: namespace → five tables → ``(table, rows)`` counts read back.
+
+    With ``buckets`` (default 16; size it so one bucket is ~128–512 MB at
+    the target scale), customers and orders are bucketed on ``customer_id``
+    and clickstream on ``session_id``: the order/customer join (Q3) and the
+    per-session aggregation (Q4) then read co-located data without a shuffle
+    even when no side can be broadcast. ``None`` writes unbucketed tables.
+    """
+    by_customer = (buckets, ["customer_id"]) if buckets else None
+    by_session = (buckets, ["session_id"]) if buckets else None
     n = {
         "customers": G.NUM_CUSTOMERS, "orders": G.NUM_ORDERS,
         "clickstream": G.NUM_CLICKSTREAM, "recommendations": G.NUM_RECOMMENDATIONS,
@@ -42,15 +52,16 @@ def seed_ecommerce(
 
     catalog.write_table(G.products(spark), fq["products"], "replace", fmt)
     catalog.write_table(
-        G.customers(G.id_range(spark, n["customers"])), fq["customers"], "replace", fmt, max_records_per_file
+        G.customers(G.id_range(spark, n["customers"])), fq["customers"], "replace", fmt, max_records_per_file,
+        bucket_by=by_customer,
     )
     catalog.write_table(
         G.orders(G.id_range(spark, n["orders"], n["customers"], seed=G.SEED_ORDERS), G.products(spark)),
-        fq["orders"], "replace", fmt, max_records_per_file,
+        fq["orders"], "replace", fmt, max_records_per_file, bucket_by=by_customer,
     )
     catalog.write_table(
         G.clickstream(G.id_range(spark, n["clickstream"], n["customers"], seed=G.SEED_CLICKS)),
-        fq["clickstream"], "replace", fmt, max_records_per_file,
+        fq["clickstream"], "replace", fmt, max_records_per_file, bucket_by=by_session,
     )
     catalog.write_table(
         G.recommendations(G.id_range(spark, n["recommendations"], n["customers"], seed=G.SEED_RECS)),

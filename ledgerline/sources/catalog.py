@@ -10,7 +10,7 @@ append, because the V2 calls are unsupported on V1 tables there.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +52,15 @@ def write_table(
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
     partition_by: Iterable[str] = (),
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> None:
     """S8 (``mode="replace"``) and S9 (``mode="append"``): one distributed
-    write; every task writes its own files, nothing goes through the driver."""
+    write; every task writes its own files, nothing goes through the driver.
+
+    ``bucket_by=(n, cols)`` stores the table hash-bucketed on ``cols``:
+    later joins and aggregations on those keys between tables bucketed the
+    same way read co-located data and skip the shuffle.
+    """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     spark = df.sparkSession
@@ -67,8 +73,14 @@ def write_table(
             w.append()
         else:
             w = w.using(fmt)
-            if partition_by:
-                w = w.partitionedBy(*[F.col(c) for c in partition_by])
+            parts = [F.col(c) for c in partition_by]
+            if bucket_by:
+                from pyspark.sql.functions import partitioning
+
+                n, cols = bucket_by
+                parts += [partitioning.bucket(n, F.col(c)) for c in cols]
+            if parts:
+                w = w.partitionedBy(*parts)
             w.createOrReplace()
         return
     w = df.write.format(fmt).mode("overwrite" if mode == "replace" else "append")
@@ -76,6 +88,9 @@ def write_table(
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(fqn)
 
 

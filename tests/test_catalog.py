@@ -94,3 +94,38 @@ def test_step_summary_from_timings(spark):
     steps = timing.step_log(spark, {"1. Load": 0.5, "2. Query": 0.25})
     out = {r.step: r.time_s for r in reports.step_summary(steps).collect()}
     assert out["TOTAL"] == "0.750"
+
+
+def _exchanges(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return [line for line in buf.getvalue().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_bucketed_seed_tables_skip_shuffles(spark):
+    from ledgerline.plans import retail
+
+    sizes = {"customers": 40, "orders": 800, "clickstream": 1000, "recommendations": 100}
+    seed.seed_ecommerce(spark, "ll_bkt", sizes=sizes, buckets=4)
+    o, c, p = (spark.read.table(f"ll_bkt.{t}") for t in ("orders", "customers", "products"))
+    cs = spark.read.table("ll_bkt.clickstream")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:  # the 100 TB regime: nothing is small enough to broadcast
+            spark.conf.set(k, "-1")
+        q3 = retail.order_enrichment(o, c, p)
+        assert not any("customer_id" in line for line in _exchanges(q3))
+        q4 = retail.session_summary(cs)
+        assert _exchanges(q4) == []
+        # results are unchanged by the layout
+        flat = {t: spark.read.table(f"ll_bkt.{t}").repartition(3) for t in ("orders", "customers")}
+        assert sorted(map(tuple, q3.collect())) == sorted(
+            map(tuple, retail.order_enrichment(flat["orders"], flat["customers"], p).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
