@@ -95,6 +95,11 @@ def q_top_recommendations(spark, sf_dir):
     return retail.top_recommendations(r.recommendations, r.products, min_score=0.07, k=20)
 
 
+def q_top_recommendations_prefiltered(spark, sf_dir):
+    r = driver_roles(spark, sf_dir)
+    return retail.top_recommendations_prefiltered(r.recommendations, r.products, min_score=0.07, k=20)
+
+
 def q_product_units(spark, sf_dir):
     r = driver_roles(spark, sf_dir)
     return retail.product_units(r.orders, r.lit("completed"))
@@ -199,6 +204,7 @@ QUERIES: dict[str, Query] = {
     "session_summary": q_session_summary,
     "session_summary_top20": q_session_summary_top20,
     "top_recommendations": q_top_recommendations,
+    "top_recommendations_prefiltered": q_top_recommendations_prefiltered,
     "product_units": q_product_units,
     "product_units_top5": q_product_units_top5,
     "category_revenue": q_category_revenue,
@@ -254,6 +260,15 @@ FROM events
 GROUP BY 1, 2
 """
 
+_TOP_RECS = """
+SELECT l.l_orderkey AS customer_id, p.p_name AS product_name, p.p_type AS category,
+       l.l_discount AS score, l.l_returnflag AS reason
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE l.l_discount > 0.07
+ORDER BY score DESC, customer_id, product_name, category, reason
+LIMIT 20
+"""
+
 _PRODUCT_UNITS = """
 SELECT l.l_partkey AS product_id, COUNT(*) AS order_count, SUM(l.l_quantity) AS total_units
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -298,15 +313,9 @@ ORDER BY order_count DESC
 """,
     "session_summary": _SESSION,
     "session_summary_top20": f"SELECT * FROM ({_SESSION}) s ORDER BY session_id, customer_id LIMIT 20",
-    "top_recommendations": """
-SELECT l.l_orderkey AS customer_id, p.p_name AS product_name, p.p_type AS category,
-       l.l_discount AS score, l.l_returnflag AS reason
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-WHERE l.l_discount > 0.07
-ORDER BY score DESC, customer_id, product_name, category, reason
-LIMIT 20
-""",
+    "top_recommendations": _TOP_RECS,
     "product_units": _PRODUCT_UNITS + "ORDER BY total_units DESC",
+    "top_recommendations_prefiltered": _TOP_RECS,
     "product_units_top5": f"SELECT * FROM ({_PRODUCT_UNITS}) u ORDER BY total_units DESC, product_id, order_count LIMIT 5",
     "category_revenue": """
 SELECT p.p_type AS category,

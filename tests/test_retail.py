@@ -196,3 +196,32 @@ def test_plan_q8_aggregates_before_join(spark):
     # the per-product aggregate sits below the product join
     join_line = next(i for i, line in enumerate(head.splitlines()) if "Join" in line)
     assert any("HashAggregate" in line for line in head.splitlines()[join_line:])
+
+
+def test_prefiltered_top_k_equals_join_first(spark, seeded):
+    recs, prods = seeded["recommendations"], seeded["products"]
+    for k in (1, 20, 137):
+        a = retail.top_recommendations(recs, prods, 0.7, k).collect()
+        b = retail.top_recommendations_prefiltered(recs, prods, 0.7, k).collect()
+        assert a == b and len(a) == k
+
+
+def test_prefiltered_top_k_edges(spark, products):
+    schema = "customer_id string, product_id string, score float, reason string"
+    rows = [
+        ("C1", "NOPE", 0.99, "r"),      # best line has no product: forces the fallback
+        ("C2", "PROD-001", 0.95, "r"),
+        (None, "PROD-002", 0.95, "r"),  # NULL customer sorts first among ties
+        ("C3", "PROD-003", 0.90, "r"),
+        ("C3", "PROD-004", 0.90, "r"),  # tie on (score, customer) at the cut
+        ("C4", "PROD-005", 0.80, "r"),
+    ]
+    recs = spark.createDataFrame(rows, schema)
+    for k in (1, 2, 3, 4, 10):
+        a = retail.top_recommendations(recs, products, 0.7, k).collect()
+        b = retail.top_recommendations_prefiltered(recs, products, 0.7, k).collect()
+        assert a == b, k
+    ok = spark.createDataFrame([r for r in rows if r[1] != "NOPE"], schema)
+    for k in (2, 3):
+        assert (retail.top_recommendations(ok, products, 0.7, k).collect()
+                == retail.top_recommendations_prefiltered(ok, products, 0.7, k).collect())
