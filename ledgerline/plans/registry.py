@@ -54,6 +54,10 @@ def q_margin_tier_transform(spark, sf_dir):
     return retail.margin_tier_transform(driver_roles(spark, sf_dir).products)
 
 
+def q_margin_tier_udf(spark, sf_dir):
+    return retail.margin_tier_udf(driver_roles(spark, sf_dir).products)
+
+
 def q_customer_segmentation(spark, sf_dir):
     return retail.segmentation(
         driver_roles(spark, sf_dir).customers_geo, keys=("segment", "region"), measure="acctbal",
@@ -199,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "product_margin": q_product_margin,
     "margin_tier_native": q_margin_tier_native,
     "margin_tier_transform": q_margin_tier_transform,
+    "margin_tier_udf": q_margin_tier_udf,
     "customer_segmentation": q_customer_segmentation,
     "order_date_range": q_order_date_range,
     "session_summary": q_session_summary,
@@ -294,6 +299,7 @@ ORDER BY margin DESC
 """,
     "margin_tier_native": _TIER,
     "margin_tier_transform": _TIER,
+    "margin_tier_udf": _TIER,
     "customer_segmentation": """
 SELECT c.c_mktsegment AS segment, r.r_name AS region,
        COUNT(*) AS customer_count,

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from ledgerline.functions import scalar as S
 from ledgerline.operators.order import top_k
-from ledgerline.operators.transform import transform
+from ledgerline.operators.transform import series_udf, transform
+from ledgerline.session import ship_package
 
 
 # --------------------------------------------------------------------- Q1
@@ -371,6 +372,27 @@ def margin_tier_native(products: DataFrame) -> DataFrame:
     ).orderBy(F.desc("price"))
 
 
+def tier_of_pct(pct: pd.Series) -> pd.Series:
+    """Element-wise tier of a percentage Series (vectorized form of the
+    reference's per-element lambda); NaN/NULL is 'low'."""
+    x = pd.to_numeric(pct, errors="coerce").astype("float64")
+    return pd.Series(
+        np.select([x >= S.HIGH_TIER_MIN, x >= S.MEDIUM_TIER_MIN], ["high", "medium"], default="low"),
+        index=pct.index,
+    )
+
+
+def margin_tier_udf(products: DataFrame) -> DataFrame:
+    """Q7 with U3: the percentage stays a JVM expression; only the tier
+    function runs in Python, as an Arrow-batched pandas UDF."""
+    ship_package(products.sparkSession)
+    tier = series_udf(tier_of_pct, "string")
+    return products.select(
+        "product_name", "category", "price", "cost",
+        tier(S.margin_pct_raw().cast("double")).alias("margin_tier"),
+    ).orderBy(F.desc("price"))
+
+
 def margin_tier_transform(products: DataFrame) -> DataFrame:
     """Q7 as in the reference: ``TRANSFORM products USING classify_margin``
     (schema ``*, margin_tier:str``), then select and order."""

@@ -63,11 +63,12 @@ def test_product_margin_golden(products):
         assert r.margin_pct == Decimal(pct)
 
 
-@pytest.mark.parametrize("form", ["native", "transform", "sql"])
+@pytest.mark.parametrize("form", ["native", "transform", "udf", "sql"])
 def test_margin_tier_golden(spark, products, form):
     fn = {
         "native": retail.margin_tier_native,
         "transform": retail.margin_tier_transform,
+        "udf": retail.margin_tier_udf,
         "sql": lambda p: retail.margin_tier_sql(spark, p),
     }[form]
     rows = fn(products).collect()
@@ -91,7 +92,8 @@ def test_margin_tier_edges(spark):
     native = {r.product_name: r.margin_tier for r in retail.margin_tier_native(extra).collect()}
     trans = {r.product_name: r.margin_tier for r in retail.margin_tier_transform(extra).collect()}
     sql = {r.product_name: r.margin_tier for r in retail.margin_tier_sql(spark, extra).collect()}
-    assert native == trans == sql == {"Free": "low", "Cheap": "low", "Edge": "medium"}
+    udf = {r.product_name: r.margin_tier for r in retail.margin_tier_udf(extra).collect()}
+    assert native == trans == sql == udf == {"Free": "low", "Cheap": "low", "Edge": "medium"}
     pct = {r.product_id: r.margin_pct for r in retail.product_margin(extra).collect()}
     assert pct["X-1"] is None  # try_divide: no ANSI error on a zero price
 
