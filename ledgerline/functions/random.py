@@ -7,11 +7,14 @@ writes the same table. Each helper renders one SQL expression for a
 or ``"duckdb"`` (used by the oracle) — from the same arithmetic, so both
 engines compute identical values.
 
-Mixing: ``x = (pmod(id, M) * a + b) mod M``, then ``x = (x² + c) mod M``,
-then ``x = (x * a2 + b2) mod M`` with M = 2³¹−1. Every intermediate stays
-below 2⁶², so 64-bit arithmetic never overflows (ANSI mode raises on
-overflow). Each salt gets its own multipliers, so columns are not
-correlated with each other.
+Mixing, with M = 2³¹−1: a per-row part shared by every column,
+``m = ((pmod(id, M) * A + B) mod M)² + C) mod M`` (non-linear), then a
+per-column affine step ``(m * a + b) mod M`` whose constants come from the
+salt. The shared part is textually identical in every column, so Spark's
+subexpression elimination computes it once per row and each generated
+column adds only a multiply and a modulo — a 50-column table stays small
+enough for the JIT to compile. Every intermediate stays below 2⁶², so
+64-bit arithmetic never overflows (ANSI mode raises on overflow).
 """
 
 from __future__ import annotations
@@ -24,27 +27,29 @@ from pyspark.sql import functions as F
 MODULUS = 2147483647  # 2^31 - 1
 
 
-def _constants(salt: int) -> tuple[int, int, int, int, int]:
+# Constants of the shared per-row mix.
+_A, _B, _C = 1103515245, 12345, 2147480009
+
+
+def _constants(salt: int) -> tuple[int, int]:
+    m = MODULUS
+    a = 69621 + (salt * 2654435761) % (m - 69622)
+    b = (salt * 15485863 + 99991) % m
+    return a, b
+
+
+def row_mix_sql(id_sql: str, dialect: str = "spark") -> str:
+    """The salt-independent, non-linear part of the mix (one per row)."""
     m = MODULUS
-    a = 48271 + (salt * 2654435) % (m - 48272)
-    b = (salt * 7919 + 12345) % m
-    c = (salt * 104729 + 54321) % m
-    a2 = 69621 + (salt * 40503) % (m - 69622)
-    b2 = (salt * 15485863 + 99991) % m
-    return a, b, c, a2, b2
+    base = f"pmod({id_sql}, {m})" if dialect == "spark" else f"(((({id_sql}) % {m}) + {m}) % {m})"
+    x1 = f"(({base}) * {_A} + {_B}) % {m}"
+    return f"((({x1}) * ({x1}) + {_C}) % {m})"
 
 
 def hash_sql(id_sql: str, salt: int, dialect: str = "spark") -> str:
     """SQL for a value in [0, 2³¹−1) mixed from ``id_sql`` and ``salt``."""
-    m = MODULUS
-    a, b, c, a2, b2 = _constants(salt)
-    if dialect == "spark":
-        base = f"pmod({id_sql}, {m})"
-    else:
-        base = f"(((({id_sql}) % {m}) + {m}) % {m})"
-    x1 = f"(({base}) * {a} + {b}) % {m}"
-    x2 = f"(({x1}) * ({x1}) + {c}) % {m}"
-    return f"((({x2}) * {a2} + {b2}) % {m})"
+    a, b = _constants(salt)
+    return f"(({row_mix_sql(id_sql, dialect)} * {a} + {b}) % {MODULUS})"
 
 
 def uniform_sql(id_sql: str, salt: int, lo: int, hi: int, dialect: str = "spark") -> str:
@@ -89,8 +94,12 @@ def timestamp_sql(y: str, mo: str, d: str, h: str, mi: str, s: str, dialect: str
 
 
 def hundredths_sql(n_sql: str, precision: int, dialect: str = "spark") -> str:
-    """Exact DECIMAL(precision, 2) from an integer count of hundredths."""
-    return f"CAST(CAST({n_sql} AS DECIMAL(20,2)) / 100 AS DECIMAL({precision},2))"
+    """Exact DECIMAL(precision, 2) from an integer count of hundredths.
+
+    ``n / 100.0`` is the double nearest to a two-place decimal, and both
+    engines cast it back to exactly that decimal (like ``Decimal(f"{x:.2f}")``);
+    this is much less generated code than a DECIMAL division."""
+    return f"CAST(CAST({n_sql} AS DOUBLE) / 100 AS DECIMAL({precision},2))"
 
 
 def float2_sql(n_sql: str, dialect: str = "spark") -> str:

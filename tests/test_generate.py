@@ -124,3 +124,14 @@ def test_schema_expression(spark):
     assert s2["n"].dataType.simpleString() == "decimal(10,2)"
     with pytest.raises(ValueError):
         schema_of(base, "*, x:nosuchtype")
+
+
+def test_columns_are_independent(spark):
+    """Columns share one per-row mix; their joint distribution must still be
+    close to uniform (18 segment × region cells over 36,000 customers)."""
+    c = G.customers(G.id_range(spark, 36_000))
+    cells = [r["count"] for r in c.groupBy("segment", "region").count().collect()]
+    assert len(cells) == 18
+    assert min(cells) > 1700 and max(cells) < 2300  # expected 2000 each
+    months = [r["count"] for r in c.groupBy(F.month("signup_date"), "segment").count().collect()]
+    assert len(months) == 36 and min(months) > 750 and max(months) < 1250  # expected 1000
