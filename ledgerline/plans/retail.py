@@ -400,6 +400,20 @@ def margin_tier_transform(products: DataFrame) -> DataFrame:
     return transformed.select(*TIER_COLUMNS).orderBy(F.desc("price"))
 
 
+TIER_QUERY_SQL = """
+SELECT product_name, category, price, cost, margin_tier
+FROM {transformed}
+ORDER BY price DESC
+"""
+
+
+def margin_tier_transform_sql(spark: SparkSession, products: DataFrame) -> DataFrame:
+    """Q7 chained as in the reference (U4): the transform's result is bound
+    under a name and queried with SQL."""
+    transformed = transform(products, classify_margin, "*, margin_tier:str")
+    return spark.sql(TIER_QUERY_SQL, transformed=transformed)
+
+
 MARGIN_TIER_SQL = """
 SELECT product_name, category, price, cost,
        CASE WHEN try_divide(price - cost, price) * 100 >= 60 THEN 'high'

@@ -63,12 +63,13 @@ def test_product_margin_golden(products):
         assert r.margin_pct == Decimal(pct)
 
 
-@pytest.mark.parametrize("form", ["native", "transform", "udf", "sql"])
+@pytest.mark.parametrize("form", ["native", "transform", "udf", "sql", "chain"])
 def test_margin_tier_golden(spark, products, form):
     fn = {
         "native": retail.margin_tier_native,
         "transform": retail.margin_tier_transform,
         "udf": retail.margin_tier_udf,
+        "chain": lambda p: retail.margin_tier_transform_sql(spark, p),
         "sql": lambda p: retail.margin_tier_sql(spark, p),
     }[form]
     rows = fn(products).collect()
@@ -227,3 +228,42 @@ def test_prefiltered_top_k_edges(spark, products):
     for k in (2, 3):
         assert (retail.top_recommendations(ok, products, 0.7, k).collect()
                 == retail.top_recommendations_prefiltered(ok, products, 0.7, k).collect())
+
+
+def test_hot_customer_join_is_split_by_aqe(spark, products):
+    """A customer holding a third of all order lines: with broadcasting off
+    (the 100 TB regime) AQE splits the hot sort-merge-join partition, and
+    the result equals the plain aggregate."""
+    from pyspark.sql import functions as F
+
+    # measures carry entropy so the hot partition is also large after
+    # shuffle compression (AQE measures compressed bytes)
+    orders = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("CUST-0007"))
+        .otherwise(F.format_string("CUST-%04d", 1 + F.col("id") % 300)).alias("customer_id"),
+        F.format_string("PROD-%03d", 1 + F.col("id") % 10).alias("product_id"),
+        (F.col("id") * 7919 % 100_003).cast("int").alias("quantity"),
+        (F.col("id") * 0.37).cast("decimal(10,2)").alias("unit_price"),
+        F.lit("completed").alias("status"),
+    )
+    customers = G.customers(G.id_range(spark, 300))
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        q = retail.order_enrichment(orders, customers, products)
+        got = sorted(map(tuple, q.collect()))
+        assert "skew=true" in plan_of(q)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = sorted(map(tuple, retail.order_enrichment_sql(spark, orders, customers, products).collect()))
+    assert got == want
