@@ -72,6 +72,19 @@ def fixed_point(c, precision: int, scale: int = 2) -> Column:
     )
 
 
+def ieee_divide(num, den) -> Column:
+    """Floating-point ``num / den`` with IEEE semantics at a zero divisor
+    (±inf, or NaN for 0/0), as the reference's float arithmetic gives;
+    Spark's ANSI ``/`` would raise and ``try_divide`` would give NULL."""
+    n, d = _c(num).cast("double"), _c(den).cast("double")
+    at_zero = (
+        F.when(n > 0, F.lit(float("inf")))
+        .when(n < 0, F.lit(float("-inf")))
+        .otherwise(F.lit(float("nan")))
+    )
+    return F.when(d == 0, at_zero).otherwise(n / d)
+
+
 def thousands(c) -> Column:
     """Integer with thousands separators (``1,234``)."""
     return F.format_number(_c(c), 0)
@@ -83,5 +96,12 @@ def fixed(c, decimals: int = 3) -> Column:
 
 
 def times_label(c) -> Column:
-    """Speed-up label (``%.1fx``)."""
-    return F.format_string("%.1fx", _c(c))
+    """Speed-up label (``%.1fx``); infinities and NaN print as Python
+    does (``infx``, ``nanx``), not Java's ``Infinity``."""
+    x = _c(c)
+    return (
+        F.when(F.isnan(x), F.lit("nanx"))
+        .when(x == F.lit(float("inf")), F.lit("infx"))
+        .when(x == F.lit(float("-inf")), F.lit("-infx"))
+        .otherwise(F.format_string("%.1fx", x))
+    )

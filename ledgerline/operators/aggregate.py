@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.scalar import ieee_divide
+
 
 def _position(column: str, order: Sequence) -> Column:
     """1-based position of ``column``'s value in ``order``; unknown → len+1."""
@@ -71,7 +73,8 @@ def arg_extremes(
     columns), their values, and the ratio largest/smallest.
 
     NULL values are skipped (``dropna``) and an index whose values are all
-    NULL yields no row. Ties go to the entry first in ``order`` (report
+    NULL yields no row. A zero smallest value gives an infinite ratio, as
+    float division does in the reference. Ties go to the entry first in ``order`` (report
     column order). The input is long form — one row per (index, column).
     """
     lo_n, lo_v, hi_n, hi_v, ratio = names
@@ -89,7 +92,7 @@ def arg_extremes(
         F.col(f"_lo.{value}").alias(lo_v),
         F.col(f"_hi.{column}").alias(hi_n),
         F.col(f"_hi.{value}").alias(hi_v),
-        F.round(F.try_divide(F.col(f"_hi.{value}"), F.col(f"_lo.{value}")), ratio_digits).alias(ratio),
+        F.round(ieee_divide(F.col(f"_hi.{value}"), F.col(f"_lo.{value}")), ratio_digits).alias(ratio),
     )
 
 

@@ -98,7 +98,7 @@ def events_display(events: DataFrame) -> DataFrame:
     g = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.sum("value"), 2).alias("total"),
-        F.try_divide(F.max("value"), F.min("value")).alias("spread"),
+        S.ieee_divide(F.max("value"), F.min("value")).alias("spread"),
     )
     return g.select(
         "event_type",

@@ -104,3 +104,13 @@ def test_top_k_tie_break(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (2, "c"), (2, "b")], "s int, n string")
     got = [tuple(r) for r in top_k(df, ["s"], 2).collect()]
     assert got == [(2, "a"), (2, "b")]
+
+
+def test_zero_fastest_time_gives_infinite_speedup(spark):
+    zlog = log(spark, [("t", 10, 2, "Pandas", 0.0), ("t", 10, 2, "DuckDB", 1.5),
+                       ("z", 10, 2, "Pandas", 0.0), ("z", 10, 2, "DuckDB", 0.0)])
+    ext = {r.table: r for r in arg_extremes(zlog, "table", "engine", "time_s", ENGINES).collect()}
+    assert ext["t"].speedup == float("inf")
+    assert ext["z"].speedup != ext["z"].speedup  # 0/0 is NaN
+    summ = {r.table: r.speedup for r in reports.run_log_summary(zlog, ENGINES).collect()}
+    assert summ == {"t": "infx", "z": "nanx"}
