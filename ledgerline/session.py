@@ -23,6 +23,9 @@ SCALE_CONFS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalesce to the advisory size, not to the default parallelism: on a
+    # large cluster the latter leaves thousands of tiny post-shuffle tasks
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
@@ -31,6 +34,13 @@ SCALE_CONFS = {
 }
 
 
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Initial shuffle partition count for an expected shuffle volume, so a
+    partition stays near ``target_bytes`` (AQE then coalesces small ones).
+    Example: 20 TB of shuffle at 256 MB → 81,920 partitions."""
+    return max(1, -(-shuffle_bytes // target_bytes))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerline",

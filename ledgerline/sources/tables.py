@@ -77,3 +77,22 @@ class Tables:
                 getattr(self, n).createOrReplaceTempView(n)
                 done.append(n)
         return done
+
+
+def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:
+    """A local pandas frame as a DataFrame (Arrow-based conversion).
+
+    For small local inputs only — the frame already lives in driver memory;
+    data that grows with the workload is read with ``spark.read``."""
+    return spark.createDataFrame(pdf, schema=schema)
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int = 1_000_000):
+    """Collect a (small, typically aggregated) result locally.
+
+    Raises instead of pulling an unbounded result into the driver: at most
+    ``max_rows + 1`` rows are ever fetched."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it with a sink instead")
+    return pdf

@@ -129,3 +129,17 @@ def test_bucketed_seed_tables_skip_shuffles(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_local_frame_helpers(spark):
+    import pandas as pd
+    import pytest
+
+    from ledgerline.session import shuffle_partitions_for
+    from ledgerline.sources.tables import from_pandas, to_pandas_bounded
+
+    df = from_pandas(spark, pd.DataFrame({"a": [1, 2, 3]}))
+    assert to_pandas_bounded(df, 3)["a"].tolist() == [1, 2, 3]
+    with pytest.raises(ValueError):
+        to_pandas_bounded(df, 2)
+    assert shuffle_partitions_for(20 * 2**40) == 81920
