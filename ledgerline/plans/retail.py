@@ -265,6 +265,8 @@ def top_recommendations_prefiltered(
     scale this replaces a shuffle of every qualifying line with two narrow
     scans of the fact and a join of about k rows.
     """
+    if k <= 0:
+        return top_recommendations(recommendations, products, min_score, k)
     r = recommendations.where(
         F.col("score") > _typed_literal(recommendations, "score", min_score)
     ).select("customer_id", "product_id", "score", "reason")

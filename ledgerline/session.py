@@ -85,7 +85,10 @@ def ship_package(spark: SparkSession) -> None:
     Python workers put the SparkFiles root on ``sys.path``. Where the package
     is installed on the executors already, this is a harmless no-op.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with spark.addArtifacts instead
+        return
     key = sc.applicationId
     if key in _SHIPPED:
         return
