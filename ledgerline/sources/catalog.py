@@ -2,8 +2,8 @@
 reports.
 
 Sinks pick the write path from the table name: a name whose first part is
-a configured V2 catalog (``spark.sql.catalog.<name>`` is set, e.g. an
-Iceberg catalog) uses ``DataFrameWriterV2`` (``createOrReplace`` /
+a configured V2 catalog (``spark.sql.catalog.<name>`` is set, e.g. a
+table-format catalog) uses ``DataFrameWriterV2`` (``createOrReplace`` /
 ``append``); a session-catalog name uses ``saveAsTable`` with overwrite /
 append, because the V2 calls are unsupported on V1 tables there.
 """
