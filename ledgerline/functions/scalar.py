@@ -91,8 +91,13 @@ def thousands(c) -> Column:
 
 
 def fixed(c, decimals: int = 3) -> Column:
-    """Fixed decimals (``%.3f``)."""
-    return F.format_string(f"%.{decimals}f", _c(c))
+    """Fixed decimals, as Python's ``f"{x:.3f}"`` prints them.
+
+    ``format_number`` rounds half-even on the exact binary value (like
+    Python and C ``printf``); ``format_string`` would round half-up on the
+    shortest decimal form and print 2.25 as "2.3". Grouping commas are
+    removed."""
+    return F.regexp_replace(F.format_number(_c(c), decimals), ",", "")
 
 
 def times_label(c) -> Column:
@@ -103,5 +108,5 @@ def times_label(c) -> Column:
         F.when(F.isnan(x), F.lit("nanx"))
         .when(x == F.lit(float("inf")), F.lit("infx"))
         .when(x == F.lit(float("-inf")), F.lit("-infx"))
-        .otherwise(F.format_string("%.1fx", x))
+        .otherwise(F.concat(fixed(x, 1), F.lit("x")))
     )

@@ -17,18 +17,21 @@ from pyspark.sql import functions as F
 from ledgerline.functions import scalar as S
 from ledgerline.operators.aggregate import arg_extremes, first_per_key, pivot_unique, with_total_row
 from ledgerline.operators.joins import left_enrich
+from ledgerline.operators.order import order_by_position
 
 # Report column order of the event types (the "engines").
 EVENT_TYPE_ORDER = ["view", "click", "purchase", "signup", "error"]
 
 
 # ------------------------------------------------------------ run-log forms
-def run_log_pivot(log: DataFrame, engines: Sequence[str]) -> DataFrame:
+def run_log_pivot(log: DataFrame, engines: Sequence[str], tables: Sequence[str] | None = None) -> DataFrame:
     """Q10: metadata (rows, cols) of each table joined with its times, one
-    column per engine in report order; a duplicate (table, engine) raises."""
+    column per engine in report order; a duplicate (table, engine) raises.
+    With ``tables``, rows follow that explicit order (O6)."""
     pivot = pivot_unique(log, "table", "engine", "time_s", engines)
     meta = first_per_key(log.select("table", "rows", "cols", "engine"), "table", ["engine"]).drop("engine")
-    return left_enrich(meta, pivot, "table")
+    out = left_enrich(meta, pivot, "table")
+    return order_by_position(out, "table", tables) if tables else out
 
 
 def run_log_summary(log: DataFrame, engines: Sequence[str]) -> DataFrame:

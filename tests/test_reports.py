@@ -114,3 +114,34 @@ def test_zero_fastest_time_gives_infinite_speedup(spark):
     assert ext["z"].speedup != ext["z"].speedup  # 0/0 is NaN
     summ = {r.table: r.speedup for r in reports.run_log_summary(zlog, ENGINES).collect()}
     assert summ == {"t": "infx", "z": "nanx"}
+
+
+def test_pivot_rows_in_explicit_order(run_log):
+    order = ["t_tie", "t_fail", "t_small"]
+    got = [r.table for r in reports.run_log_pivot(run_log, ENGINES, order).collect()]
+    assert got == order
+
+
+def test_scalar_helpers(spark):
+    from ledgerline.functions import scalar as S
+
+    df = spark.createDataFrame([(7, "Alice", "Smith", 1234567, 0.5, "purchase")],
+                               "n long, f string, l string, big long, x double, t string")
+    r = df.select(
+        S.padded_key("CUST", "n", 4).alias("k"),
+        S.padded_key("CUST", "big", 4).alias("wide"),
+        S.email("f", "l", "n").alias("mail"),
+        S.fixed_point(F.lit(123456), 12).alias("amount"),
+        S.thousands("big").alias("th"),
+        S.fixed("x", 3).alias("fx"),
+        S.fixed(F.lit(1.015), 2).alias("below_tie"),
+        S.fixed(F.lit(1234567.125), 3).alias("big"),
+        S.times_label(F.lit(2.25)).alias("lbl"),
+        S.is_value("t", "purchase").alias("hit"),
+    ).first()
+    assert r.k == "CUST-0007" and r.wide == "CUST-1234567"
+    assert r.mail == "alice.smith7@example.com"
+    assert str(r.amount) == "1234.56"
+    assert r.th == "1,234,567" and r.fx == "0.500" and r.hit == 1
+    assert r.below_tie == f"{1.015:.2f}" and r.big == "1234567.125"
+    assert r.lbl == "2.2x"  # an exact tie rounds half-even, as Python's f"{2.25:.1f}" does
