@@ -59,7 +59,11 @@ def write_table(
 
     ``bucket_by=(n, cols)`` stores the table hash-bucketed on ``cols``:
     later joins and aggregations on those keys between tables bucketed the
-    same way read co-located data and skip the shuffle.
+    same way read co-located data and skip the shuffle. The rows are first
+    rebalanced into ``n`` hash partitions on the same keys, so each bucket
+    is written by one task (about ``n`` files instead of one per task and
+    bucket); AQE still splits an oversized (skewed) bucket over several
+    tasks, so a hot key does not become a single straggler.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
@@ -83,7 +87,8 @@ def write_table(
                 w = w.partitionedBy(*parts)
             w.createOrReplace()
         return
-    w = df.write.format(fmt).mode("overwrite" if mode == "replace" else "append")
+    src = df.hint("rebalance", bucket_by[0], *bucket_by[1]) if bucket_by else df
+    w = src.write.format(fmt).mode("overwrite" if mode == "replace" else "append")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:

@@ -112,6 +112,8 @@ def test_bucketed_seed_tables_skip_shuffles(spark):
     sizes = {"customers": 40, "orders": 800, "clickstream": 1000, "recommendations": 100}
     seed.seed_ecommerce(spark, "ll_bkt", sizes=sizes, buckets=4)
     o, c, p = (spark.read.table(f"ll_bkt.{t}") for t in ("orders", "customers", "products"))
+    # one task per bucket: about 4 files, not one per (write task, bucket)
+    assert len(o.inputFiles()) <= 8
     cs = spark.read.table("ll_bkt.clickstream")
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k) for k in keys}
