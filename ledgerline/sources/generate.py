@@ -260,10 +260,20 @@ def wide(ids: DataFrame, num_columns: int, seed: int) -> DataFrame:
     return _apply(ids, wide_columns("spark", num_columns, seed))
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 def id_range(spark: SparkSession, n: int, customers_n: int | None = None, num_partitions: int | None = None,
              seed: int = 0) -> DataFrame:
     """``spark.range(1, n + 1)`` as ``id`` (and ``customer_num`` uniform on
-    ``[1, customers_n]`` when given): the id frame of a seed job."""
+    ``[1, customers_n]`` when given): the id frame of a seed job.
+
+    By default the range is split by size — one partition, and so one
+    written file, per ``ROWS_PER_PARTITION`` rows — rather than by the
+    cluster's default parallelism, which would write thousands of tiny files
+    for a small table on a large cluster. Values do not depend on it."""
+    if num_partitions is None:
+        num_partitions = max(1, -(-n // ROWS_PER_PARTITION))
     ids = spark.range(1, n + 1, numPartitions=num_partitions).select(F.col("id"))
     if customers_n:
         ids = ids.withColumn("customer_num", F.expr(uniform_sql("id", _salt(seed, 0), 1, customers_n)))
