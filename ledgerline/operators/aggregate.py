@@ -97,13 +97,17 @@ def arg_extremes(
 
 
 def with_total_row(
-    df: DataFrame, label: str, aggs: Sequence[Column], total_label: str = "TOTAL"
+    df: DataFrame, label: str, aggs: Sequence[Column], total_label: str = "TOTAL",
+    flag: str | None = None,
 ) -> DataFrame:
     """Detail rows per ``label`` plus one grand-total row, in one
     ``ROLLUP`` pass. ``grouping(label) = 1`` marks the total, so a NULL
-    label in the data is never mistaken for it."""
+    label in the data is never mistaken for it; ``flag`` keeps that marker
+    as a column (1 on the total row) for ordering."""
     out = df.rollup(label).agg(*aggs, F.grouping(label).alias("_g"))
+    extra = [F.col("_g").alias(flag)] if flag else []
     return out.select(
         F.when(F.col("_g") == 1, F.lit(total_label)).otherwise(F.col(label)).alias(label),
         *[c for c in out.columns if c not in (label, "_g")],
+        *extra,
     )

@@ -50,9 +50,14 @@ def run_log_summary(log: DataFrame, engines: Sequence[str]) -> DataFrame:
 
 
 def step_summary(steps: DataFrame) -> DataFrame:
-    """Q12: step times with a TOTAL row, formatted to 3 decimals."""
-    out = with_total_row(steps, "step", [F.sum("time_s").alias("time_s")])
-    return out.select("step", S.fixed("time_s", 3).alias("time_s"))
+    """Q12: step times with a TOTAL row last, formatted to 3 decimals.
+    Detail rows keep the step log's order (its ``ord`` column, if any)."""
+    aggs = [F.sum("time_s").alias("time_s")]
+    if "ord" in steps.columns:
+        aggs.append(F.min("ord").alias("ord"))
+    out = with_total_row(steps, "step", aggs, flag="_total")
+    order = [F.col("_total")] + ([F.col("ord")] if "ord" in steps.columns else []) + [F.col("step")]
+    return out.orderBy(*order).select("step", S.fixed("time_s", 3).alias("time_s"))
 
 
 # ------------------------------------------------------------ events forms

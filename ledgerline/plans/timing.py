@@ -65,6 +65,24 @@ def run_benchmark(
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 
+def timed_steps(
+    spark: SparkSession, steps: Mapping[str, Callable[[], DataFrame]]
+) -> tuple[DataFrame, dict[str, str]]:
+    """Run named steps in order — each builds a DataFrame that is executed in
+    full through the ``noop`` sink — and return the step log ``(step,
+    time_s)`` plus the error class of any failed step (its time is NULL)."""
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+    for name, build in steps.items():
+        secs, err = timed(lambda b=build: b().write.format("noop").mode("overwrite").save())
+        timings[name] = secs
+        if err:
+            errors[name] = err
+    return step_log(spark, timings), errors
+
+
 def step_log(spark: SparkSession, timings: Mapping[str, float]) -> DataFrame:
-    """Step-timing map → ``(step, time_s)`` frame (input of Q12)."""
-    return spark.createDataFrame(list(timings.items()), "step string, time_s double")
+    """Step-timing map → ``(step, time_s, ord)`` frame (input of Q12);
+    ``ord`` keeps the steps' insertion order."""
+    rows = [(k, v, i) for i, (k, v) in enumerate(timings.items())]
+    return spark.createDataFrame(rows, "step string, time_s double, ord int")

@@ -145,3 +145,16 @@ def test_local_frame_helpers(spark):
     with pytest.raises(ValueError):
         to_pandas_bounded(df, 2)
     assert shuffle_partitions_for(20 * 2**40) == 81920
+
+
+def test_timed_steps(spark):
+    t = Tables(spark, SF001)
+    log, errors = timing.timed_steps(spark, {
+        "scan": lambda: t.orders,
+        "broken": lambda: spark.sql("SELECT * FROM no_such_table_abc"),
+    })
+    rows = {r.step: r.time_s for r in log.collect()}
+    assert rows["scan"] is not None and rows["broken"] is None
+    assert set(errors) == {"broken"}
+    out = [r.step for r in reports.step_summary(log).collect()]
+    assert out == ["scan", "broken", "TOTAL"]
