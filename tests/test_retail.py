@@ -267,3 +267,43 @@ def test_hot_customer_join_is_split_by_aqe(spark, products):
             spark.conf.set(k, v)
     want = sorted(map(tuple, retail.order_enrichment_sql(spark, orders, customers, products).collect()))
     assert got == want
+
+
+def _exchange_subtrees(plan_text, key):
+    """Text of each ``Exchange hashpartitioning(<key>…`` subtree of a plan."""
+    lines = plan_text.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if f"Exchange hashpartitioning({key}" in line:
+            indent = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if not nxt.strip() or len(nxt) - len(nxt.lstrip(" :+-")) <= indent:
+                    break
+                sub.append(nxt)
+            out.append("\n".join(sub))
+    return out
+
+
+def test_flagship_never_shuffles_lines_by_customer(spark):
+    """With nothing broadcastable, the header-level form moves only order
+    headers by customer; the flat form moves the line stream by customer."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        r = driver_roles(spark, SF01)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            retail.order_enrichment_by_header(r.order_lines, r.order_headers, r.customers, r.products, "F").explain()
+        header_subtrees = _exchange_subtrees(buf.getvalue(), "customer_id")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            retail.order_enrichment(r.orders, r.customers, r.products, "F").explain()
+        flat_subtrees = _exchange_subtrees(buf.getvalue(), "customer_id")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert header_subtrees and not any("lineitem" in s for s in header_subtrees)
+    assert any("lineitem" in s for s in flat_subtrees)
