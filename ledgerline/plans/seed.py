@@ -67,7 +67,16 @@ def seed_ecommerce(
         G.recommendations(G.id_range(spark, n["recommendations"], n["customers"], seed=G.SEED_RECS)),
         fq["recommendations"], "replace", fmt, max_records_per_file,
     )
-    return catalog.row_counts({fq[t]: spark.read.table(fq[t]) for t in ECOMMERCE_TABLES})
+    frames = {fq[t]: spark.read.table(fq[t]) for t in ECOMMERCE_TABLES}
+    # every e-commerce column is declared NOT NULL; Parquet does not keep that
+    for fqn, df in frames.items():
+        catalog.check_not_null(df, name=fqn)
+    return catalog.row_counts(frames)
+
+
+# the ten fixed columns of the wide tables are NOT NULL; generated ones may be NULL
+WIDE_NOT_NULL = ["id", "category", "region", "status", "priority", "created_date", "amount", "score",
+                 "flag", "description"]
 
 
 def seed_wide(
@@ -102,6 +111,7 @@ def seed_wide(
             catalog.write_table(G.wide(G.id_range(spark, rows), cols, seed), fqn, "replace", fmt,
                                 max_records_per_file)
         written[fqn] = spark.read.table(fqn)
+        catalog.check_not_null(written[fqn], WIDE_NOT_NULL, name=fqn)
     return catalog.row_counts(written)
 
 

@@ -137,6 +137,22 @@ def shapes(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NULL cells per column, in one aggregation pass: ``(column, nulls)``."""
+    cols = list(columns or df.columns)
+    wide = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in cols])
+    return wide.select(F.inline(pairs))
+
+
+def check_not_null(df: DataFrame, columns: Sequence[str] | None = None, name: str = "table") -> None:
+    """Enforce NOT NULL columns, which a Parquet round trip does not keep in
+    the schema: raise if any of ``columns`` (default: all) holds a NULL."""
+    bad = {r.column: r.nulls for r in null_counts(df, columns).where(F.col("nulls") > 0).collect()}
+    if bad:
+        raise ValueError(f"NOT NULL violated in {name}: {bad}")
+
+
 def describe(spark: SparkSession, fqn: str) -> DataFrame:
     """S13 as a table: column name and type (``DESCRIBE TABLE``)."""
     return spark.sql(f"DESCRIBE TABLE {fqn}").where(~F.col("col_name").startswith("#")).select(

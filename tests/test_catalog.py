@@ -158,3 +158,14 @@ def test_timed_steps(spark):
     assert set(errors) == {"broken"}
     out = [r.step for r in reports.step_summary(log).collect()]
     assert out == ["scan", "broken", "TOTAL"]
+
+
+def test_not_null_check(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
+    got = {r.column: r.nulls for r in catalog.null_counts(df).collect()}
+    assert got == {"x": 1, "y": 1}
+    catalog.check_not_null(df.where("x IS NOT NULL AND y IS NOT NULL"))
+    with pytest.raises(ValueError, match="NOT NULL"):
+        catalog.check_not_null(df, ["x"])
