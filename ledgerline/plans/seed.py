@@ -29,15 +29,19 @@ def seed_ecommerce(
     sizes: dict | None = None,
     fmt: str = "parquet",
     max_records_per_file: int = 5_000_000,
-    buckets: int | None = 16,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Q14: namespace → five tables → ``(table, rows)`` counts read back.
 
-    With ``buckets`` (default 16; size it so one bucket is ~128–512 MB at
-    the target scale), customers and orders are bucketed on ``customer_id``
-    and clickstream on ``session_id``: the order/customer join (Q3) and the
+    With ``buckets`` (size it so one bucket is ~128–512 MB at the target
+    scale), customers and orders are bucketed on ``customer_id`` and
+    clickstream on ``session_id``: the order/customer join (Q3) and the
     per-session aggregation (Q4) then read co-located data without a shuffle
-    even when no side can be broadcast. ``None`` writes unbucketed tables.
+    even when no side can be broadcast. It is opt-in because a bucketed scan
+    reads each bucket in one task, so a hot key (a customer with a third of
+    all orders) becomes a straggler that AQE cannot split; unbucketed, the
+    same join is a shuffle whose skewed partitions AQE does split. Use it
+    when the bucket keys are known to be balanced.
     """
     by_customer = (buckets, ["customer_id"]) if buckets else None
     by_session = (buckets, ["session_id"]) if buckets else None
