@@ -35,6 +35,8 @@ def pivot_unique(
     keep one of them. Implemented as conditional aggregates in one
     ``groupBy(index)``: one shuffle, partial aggregation kept.
     """
+    if not values:
+        return df.select(index).distinct()
     aggs = []
     for v in values:
         hit = F.col(column) == F.lit(v)

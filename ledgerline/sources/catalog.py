@@ -119,6 +119,8 @@ def read_table(spark: SparkSession, fqn: str) -> DataFrame:
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rows)`` per named frame, as one union of
     aggregates (each a distributed count)."""
+    if not frames:
+        raise ValueError("row_counts needs at least one table")
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), F.col("rows"))
         for name, df in frames.items()
@@ -128,6 +130,8 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def shapes(frames: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rows, cols)`` per named frame (pandas ``df.shape``)."""
+    if not frames:
+        raise ValueError("shapes needs at least one table")
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table"), F.col("rows"), F.lit(len(df.columns)).alias("cols")

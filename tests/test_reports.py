@@ -145,3 +145,8 @@ def test_scalar_helpers(spark):
     assert r.th == "1,234,567" and r.fx == "0.500" and r.hit == 1
     assert r.below_tie == f"{1.015:.2f}" and r.big == "1234567.125"
     assert r.lbl == "2.2x"  # an exact tie rounds half-even, as Python's f"{2.25:.1f}" does
+
+
+def test_pivot_without_values_keeps_index(run_log):
+    got = sorted(r.table for r in pivot_unique(run_log, "table", "engine", "time_s", []).collect())
+    assert got == ["t_fail", "t_small", "t_tie"]
