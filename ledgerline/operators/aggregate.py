@@ -74,14 +74,17 @@ def arg_extremes(
     largest ``value`` (pandas ``idxmin``/``idxmax`` across pivoted
     columns), their values, and the ratio largest/smallest.
 
-    NULL values are skipped (``dropna``) and an index whose values are all
-    NULL yields no row. A zero smallest value gives an infinite ratio, as
+    NULL and NaN values are skipped (``dropna``) and an index whose values
+    are all missing yields no row. A zero smallest value gives an infinite ratio, as
     float division does in the reference. Ties go to the entry first in ``order`` (report
     column order). The input is long form — one row per (index, column).
     """
     lo_n, lo_v, hi_n, hi_v, ratio = names
     pos = _position(column, order)
-    d = df.where(F.col(value).isNotNull()).select(
+    present = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("float", "double"):
+        present = present & ~F.isnan(F.col(value))  # pandas treats NaN as missing too
+    d = df.where(present).select(
         F.col(index), F.col(column), F.col(value), pos.alias("_pos")
     )
     g = d.groupBy(index).agg(

@@ -150,3 +150,10 @@ def test_scalar_helpers(spark):
 def test_pivot_without_values_keeps_index(run_log):
     got = sorted(r.table for r in pivot_unique(run_log, "table", "engine", "time_s", []).collect())
     assert got == ["t_fail", "t_small", "t_tie"]
+
+
+def test_nan_time_is_skipped_like_pandas(spark):
+    nlog = log(spark, [("t", 10, 2, "Pandas", float("nan")), ("t", 10, 2, "DuckDB", 1.5),
+                       ("t", 10, 2, "Spark", 3.0)])
+    got = arg_extremes(nlog, "table", "engine", "time_s", ENGINES).first()
+    assert (got.fastest, got.slowest, got.speedup) == ("DuckDB", "Spark", 2.0)
