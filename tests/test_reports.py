@@ -157,3 +157,30 @@ def test_nan_time_is_skipped_like_pandas(spark):
                        ("t", 10, 2, "Spark", 3.0)])
     got = arg_extremes(nlog, "table", "engine", "time_s", ENGINES).first()
     assert (got.fastest, got.slowest, got.speedup) == ("DuckDB", "Spark", 2.0)
+
+
+@pytest.mark.parametrize("op", ["first", "extremes", "pivot"])
+def test_report_operators_pre_aggregate_before_shuffle(spark, op):
+    """Skew safety: each report operator aggregates partially in every task
+    before its shuffle (a hot key arrives pre-reduced) and uses no window."""
+    import contextlib
+    import io
+
+    from ledgerline.sources.tables import Tables
+    from tests.conftest import SF001
+
+    ev = Tables(spark, SF001).events
+    df = {
+        "first": lambda: reports.events_first_per_user(ev),
+        "extremes": lambda: reports.events_arg_extremes(ev),
+        "pivot": lambda: reports.events_pivot(ev),
+    }[op]()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "Window" not in plan
+    lines = plan.splitlines()
+    first_exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    below = "\n".join(lines[first_exchange:])
+    assert "partial_" in below
