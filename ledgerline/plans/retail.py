@@ -151,6 +151,37 @@ def order_enrichment_by_header(
     )
 
 
+ORDER_ENRICHMENT_BY_HEADER_SQL = """
+WITH h AS (
+  SELECT oh.order_id, c.segment
+  FROM {headers} oh
+  JOIN {customers} c ON oh.customer_id = c.customer_id
+  WHERE oh.status = :completed
+)
+SELECT h.segment, p.category,
+       COUNT(*) AS total_orders,
+       SUM(l.quantity) AS total_units,
+       ROUND(SUM(CAST(l.unit_price AS DOUBLE) * CAST(l.quantity AS DOUBLE)), 2) AS total_revenue
+FROM {lines} l
+JOIN h ON l.order_id = h.order_id
+JOIN {products} p ON l.product_id = p.product_id
+GROUP BY h.segment, p.category
+ORDER BY total_revenue DESC
+"""
+
+
+def order_enrichment_by_header_sql(
+    spark: SparkSession, lines: DataFrame, headers: DataFrame, customers: DataFrame,
+    products: DataFrame, completed: str = "completed",
+) -> DataFrame:
+    """SQL form of :func:`order_enrichment_by_header` (the CTE joins the
+    customer at header level)."""
+    return spark.sql(
+        ORDER_ENRICHMENT_BY_HEADER_SQL, args={"completed": completed},
+        lines=lines, headers=headers, customers=customers, products=products,
+    )
+
+
 ORDER_ENRICHMENT_SQL = """
 SELECT c.segment, p.category,
        COUNT(*) AS total_orders,

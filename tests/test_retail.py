@@ -136,6 +136,14 @@ def test_parity_on_driver_tables(spark):
     lit = {"completed": r.lit("completed"), "min_score": 0.07}
     for a, b in _pairs(spark, roles, lit):
         assert_same_rows(a, b)
+    assert_same_rows(
+        retail.order_enrichment_by_header(r.order_lines, r.order_headers, r.customers, r.products, "F"),
+        retail.order_enrichment_by_header_sql(spark, r.order_lines, r.order_headers, r.customers, r.products, "F"),
+    )
+    assert_same_rows(
+        retail.order_enrichment_by_header(r.order_lines, r.order_headers, r.customers, r.products, "F"),
+        retail.order_enrichment(r.orders, r.customers, r.products, "F"),
+    )
     keys = ("session_id", "customer_id")
     assert_same_rows(
         retail.session_summary(r.clickstream, keys, "purchase", "click"),
