@@ -121,7 +121,7 @@ def q_category_revenue(spark, sf_dir):
 
 def _scan(name):
     def q(spark, sf_dir):
-        return Tables(spark, sf_dir).__getattr__(name).select("*")
+        return getattr(Tables(spark, sf_dir), name).select("*")
     q.__name__ = f"q_scan_{name}"
     return q
 
