@@ -315,3 +315,25 @@ def test_flagship_never_shuffles_lines_by_customer(spark):
             spark.conf.set(k, v)
     assert header_subtrees and not any("lineitem" in s for s in header_subtrees)
     assert any("lineitem" in s for s in flat_subtrees)
+
+
+def test_flagship_builds_on_headers_not_lines(spark):
+    """The header-level flagship joins lines to headers with a shuffled hash
+    join built on the headers (DataFrame and SQL forms); the line stream is
+    never the broadcast or build side, even where it fits the threshold."""
+    r = driver_roles(spark, SF01)
+    forms = {
+        "df": retail.order_enrichment_by_header(r.order_lines, r.order_headers, r.customers, r.products, "F"),
+        "sql": retail.order_enrichment_by_header_sql(
+            spark, r.order_lines, r.order_headers, r.customers, r.products, "F"),
+    }
+    for name, df in forms.items():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        plan = buf.getvalue()
+        assert "ShuffledHashJoin" in plan and "BuildRight" in plan, name
+        broadcast_subtrees = [
+            s for s in plan.split("BroadcastExchange")[1:] if "lineitem" in s.split("FileScan", 1)[-1][:80]
+        ]
+        assert not broadcast_subtrees, name
