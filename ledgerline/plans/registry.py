@@ -94,6 +94,13 @@ def q_session_summary_top20(spark, sf_dir):
     )
 
 
+def q_session_summary_top20_prefiltered(spark, sf_dir):
+    r = driver_roles(spark, sf_dir)
+    return retail.session_summary_top_prefiltered(
+        r.clickstream, 20, keys=SESSION_KEYS, purchase=r.lit("purchase"), add_to_cart=r.lit("add_to_cart")
+    )
+
+
 def q_top_recommendations(spark, sf_dir):
     r = driver_roles(spark, sf_dir)
     return retail.top_recommendations(r.recommendations, r.products, min_score=0.07, k=20)
@@ -208,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "order_date_range": q_order_date_range,
     "session_summary": q_session_summary,
     "session_summary_top20": q_session_summary_top20,
+    "session_summary_top20_prefiltered": q_session_summary_top20_prefiltered,
     "top_recommendations": q_top_recommendations,
     "top_recommendations_prefiltered": q_top_recommendations_prefiltered,
     "product_units": q_product_units,
@@ -265,6 +273,8 @@ FROM events
 GROUP BY 1, 2
 """
 
+_SESSION_TOP20 = f"SELECT * FROM ({_SESSION}) s ORDER BY session_id, customer_id LIMIT 20"
+
 _TOP_RECS = """
 SELECT l.l_orderkey AS customer_id, p.p_name AS product_name, p.p_type AS category,
        l.l_discount AS score, l.l_returnflag AS reason
@@ -318,7 +328,8 @@ GROUP BY o_orderpriority, o_orderstatus
 ORDER BY order_count DESC
 """,
     "session_summary": _SESSION,
-    "session_summary_top20": f"SELECT * FROM ({_SESSION}) s ORDER BY session_id, customer_id LIMIT 20",
+    "session_summary_top20": _SESSION_TOP20,
+    "session_summary_top20_prefiltered": _SESSION_TOP20,
     "top_recommendations": _TOP_RECS,
     "product_units": _PRODUCT_UNITS + "ORDER BY total_units DESC",
     "top_recommendations_prefiltered": _TOP_RECS,

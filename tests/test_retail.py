@@ -337,3 +337,61 @@ def test_flagship_builds_on_headers_not_lines(spark):
             s for s in plan.split("BroadcastExchange")[1:] if "lineitem" in s.split("FileScan", 1)[-1][:80]
         ]
         assert not broadcast_subtrees, name
+
+
+SESSION_KW = {"keys": ("session_id", "customer_id"), "purchase": "purchase", "add_to_cart": "click"}
+
+
+def test_prefiltered_session_top_equals_aggregate_first(spark, seeded):
+    """Top-k groups by key, pushed below the aggregate: same rows as the
+    aggregate-then-top-k form, DataFrame and SQL, on driver and seeded data."""
+    cs = driver_roles(spark, SF01).clickstream
+    for k in (1, 20, 333):
+        a = retail.session_summary_top(cs, k, **SESSION_KW).collect()
+        b = retail.session_summary_top_prefiltered(cs, k, **SESSION_KW).collect()
+        c = retail.session_summary_top_prefiltered_sql(spark, cs, k, **SESSION_KW).collect()
+        assert a == b == c and len(a) == k, k
+    seeded_cs = seeded["clickstream"]
+    a = retail.session_summary_top(seeded_cs, 20).collect()
+    assert a == retail.session_summary_top_prefiltered(seeded_cs, 20).collect()
+    assert a == retail.session_summary_top_prefiltered_sql(spark, seeded_cs, 20).collect()
+
+
+def test_prefiltered_session_top_edges(spark):
+    """NULL keys sort first and must survive the semi-join; a hot group
+    holding a third of the rows; fewer groups than k; k = 0."""
+    schema = "session_id bigint, customer_id bigint, product_id string, event_type string"
+    rows = [(None, 7, "p1", "purchase"), (None, 7, "p2", "click"), (1, None, "p1", "view")]
+    rows += [(2, 3, f"p{i % 5}", "click" if i % 2 else "purchase") for i in range(60)]  # hot group
+    rows += [(s, s % 4, f"p{s % 3}", "view") for s in range(3, 123)]
+    cs = spark.createDataFrame(rows, schema)
+    for k in (1, 2, 3, 5, 500):
+        a = retail.session_summary_top(cs, k, **SESSION_KW).collect()
+        b = retail.session_summary_top_prefiltered(cs, k, **SESSION_KW).collect()
+        c = retail.session_summary_top_prefiltered_sql(spark, cs, k, **SESSION_KW).collect()
+        assert a == b == c, k
+    top3 = retail.session_summary_top_prefiltered(cs, 3, **SESSION_KW).collect()
+    assert [(r.session_id, r.customer_id) for r in top3] == [(None, 7), (1, None), (2, 3)]
+    assert top3[2].events_in_session == 60 and top3[2].products_viewed == 5
+    assert retail.session_summary_top_prefiltered(cs, 0, **SESSION_KW).count() == 0
+
+
+def test_plan_prefiltered_session_top(spark):
+    """Only the k first keys are broadcast (a bounded build side), and the
+    full clickstream is never shuffled with its measures: every
+    hash exchange below the semi-join carries key columns only."""
+    cs = driver_roles(spark, SF01).clickstream
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        retail.session_summary_top_prefiltered(cs, 20, **SESSION_KW).explain()
+    lines = buf.getvalue().splitlines()
+    semi = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line)
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    # measure-carrying exchanges sit above the semi-join (rows of k groups only)
+    assert all(i < semi for i in exchanges if "product_id" in lines[i])
+    # below it, one exchange of deduplicated keys read from two columns
+    below = [i for i in exchanges if i > semi]
+    assert len(below) == 1 and "product_id" not in lines[below[0]]
+    scan = next(line for line in lines[below[0]:] if "FileScan" in line)
+    assert "FileScan parquet [event_id#" in scan and "props" not in scan.split("]")[0]
+    assert any("TakeOrderedAndProject(limit=20" in line for line in lines[semi:below[0]])
