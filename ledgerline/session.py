@@ -104,9 +104,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as-is. Only when it is unset (local runs, tests) do we pick a fresh
-    scratch folder, so lineage cuts never land on a machine-local path on a
-    real cluster.
+    used as-is. Only a local-mode session with no setting (local runs,
+    tests) gets a fresh scratch folder; a cluster session without one is an
+    error, so lineage cuts never land on a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -114,6 +114,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder for lineage cuts on this cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

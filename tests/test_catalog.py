@@ -169,3 +169,45 @@ def test_not_null_check(spark):
     catalog.check_not_null(df.where("x IS NOT NULL AND y IS NOT NULL"))
     with pytest.raises(ValueError, match="NOT NULL"):
         catalog.check_not_null(df, ["x"])
+
+
+class _StubContext:
+    def __init__(self, master, current=None):
+        self.master, self._dir = master, current
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, d):
+        self._dir = d
+
+
+class _StubConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, k, default=None):
+        return self.values.get(k, default)
+
+
+class _StubSession:
+    def __init__(self, master, confs=None, current=None):
+        self.sparkContext = _StubContext(master, current)
+        self.conf = _StubConf(confs or {})
+
+
+def test_checkpoint_dir_policy():
+    """The cluster's shared spark.checkpoint.dir is used as-is; only a local
+    session without one gets a scratch folder; a cluster without one fails."""
+    import pytest
+
+    from ledgerline.session import ensure_checkpoint_dir
+
+    shared = "hdfs://nn/shared/ckpt"
+    s = _StubSession("spark://head:7077", {"spark.checkpoint.dir": shared})
+    assert ensure_checkpoint_dir(s) == shared
+    assert ensure_checkpoint_dir(_StubSession("yarn", current="s3a://b/ck")) == "s3a://b/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_StubSession("k8s://api:443"))
+    local = ensure_checkpoint_dir(_StubSession("local[2]"))
+    assert local and "ledgerline-ckpt-" in local
