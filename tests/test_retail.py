@@ -395,3 +395,43 @@ def test_plan_prefiltered_session_top(spark):
     scan = next(line for line in lines[below[0]:] if "FileScan" in line)
     assert "FileScan parquet [event_id#" in scan and "props" not in scan.split("]")[0]
     assert any("TakeOrderedAndProject(limit=20" in line for line in lines[semi:below[0]])
+
+
+def test_hot_order_hash_join_is_split_by_aqe(spark, products):
+    """One order holding a third of all lines: with broadcasting off, the
+    header-level flagship's shuffled hash join (built on the headers) has its
+    hot probe partition split by AQE, and equals the flat SQL form."""
+    lines = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(1 + F.col("id") % 3000).alias("order_id"),
+        F.format_string("PROD-%03d", 1 + F.col("id") % 10).alias("product_id"),
+        (F.col("id") * 7919 % 100_003).cast("int").alias("quantity"),
+        (F.col("id") * 0.37).cast("decimal(10,2)").alias("unit_price"),
+    )
+    headers = spark.range(1, 3001, numPartitions=4).select(
+        F.col("id").alias("order_id"),
+        F.format_string("CUST-%04d", 1 + F.col("id") % 300).alias("customer_id"),
+        F.when(F.col("id") % 4 == 0, F.lit("pending")).otherwise(F.lit("completed")).alias("status"),
+    )
+    customers = G.customers(G.id_range(spark, 300))
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        q = retail.order_enrichment_by_header(lines, headers, customers, products)
+        got = sorted(map(tuple, q.collect()))
+        final = plan_of(q)
+        assert "ShuffledHashJoin" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    flat = lines.join(headers, "order_id")
+    want = sorted(map(tuple, retail.order_enrichment_sql(spark, flat, customers, products).collect()))
+    assert got == want and got
