@@ -26,6 +26,11 @@ SCALE_CONFS = {
     # coalesce to the advisory size, not to the default parallelism: on a
     # large cluster the latter leaves thousands of tiny post-shuffle tasks
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # runtime size check: a sort-merge join whose build side measures at
+    # most this per post-shuffle partition (every partition) becomes a
+    # shuffled hash join, so the big side is not sorted; a skewed partition
+    # above it keeps the sort-merge join and AQE's skew split
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",

@@ -435,3 +435,23 @@ def test_hot_order_hash_join_is_split_by_aqe(spark, products):
     flat = lines.join(headers, "order_id")
     want = sorted(map(tuple, retail.order_enrichment_sql(spark, flat, customers, products).collect()))
     assert got == want and got
+
+
+def test_aqe_turns_small_sort_merge_joins_into_hash_joins(spark):
+    """With nothing broadcastable, a sort-merge join whose measured build
+    partitions all fit the local-map threshold runs as a shuffled hash join
+    (the line stream is not sorted); results are unchanged."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    r = driver_roles(spark, SF01)
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        q = retail.product_units(r.orders, "F")
+        got = sorted(map(tuple, q.collect()))
+        final = plan_of(q).split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted(map(tuple, retail.product_units_sql(spark, r.orders, "F").collect()))
