@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerline.functions import scalar as S
 from ledgerline.operators.order import top_k
 from ledgerline.operators.transform import series_udf, transform
-from ledgerline.session import ship_package
+from ledgerline.session import ensure_checkpoint_dir, ship_package
 
 
 # --------------------------------------------------------------------- Q1
@@ -344,6 +344,11 @@ def top_recommendations(
     return top_k(joined, ["score"], k)
 
 
+# Largest candidate set (rows, counted exactly) that the prefiltered top-k
+# broadcasts into the product scan; beyond it the join shuffles both sides.
+CANDIDATE_BROADCAST_ROWS = 1_000_000
+
+
 def top_recommendations_prefiltered(
     recommendations: DataFrame, products: DataFrame, min_score: float = 0.7, k: int = 20
 ) -> DataFrame:
@@ -354,12 +359,16 @@ def top_recommendations_prefiltered(
     the fact. Step 1 takes the k best fact rows by that prefix
     (TakeOrderedAndProject: k rows per task, at most k rows reach the
     driver) and reads the k-th prefix ``b``. Step 2 keeps the fact rows whose
-    prefix is not after ``b`` (ties included) and joins only those with the
-    products. If that join yields at least k rows, every row of the true
-    top-k is among them, so the final top-k is exact; otherwise (an order
-    line without its product) the full join plan is returned instead. At
-    scale this replaces a shuffle of every qualifying line with two narrow
-    scans of the fact and a join of about k rows.
+    prefix is not after ``b`` (ties included), checkpoints them to the
+    shared checkpoint folder and counts them. Step 3 joins them with the
+    products: when the exact count is within ``CANDIDATE_BROADCAST_ROWS`` the
+    candidates are broadcast and the product table is only scanned, never
+    shuffled; otherwise a plain (shuffled) join. The top k of the joined
+    rows are checkpointed (k rows), so the product side is read once. If
+    there are k of them, every row of the true top-k was among the
+    candidates and the result is exact; otherwise (an order line without its
+    product) the full join plan is returned instead. All steps run while
+    the plan is built.
     """
     if k <= 0:
         return top_recommendations(recommendations, products, min_score, k)
@@ -373,20 +382,23 @@ def top_recommendations_prefiltered(
         .collect()
     )
     if len(head) < k:
-        candidates = r
-    else:
-        s_b, c_b = head[-1]["score"], head[-1]["customer_id"]
-        tie = F.col("customer_id").isNull()
-        if c_b is not None:
-            tie = tie | (F.col("customer_id") <= F.lit(c_b))
-        candidates = r.where((F.col("score") > F.lit(s_b)) | ((F.col("score") == F.lit(s_b)) & tie))
+        return top_recommendations(recommendations, products, min_score, k)
+    s_b, c_b = head[-1]["score"], head[-1]["customer_id"]
+    tie = F.col("customer_id").isNull()
+    if c_b is not None:
+        tie = tie | (F.col("customer_id") <= F.lit(c_b))
+    ensure_checkpoint_dir(r.sparkSession)
+    candidates = r.where((F.col("score") > F.lit(s_b)) | ((F.col("score") == F.lit(s_b)) & tie)).checkpoint()
+    if candidates.count() <= CANDIDATE_BROADCAST_ROWS:
+        candidates = F.broadcast(candidates)
     p = products.select("product_id", "product_name", "category")
     joined = candidates.join(p, "product_id").select(
         "customer_id", "product_name", "category", "score", "reason"
     )
-    if len(head) == k and joined.limit(k).count() < k:
+    top = top_k(joined, ["score"], k).checkpoint()
+    if top.count() < k:
         return top_recommendations(recommendations, products, min_score, k)
-    return top_k(joined, ["score"], k)
+    return top
 
 
 TOP_RECOMMENDATIONS_SQL = """

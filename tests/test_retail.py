@@ -455,3 +455,12 @@ def test_aqe_turns_small_sort_merge_joins_into_hash_joins(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert got == sorted(map(tuple, retail.product_units_sql(spark, r.orders, "F").collect()))
+
+
+def test_prefiltered_top_k_without_candidate_broadcast(spark, seeded, monkeypatch):
+    """Above the candidate row bound the prefiltered top-k joins without a
+    broadcast (the other way beyond the size check); same rows either way."""
+    recs, prods = seeded["recommendations"], seeded["products"]
+    want = retail.top_recommendations(recs, prods, 0.7, 20).collect()
+    monkeypatch.setattr(retail, "CANDIDATE_BROADCAST_ROWS", 0)
+    assert retail.top_recommendations_prefiltered(recs, prods, 0.7, 20).collect() == want
