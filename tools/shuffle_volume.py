@@ -36,6 +36,9 @@ def main() -> None:
         extra={
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": log_dir,
+            # one plain JSON-lines file (Spark 4 otherwise rolls and compresses)
+            "spark.eventLog.rolling.enabled": "false",
+            "spark.eventLog.compress": "false",
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         },
@@ -51,7 +54,8 @@ def main() -> None:
     written = defaultdict(int)
     records = defaultdict(int)
     stages = defaultdict(set)
-    for path in glob.glob(os.path.join(log_dir, "*")):
+    paths = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
+    for path in sorted(paths):
         with open(path) as f:
             for line in f:
                 ev = json.loads(line)
