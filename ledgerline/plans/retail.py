@@ -292,7 +292,7 @@ SESSION_SUMMARY_TOP_PREFILTERED_SQL = """
 WITH first_keys AS (
   SELECT DISTINCT {keys} FROM {clickstream} ORDER BY {keys} LIMIT :k
 )
-SELECT {keys},
+SELECT /*+ BROADCAST(f) */ {keys},
        COUNT(*) AS events_in_session,
        COUNT(DISTINCT product_id) AS products_viewed,
        CAST(SUM(CASE WHEN event_type = :purchase THEN 1 ELSE 0 END) AS BIGINT) AS purchases,
@@ -310,7 +310,8 @@ def session_summary_top_prefiltered_sql(
     keys=("session_id", "customer_id", "device"),
     purchase: str = "purchase", add_to_cart: str = "add_to_cart",
 ) -> DataFrame:
-    """SQL form of :func:`session_summary_top_prefiltered` (k > 0)."""
+    """SQL form of :func:`session_summary_top_prefiltered` (k > 0); the
+    broadcast hint holds at most k key rows."""
     key_list = ", ".join(f"`{c}`" for c in keys)
     on = " AND ".join(f"c.`{c}` <=> f.`{c}`" for c in keys)
     text = SESSION_SUMMARY_TOP_PREFILTERED_SQL.replace("{keys}", key_list).replace("{on}", on)

@@ -464,3 +464,23 @@ def test_prefiltered_top_k_without_candidate_broadcast(spark, seeded, monkeypatc
     want = retail.top_recommendations(recs, prods, 0.7, 20).collect()
     monkeypatch.setattr(retail, "CANDIDATE_BROADCAST_ROWS", 0)
     assert retail.top_recommendations_prefiltered(recs, prods, 0.7, 20).collect() == want
+
+
+def test_prefiltered_session_top_sql_broadcasts_keys_only(spark):
+    """With broadcasting disabled (the 100 TB regime) the SQL form still
+    broadcasts only the k first keys, so the clickstream is never shuffled
+    for the semi-join."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        cs = driver_roles(spark, SF01).clickstream
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            retail.session_summary_top_prefiltered_sql(spark, cs, 20, **SESSION_KW).explain()
+        plan = buf.getvalue()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
