@@ -12,9 +12,11 @@ Mixing, with M = 2³¹−1: a per-row part shared by every column,
 per-column affine step ``(m * a + b) mod M`` whose constants come from the
 salt. The shared part is textually identical in every column, so Spark's
 subexpression elimination computes it once per row and each generated
-column adds only a multiply and a modulo — a 50-column table stays small
-enough for the JIT to compile. Every intermediate stays below 2⁶², so
-64-bit arithmetic never overflows (ANSI mode raises on overflow).
+column adds only a multiply and a modulo. A 50-column table still fuses
+into one whole-stage method too big for the JIT, so the session sets
+``spark.sql.codegen.hugeMethodLimit`` (see ``ledgerline.session``) and
+Spark compiles such a stage per expression. Every intermediate stays below
+2⁶², so 64-bit arithmetic never overflows (ANSI mode raises on overflow).
 """
 
 from __future__ import annotations

@@ -31,6 +31,10 @@ SCALE_CONFS = {
     # shuffled hash join, so the big side is not sorted; a skewed partition
     # above it keeps the sort-merge join and AQE's skew split
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "256m",
+    # a whole-stage method over HotSpot's 8000-byte JIT limit runs
+    # interpreted (a 50-column generated table: 5x slower); above this
+    # size Spark compiles that stage per expression instead (split methods)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
