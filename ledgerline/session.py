@@ -115,9 +115,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
     used as-is. Only a local-mode session with no setting (local runs,
     tests) gets a fresh scratch folder; a cluster session without one is an
-    error, so lineage cuts never land on a machine-local path.
+    error, so lineage cuts never land on a machine-local path. Under Spark
+    Connect the server's own setting applies and is returned as configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no client-side context
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

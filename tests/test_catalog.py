@@ -211,3 +211,21 @@ def test_checkpoint_dir_policy():
         ensure_checkpoint_dir(_StubSession("k8s://api:443"))
     local = ensure_checkpoint_dir(_StubSession("local[2]"))
     assert local and "ledgerline-ckpt-" in local
+
+
+class _ConnectLikeSession:
+    """No client-side SparkContext (as under Spark Connect)."""
+
+    def __init__(self, confs):
+        self.conf = _StubConf(confs)
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("not available")
+
+
+def test_checkpoint_dir_without_spark_context():
+    from ledgerline.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(_ConnectLikeSession({"spark.checkpoint.dir": "s3a://b/ck"})) == "s3a://b/ck"
+    assert ensure_checkpoint_dir(_ConnectLikeSession({})) == ""
