@@ -31,3 +31,26 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(orows)
     assert digest(srows, df.columns) == digest(orows, rel.columns)
+
+
+def test_bench_prints_one_json_line():
+    """bench.py (the driver's per-round benchmark) prints exactly one JSON
+    line with the metric, unit, per-query seconds and scale factor."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_REPEAT="1")
+    out = subprocess.run(
+        [sys.executable, os.path.join(root, "bench.py"), "product_margin", "session_summary_top20_prefiltered"],
+        env=env, capture_output=True, text=True, timeout=600, check=True,
+    ).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1, out
+    d = json.loads(lines[0])
+    assert d["metric"] == "total_query_seconds" and d["unit"] == "sec" and d["sf"] == 0.001
+    assert set(d["queries"]) == {"product_margin", "session_summary_top20_prefiltered"}
+    assert all(isinstance(v, float) and v > 0 for v in d["queries"].values())
+    assert "errors" not in d
