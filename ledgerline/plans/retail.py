@@ -128,20 +128,23 @@ def order_enrichment_by_header(
     product) instead of three times (by order, by customer, by product);
     the customer shuffle moves only completed headers.
 
-    The line ⋈ header join is a shuffled hash join that builds on the
-    headers. Without table statistics Catalyst sizes a join as the product
-    of its inputs, so it would never build on ``h`` and would instead
-    broadcast the line stream whenever that fits the threshold. ``h`` has
-    one row per order (no build-side skew), and each build partition is
-    bounded by AQE's advisory partition size. The line stream is probed
-    without a sort, and AQE still splits a hot order on the probe side.
+    No join strategy is forced. With nothing broadcastable, the line ⋈
+    header join is planned as a sort-merge join, and AQE turns it into a
+    shuffled hash join built on the headers once every measured header
+    partition fits ``maxShuffledHashJoinLocalMapThreshold`` (see
+    ``ledgerline.session``), so the line stream is not sorted. A forced
+    ``shuffle_hash`` hint would skip that measured check, and a hash join
+    cannot spill, so with too few shuffle partitions a slow job would become
+    a failed one. Without table statistics, Catalyst sizes ``h`` (a join) as the
+    product of its inputs. Where the line projection fits under
+    ``autoBroadcastJoinThreshold`` (small scale factors only), Spark's
+    size check may therefore broadcast the lines instead.
     """
     h = (
         headers.where(F.col("status") == F.lit(completed))
         .select("order_id", "customer_id")
         .join(customers.select("customer_id", "segment"), "customer_id")
         .select("order_id", "segment")
-        .hint("shuffle_hash")
     )
     p = products.select("product_id", "category")
     return (
@@ -167,7 +170,7 @@ WITH h AS (
   JOIN {customers} c ON oh.customer_id = c.customer_id
   WHERE oh.status = :completed
 )
-SELECT /*+ SHUFFLE_HASH(h) */ h.segment, p.category,
+SELECT h.segment, p.category,
        COUNT(*) AS total_orders,
        SUM(l.quantity) AS total_units,
        ROUND(SUM(CAST(l.unit_price AS DOUBLE) * CAST(l.quantity AS DOUBLE)), 2) AS total_revenue
