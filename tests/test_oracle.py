@@ -54,3 +54,30 @@ def test_bench_prints_one_json_line():
     assert set(d["queries"]) == {"product_margin", "session_summary_top20_prefiltered"}
     assert all(isinstance(v, float) and v > 0 for v in d["queries"].values())
     assert "errors" not in d
+
+
+def test_every_query_matches_oracle_without_broadcasts(spark, duck):
+    """The 100 TB regime: with broadcasting disabled (sort-merge joins, AQE's
+    measured hash-join conversion, tiny advisory partitions so AQE coalesces
+    and splits), every registered query still returns its oracle's rows."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    bad = []
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        for name, fn in sorted(E.queries().items()):
+            df = fn(spark, SF01)
+            srows = [tuple(r) for r in df.collect()]
+            rel = duck.sql(ORACLES[name])
+            if digest(srows, df.columns) != digest(rel.fetchall(), rel.columns):
+                bad.append(name)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert not bad, bad
