@@ -9,9 +9,11 @@ rows (tested both ways with ``exceptAll``).
 Scale notes (planner output checked with ``explain("formatted")``):
   * filters on the fact (``status``, ``score``) are pushed into the Parquet
     scan below the joins;
-  * dimension joins carry no broadcast hint unless the dimension has a fixed
-    size: the planner's statistics check (``autoBroadcastJoinThreshold``)
-    decides, and AQE re-decides from measured shuffle sizes;
+  * no join carries a broadcast hint unless that side has a proven bound (a
+    fixed-size dimension, the k first keys of a top-k, a counted candidate
+    set): otherwise the planner's statistics check
+    (``autoBroadcastJoinThreshold``) decides, and AQE re-decides from
+    measured shuffle sizes (broadcast, or a hash join instead of a sort);
   * aggregates run partial (map-side) then final, so a hot group key is
     collapsed before the shuffle.
 """
