@@ -10,8 +10,7 @@ Scale notes (planner output checked with ``explain("formatted")``):
   * filters on the fact (``status``, ``score``) are pushed into the Parquet
     scan below the joins;
   * no join carries a broadcast hint unless that side has a proven bound (a
-    fixed-size dimension, the k first keys of a top-k, a counted candidate
-    set): otherwise the planner's statistics check
+    fixed-size dimension, a counted candidate set): otherwise the planner's statistics check
     (``autoBroadcastJoinThreshold``) decides, and AQE re-decides from
     measured shuffle sizes (broadcast, or a hash join instead of a sort);
   * aggregates run partial (map-side) then final, so a hot group key is
@@ -250,22 +249,24 @@ def session_summary_top_prefiltered(clickstream: DataFrame, k: int = 20, **kw) -
     aggregate — same rows as :func:`session_summary_top`.
 
     The result is ordered by the group keys, so the k groups it keeps are
-    the k smallest distinct keys. Those are found from the key columns
-    alone (deduplicated map-side, then TakeOrderedAndProject), and only
-    their rows are semi-joined back (a broadcast of at most k rows, null-safe
-    since NULL keys sort first) and aggregated. At scale this replaces the
-    two full shuffles of the exact distinct count with one shuffle of
-    deduplicated key columns and a scan; a hot group among the k still
-    reduces map-side before its shuffle. Lazy: no job runs until an action.
+    the k smallest distinct keys, and their rows are exactly the rows whose
+    key tuple is at most the k-th of them (ascending, NULLs first, which is
+    how Spark orders structs). That bound is a scalar subquery over the key
+    columns alone (deduplicated map-side, then TakeOrderedAndProject, then
+    ``max(struct(keys))``). The filter ``struct(keys) <= bound`` needs no
+    join or broadcast, and Catalyst pushes it below the projection, so
+    computed columns are evaluated only for surviving rows. At scale this
+    replaces the two full shuffles of the exact distinct count with one
+    shuffle of deduplicated key columns and a scan; a hot group among the k
+    still reduces map-side before its shuffle. Lazy: the bound is computed
+    when the query runs.
     """
     keys = list(kw.get("keys", ("session_id", "customer_id", "device")))
     if k <= 0:
         return session_summary_top(clickstream, k, **kw)
-    first = top_k(clickstream.select(*keys).dropDuplicates(), keys, k, descending=False).select(
-        *[F.col(c).alias(f"_first_{c}") for c in keys]
-    )
-    cond = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in keys]
-    rows = clickstream.join(F.broadcast(first), cond, "left_semi")
+    first = top_k(clickstream.select(*keys).dropDuplicates(), keys, k, descending=False)
+    bound = first.agg(F.max(F.struct(*keys))).scalar()
+    rows = clickstream.where(F.struct(*keys) <= bound)
     return top_k(session_summary(rows, **kw), keys, k, descending=False)
 
 
@@ -297,13 +298,13 @@ SESSION_SUMMARY_TOP_PREFILTERED_SQL = """
 WITH first_keys AS (
   SELECT DISTINCT {keys} FROM {clickstream} ORDER BY {keys} LIMIT :k
 )
-SELECT /*+ BROADCAST(f) */ {keys},
+SELECT {keys},
        COUNT(*) AS events_in_session,
        COUNT(DISTINCT product_id) AS products_viewed,
        CAST(SUM(CASE WHEN event_type = :purchase THEN 1 ELSE 0 END) AS BIGINT) AS purchases,
        CAST(SUM(CASE WHEN event_type = :add_to_cart THEN 1 ELSE 0 END) AS BIGINT) AS add_to_carts
-FROM {clickstream} c
-LEFT SEMI JOIN first_keys f ON {on}
+FROM {clickstream}
+WHERE struct({keys}) <= (SELECT max(struct({keys})) FROM first_keys)
 GROUP BY {keys}
 ORDER BY {keys}
 LIMIT :k
@@ -315,11 +316,10 @@ def session_summary_top_prefiltered_sql(
     keys=("session_id", "customer_id", "device"),
     purchase: str = "purchase", add_to_cart: str = "add_to_cart",
 ) -> DataFrame:
-    """SQL form of :func:`session_summary_top_prefiltered` (k > 0); the
-    broadcast hint holds at most k key rows."""
+    """SQL form of :func:`session_summary_top_prefiltered` (k > 0): the
+    same key bound as a scalar subquery."""
     key_list = ", ".join(f"`{c}`" for c in keys)
-    on = " AND ".join(f"c.`{c}` <=> f.`{c}`" for c in keys)
-    text = SESSION_SUMMARY_TOP_PREFILTERED_SQL.replace("{keys}", key_list).replace("{on}", on)
+    text = SESSION_SUMMARY_TOP_PREFILTERED_SQL.replace("{keys}", key_list)
     return spark.sql(
         text, args={"k": k, "purchase": purchase, "add_to_cart": add_to_cart},
         clickstream=clickstream,

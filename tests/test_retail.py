@@ -391,25 +391,36 @@ def test_prefiltered_session_top_edges(spark):
     assert retail.session_summary_top_prefiltered(cs, 0, **SESSION_KW).count() == 0
 
 
-def test_plan_prefiltered_session_top(spark):
-    """Only the k first keys are broadcast (a bounded build side), and the
-    full clickstream is never shuffled with its measures: every
-    hash exchange below the semi-join carries key columns only."""
-    cs = driver_roles(spark, SF01).clickstream
+def _optimized(df):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        retail.session_summary_top_prefiltered(cs, 20, **SESSION_KW).explain()
-    lines = buf.getvalue().splitlines()
-    semi = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line)
-    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-    # measure-carrying exchanges sit above the semi-join (rows of k groups only)
-    assert all(i < semi for i in exchanges if "product_id" in lines[i])
-    # below it, one exchange of deduplicated keys read from two columns
-    below = [i for i in exchanges if i > semi]
-    assert len(below) == 1 and "product_id" not in lines[below[0]]
-    scan = next(line for line in lines[below[0]:] if "FileScan" in line)
-    assert "FileScan parquet [event_id#" in scan and "props" not in scan.split("]")[0]
-    assert any("TakeOrderedAndProject(limit=20" in line for line in lines[semi:below[0]])
+        df.explain("extended")
+    text = buf.getvalue()
+    return text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+
+
+def test_plan_prefiltered_session_top(spark):
+    """The k first groups are selected by a key bound (a scalar subquery over
+    deduplicated key columns), not a join: no broadcast, and the filter sits
+    below the projection, so the JSON product field is parsed only for rows
+    of the k groups (DataFrame and SQL forms, also with broadcasting off)."""
+    cs = driver_roles(spark, SF01).clickstream
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for form in (retail.session_summary_top_prefiltered(cs, 20, **SESSION_KW),
+                     retail.session_summary_top_prefiltered_sql(spark, cs, 20, **SESSION_KW)):
+            lines = _optimized(form).splitlines()
+            assert not any("Join" in line for line in lines)
+            bound = next(i for i, line in enumerate(lines) if "Filter" in line and "scalar-subquery" in line)
+            parse = next(i for i, line in enumerate(lines) if "get_json_object" in line)
+            assert parse < bound  # the projection is the filter's parent
+            assert any("Limit 20" in line for line in lines[bound:])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_hot_order_hash_join_is_split_by_aqe(spark, products):
@@ -480,23 +491,3 @@ def test_prefiltered_top_k_without_candidate_broadcast(spark, seeded, monkeypatc
     want = retail.top_recommendations(recs, prods, 0.7, 20).collect()
     monkeypatch.setattr(retail, "CANDIDATE_BROADCAST_ROWS", 0)
     assert retail.top_recommendations_prefiltered(recs, prods, 0.7, 20).collect() == want
-
-
-def test_prefiltered_session_top_sql_broadcasts_keys_only(spark):
-    """With broadcasting disabled (the 100 TB regime) the SQL form still
-    broadcasts only the k first keys, so the clickstream is never shuffled
-    for the semi-join."""
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
-    try:
-        for k in keys:
-            spark.conf.set(k, "-1")
-        cs = driver_roles(spark, SF01).clickstream
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            retail.session_summary_top_prefiltered_sql(spark, cs, 20, **SESSION_KW).explain()
-        plan = buf.getvalue()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
