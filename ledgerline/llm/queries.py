@@ -25,3 +25,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of every document and the verdict of the latest policy."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.quality_rules import ledger, passes
+
+    return ledger(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~passes("base")).alias("base_failed"), passes("v2").alias("kept"))
+
+
+def _add_oracles() -> None:
+    from ledgerline.llm.quality_rules import op8_oracle
+
+    ORACLE_SQL["op8_quality_rules"] = op8_oracle()
+
+
+_add_oracles()
