@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,20 +18,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 @query
-def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document packed into sequences of at most 4096 tokens."""
-    import public_tokenizers
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    from ledgerline.llm import language_id as L
 
-    from ledgerline.llm.packing import pack
-
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents")
+    model = L.fit(docs.filter(~held_out("doc_id", 3, 1)))
+    return L.predict(docs, model).select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every document and the verdict of the latest policy."""
-    from pyspark.sql import functions as F
-
     from ledgerline.llm.quality_rules import ledger, passes
 
     return ledger(table(spark, sf_dir, "documents")).select(
@@ -39,6 +38,28 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~passes("base")).alias("base_failed"), passes("v2").alias("kept"))
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from labels not held out."""
+    from ledgerline.llm import gradient_boosting as G
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = G.fit(docs, labels.filter(~held_out("doc_id", 5, 0)), "quality")
+    return G.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    from ledgerline.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _add_oracles() -> None:
     from ledgerline.llm.quality_rules import op8_oracle
 
