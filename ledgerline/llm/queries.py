@@ -28,6 +28,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, learned from labels not held out."""
+    from ledgerline.llm import toxicity as T
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = T.fit(docs, labels.filter(~held_out("doc_id", 4, 2)))
+    return T.score(docs, model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every document and the verdict of the latest policy."""
