@@ -17,6 +17,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    from ledgerline.llm.jaccard_join import jaccard_classes
+
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those not held out."""
