@@ -17,6 +17,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier one holds."""
+    from ledgerline.llm.substring_dedup import substring_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs).select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
