@@ -266,3 +266,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"),
         F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class: the one with the least id, repeated rows
+    once. Rows without a shingle or without an id stay as they are."""
+    classes = jaccard_classes(docs, id_col, text_col)
+    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
+    rest = docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    word = F.coalesce(F.col(text_col).rlike(r"\S"), F.lit(False)) & F.col(id_col).isNotNull()
+    # rows that repeat an id are neighbours after the join, so this needs no shuffle of its own
+    return rest.filter(word).dropDuplicates(docs.columns).unionByName(docs.filter(~word))
