@@ -4,11 +4,13 @@
    benchmark item holds too (no other word can add to a product with an item).
 2. Document frequencies over passages of ``PASSAGE`` words give the IDF weights.
 3. A randomised SVD of the TF-IDF passages of the whole corpus and the items:
-   each round, tasks multiply their passages with the current basis and back,
-   the products are summed by blocks of terms, and a QR step of that terms x
-   rank matrix gives the next basis. Its size depends on the benchmark only.
+   tasks multiply their passages with a random matrix and back, the products
+   are summed by blocks of terms, and a QR step of that terms x rank matrix
+   gives the basis. Its size depends on the benchmark only.
 4. Windows of two and four blocks of ``STEP`` words are projected and compared
-   with all items by cosine; those above ``COSINE`` are candidates.
+   with all items; a window is a candidate for an item if their cosine is
+   ``COSINE`` or more and it holds ``MASS`` of the item's latent vector. A window
+   too short for the least item's mass is not compared at all.
 5. A candidate is a leak if the longest common subsequence of words holds
    ``LCS`` of the item, or ``LCS_WITH_ANSWER`` of it and ``ANSWER`` of the item's
    answer (its last sentence, or its last quarter), and the words in common
@@ -37,8 +39,9 @@ from ledgerline.llm import textstats
 from ledgerline.llm.common import written
 
 PASSAGE, STEP = 48, 12
-RANK, OVERSAMPLE, ROUNDS = 64, 8, 2
-COSINE = 0.5
+RANK, OVERSAMPLE, ROUNDS = 128, 8, 1
+COSINE, MASS = 0.4, 0.35
+WORDS_AT_ONCE = 200_000
 LCS, LCS_WITH_ANSWER, ANSWER, RARE = 0.8, 0.6, 0.8, 0.6
 ITEMS = 2_000
 TERM_BLOCK, SALTS = 64, 8
@@ -63,11 +66,13 @@ def answer_of(text: str) -> list[str]:
 
 def _places(vocabulary: dict[str, int]):
     """Document -> its number of words and the (place, term) of shared ones."""
+    find = vocabulary.get
+
     def run(batches):
         for batch in batches:
             for part in textstats.slices(batch, 1):
                 words, codes, bounds = textstats.word_codes(pc.utf8_lower(textstats.filled(part.column(1))))
-                term = np.array([vocabulary.get(clean(w), -1) for w in words] or [-1], np.int32)
+                term = np.array([find(w, -1) if w.isalnum() else find(clean(w), -1) for w in words] or [-1], np.int32)
                 terms = term[codes] if len(codes) else np.zeros(0, np.int32)
                 place = (np.arange(len(codes)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.int32)
                 known = terms >= 0
@@ -80,24 +85,65 @@ def _places(vocabulary: dict[str, int]):
     return run
 
 
-def _flat(batch: pa.RecordBatch, width: int):
-    """Terms of a batch, the cell (run of ``width`` words) of each, and the
-    first cell of each document; a document has at least one cell."""
-    place = batch.column("place")
-    cells = np.maximum(1, -(-batch.column("n_words").to_numpy() // width))
-    first = np.concatenate([[0], np.cumsum(cells)])
-    of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(place).to_numpy(zero_copy_only=False))
-    return (batch.column("term").flatten().to_numpy(), first[of] + place.flatten().to_numpy() // width, first)
+def _some(batches):
+    """Row slices of about WORDS_AT_ONCE words (a longer document alone)."""
+    for b in batches:
+        cuts = np.flatnonzero(np.diff(np.cumsum(b.column("n_words").to_numpy()) // WORDS_AT_ONCE)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+            if hi > lo:
+                yield b.slice(lo, hi - lo)
+
+
+class Words:
+    """The shared words of some documents, dealt into cells of STEP words."""
+
+    def __init__(self, b: pa.RecordBatch):
+        self.place, self.term = (b.column(c).flatten().to_numpy() for c in ("place", "term"))
+        per_doc = pc.list_value_length(b.column("place")).to_numpy(zero_copy_only=False)
+        self.bounds = np.concatenate([[0], np.cumsum(per_doc)])
+        doc = np.repeat(np.arange(b.num_rows), per_doc)
+        cells = np.maximum(1, -(-b.column("n_words").to_numpy() // STEP))
+        self.first = np.concatenate([[0], np.cumsum(cells)])
+        self.doc_of = np.repeat(np.arange(b.num_rows), cells)
+        self.nth = np.arange(len(self.doc_of)) - self.first[self.doc_of]
+        self.cell = self.first[doc] + self.place // STEP
+        # passages: PASSAGE // STEP cells of a document each
+        per = PASSAGE // STEP
+        passages = np.concatenate([[0], np.cumsum(-(-cells // per))])
+        self.n_passages = int(passages[-1])
+        self.passage_of = passages[self.doc_of] + self.nth // per
+        self.passage = self.passage_of[self.cell]
+
+    def cell_sums(self, table: np.ndarray) -> np.ndarray:
+        """Sum of the terms' rows by cell; the table's last row is of zeros."""
+        at = np.full((len(self.doc_of), STEP), len(table) - 1, np.int32)
+        at[self.cell, self.place % STEP] = self.term
+        out = table[at[:, 0]]
+        for k in range(1, STEP):
+            out += table[at[:, k]]
+        return out
+
+    def passage_sums(self, table: np.ndarray) -> np.ndarray:
+        cells = self.cell_sums(table)
+        out = np.zeros((self.n_passages, table.shape[1]), np.float32)
+        for k in range(PASSAGE // STEP):
+            own = self.nth % (PASSAGE // STEP) == k
+            out[self.passage_of[own]] += cells[own]
+        return out
+
+
+def _weighted(m: dict) -> np.ndarray:
+    return np.vstack([m["idf"][:, None] * m["basis"], np.zeros((1, m["basis"].shape[1]), np.float32)])
 
 
 def _frequencies(n_terms: int):
     def run(batches):
         df, n = np.zeros(n_terms, np.int64), 0
-        for b in batches:
-            term, cell, first = _flat(b, PASSAGE)
-            pairs = np.unique(cell.astype(np.int64) * n_terms + term)
+        for b in _some(batches):
+            w = Words(b)
+            pairs = np.unique(w.passage.astype(np.int64) * n_terms + w.term)
             df += np.bincount(pairs % n_terms, minlength=n_terms)
-            n += int(first[-1])
+            n += w.n_passages
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({  # term -1 carries the number of passages
             "term": pa.array([-1, *seen.tolist()], pa.int32()), "df": pa.array([n, *df[seen].tolist()], pa.int64())})
@@ -107,19 +153,17 @@ def _frequencies(n_terms: int):
 def _back_and_forth(shared):
     """Sums of A'(AQ) over a task's passages, by blocks of terms."""
     def run(batches):
-        weighted = shared.value["idf"][:, None] * shared.value["basis"]
-        idf, out, salt = shared.value["idf"], np.zeros_like(weighted), 0
-        for b in batches:
-            term, cell, first = _flat(b, PASSAGE)
-            if not len(term):
-                continue
+        table, idf, salt = _weighted(shared.value), shared.value["idf"], 0
+        out = np.zeros_like(table[:-1])
+        for b in _some(batches):
+            w = Words(b)
             salt = int(b.column("doc_id")[0].as_py() or 0) % SALTS
-            y = _cell_sums(weighted[term], cell, int(first[-1]))
-            order = np.argsort(term, kind="stable")
-            at = np.flatnonzero(np.diff(term[order], prepend=-1))
-            sums = np.add.reduceat(y[cell[order]], at, axis=0)
-            own = term[order][at]
-            out[own] += sums * idf[own, None]
+            y = w.passage_sums(table)
+            order = np.argsort(w.term, kind="stable")
+            rows, own = y[w.passage[order]], w.term[order]
+            at = np.flatnonzero(np.diff(own, prepend=-1)).tolist()
+            for lo, hi in zip(at, [*at[1:], len(own)]):
+                out[own[lo]] += rows[lo:hi].sum(0) * idf[own[lo]]
         for k in range(0, len(out), TERM_BLOCK):
             part = out[k:k + TERM_BLOCK]
             if part.any():
@@ -129,15 +173,6 @@ def _back_and_forth(shared):
     return run
 
 
-def _cell_sums(rows: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
-    """Sum of rows by cell; ``cell`` is ascending."""
-    out = np.zeros((cells, rows.shape[1]), np.float32)
-    if len(cell):
-        at = np.flatnonzero(np.diff(cell, prepend=-1))
-        out[cell[at]] = np.add.reduceat(rows, at, axis=0)
-    return out
-
-
 def _add_up(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(s, np.float32).astype(np.float64) for s in pdf["sums"])
     return pd.DataFrame({"block": [key[0]], "sums": [total.astype(np.float32).tobytes()]})
@@ -153,7 +188,8 @@ def latent_basis(places: DataFrame, items: list[np.ndarray], n_terms: int) -> tu
             passages = r["df"]
         else:
             df[r.term] = r["df"]
-    idf = np.log1p((1 + passages) / (1 + df)).astype(np.float32)
+    # squared, so that a window's direction is that of its rare words
+    idf = (np.log1p((1 + passages) / (1 + df)) ** 2).astype(np.float32)
     # the items are passages too; each weighs as much as the corpus passages do per item
     weight = max(1.0, passages / max(1, len(items)))
     rank = min(RANK + OVERSAMPLE, n_terms)
@@ -199,10 +235,11 @@ def _bits(terms: np.ndarray) -> dict[int, int]:
 def _search(shared):
     def run(batches):
         m = shared.value
-        weighted = m["idf"][:, None] * m["basis"]
+        table = _weighted(m)
         items, answers = m["items"], m["answers"]
-        latent = np.stack([weighted[t].sum(0) for t in items])
-        latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+        latent = np.stack([table[t].sum(0) for t in items])
+        length = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
+        latent /= length[:, None]
         masks, answer_masks = [_bits(t) for t in items], [_bits(t) for t in answers]
         totals = [float(m["idf"][t].sum()) for t in items]
 
@@ -215,46 +252,41 @@ def _search(shared):
                 return None
             answer = lcs_length(answer_masks[k], len(answers[k]), tokens) / len(answers[k])
             own, n_own = np.unique(items[k], return_counts=True)
-            there = np.bincount(terms[a:b], minlength=len(m["idf"]))[own]
+            there = (terms[a:b][:, None] == own).sum(0)
             rare = float((m["idf"][own] * np.minimum(n_own, there)).sum()) / totals[k]
             if rare < RARE or share < LCS and answer < ANSWER:
                 return None
             return share, answer, max(0, lo), hi
 
-        for whole in batches:
-            for lo_row in range(0, whole.num_rows, 500):
-                b = whole.slice(lo_row, 500)
-                term, cell, first = _flat(b, STEP)
-                cells = _cell_sums(weighted[term], cell, int(first[-1]))
-                doc_of = np.repeat(np.arange(b.num_rows), np.diff(first))
-                inside = lambda n: np.append(doc_of[n:] == doc_of[:-n], np.zeros(min(n, len(doc_of)), bool))
-                two = cells + np.where(inside(1)[:, None], np.roll(cells, -1, 0), 0)
-                four = two + np.where(inside(2)[:, None], np.roll(two, -2, 0), 0)
-                nth = np.arange(len(doc_of)) - first[doc_of]
-                hits = []
-                for z, width, use in ((two, 2, np.arange(len(two))), (four, 4, np.flatnonzero(nth % 2 == 0))):
-                    z = z[use]
-                    cos = z @ latent.T
-                    bound = COSINE * np.maximum(np.linalg.norm(z, axis=1), 1e-9)
-                    w, k = np.nonzero(cos >= bound[:, None])
-                    hits += zip((cos[w, k] / bound[w] * COSINE).tolist(), use[w].tolist(), k.tolist(), [width] * len(w))
-                best = {}
-                offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(b.column("place")).to_numpy(zero_copy_only=False))])
-                places = b.column("place").flatten().to_numpy()
-                for cosine, c, k, width in sorted(hits, reverse=True):
-                    d = int(doc_of[c])
-                    if best.get((d, k), (0,))[0] == 1.0:
-                        continue
-                    a, z = offsets[d], offsets[d + 1]
-                    lo = int(nth[c]) * STEP
-                    got = verify(term[a:z], places[a:z], lo, lo + width * STEP, k)
-                    if got and got > best.get((d, k), (0,)):
-                        best[d, k] = (*got, cosine)
-                ids = b.column("doc_id").to_pylist()
-                rows = [(ids[d], m["ids"][k], c, s, a, lo, hi) for (d, k), (s, a, lo, hi, c) in sorted(best.items())]
-                yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((
-                    ("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()),
-                    ("answer_share", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())))})
+        for b in _some(batches):
+            w = Words(b)
+            cells = w.cell_sums(table)
+            follows = lambda n: np.append(w.doc_of[n:] == w.doc_of[:-n], np.zeros(min(n, len(w.doc_of)), bool))
+            two = cells + np.where(follows(1)[:, None], np.roll(cells, -1, 0), 0)
+            four = two + np.where(follows(2)[:, None], np.roll(two, -2, 0), 0)
+            hits = []
+            for z, width, use in ((two, 2, np.arange(len(two))), (four, 4, np.flatnonzero(w.nth % 2 == 0))):
+                norm = np.sqrt(np.einsum("ij,ij->i", z, z))
+                # a product with a unit vector is at most the norm: nothing is lost here
+                use = use[norm[use] >= MASS * length.min()]
+                product = z[use] @ latent.T
+                at, k = np.nonzero((product >= COSINE * norm[use, None]) & (product >= MASS * length))
+                hits += zip((product[at, k] / norm[use[at]]).tolist(), use[at].tolist(), k.tolist(), [width] * len(at))
+            best = {}
+            for cosine, c, k, width in sorted(hits, reverse=True):
+                d = int(w.doc_of[c])
+                if best.get((d, k), (0,))[0] == 1.0:
+                    continue
+                a, z = w.bounds[d], w.bounds[d + 1]
+                lo = int(w.nth[c]) * STEP
+                got = verify(w.term[a:z], w.place[a:z], lo, lo + width * STEP, k)
+                if got and got > best.get((d, k), (0,)):
+                    best[d, k] = (*got, cosine)
+            ids = b.column("doc_id").to_pylist()
+            rows = [(ids[d], m["ids"][k], c, s, a, lo, hi) for (d, k), (s, a, lo, hi, c) in sorted(best.items())]
+            yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((
+                ("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()),
+                ("answer_share", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())))})
     return run
 
 
