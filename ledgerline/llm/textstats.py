@@ -29,8 +29,13 @@ def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words, each occurrence's place among them, and the bounds of each text."""
     words = pc.ascii_split_whitespace(texts)
     coded = pc.dictionary_encode(words.flatten())
+    vocabulary, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
     bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), bounds.astype(np.int64)
+    if "" in vocabulary:  # the split leaves one at the ends of some texts, and in empty ones
+        real = codes != vocabulary.index("")
+        bounds = np.concatenate([[0], np.cumsum(real)])[bounds]
+        codes = codes[real]
+    return vocabulary, codes, bounds.astype(np.int64)
 
 
 def code_points(text: str) -> np.ndarray:
