@@ -43,13 +43,15 @@ from ledgerline.llm.common import bounded_sample, written
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3_000, 6_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, HARD_LANDMARKS = 96, 32, 64
 MIN_TIE = 20.0          # likelihood ratio that ties a word to toxic documents
-TRAIN_SENTENCES = 30_000
+TRAIN_SENTENCES = 16_000
 FIT_TASKS = 16
+NEAR = 0.3              # words less like every toxic landmark than this are neutral
 DECAY, REACH = 0.7, 5   # a triple spans at most REACH letters after its first
 WORD, STEP = 24, 12     # longer words are read in overlapping windows
 SENTENCE_WORDS = 32
 CODES = 64
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000   # in each of two generations
+WORDS_AT_ONCE = 8_000  # whose triples and kernel rows are in memory together
 EDGES = re.compile(r"[\W_]+")
 
 
@@ -62,10 +64,10 @@ def _letters(words: list[str]) -> np.ndarray:
 
     a-z and 0-9 have codes of their own; all other letters share the rest.
     """
-    out = np.zeros((len(words), WORD), np.int64)
+    lens = np.array([len(w) for w in words], np.int64)
+    out = np.zeros((len(words), max(int(lens.max(initial=0)), REACH + 1)), np.int64)
     if words:
         flat = textstats.code_points("".join(words)).astype(np.int64)
-        lens = np.array([len(w) for w in words])
         rows = np.repeat(np.arange(len(words)), lens)
         cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
         code = np.where((flat >= 97) & (flat <= 122), flat - 96,
@@ -112,14 +114,52 @@ def kernel(words: list[str], marks: np.ndarray, place: np.ndarray) -> np.ndarray
     return out * out
 
 
-def landmark_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def landmark_table(toxic: list[str], usual: list[str]) -> dict:
+    words = list(dict.fromkeys(w[:WORD] for w in toxic + usual))
     row, code, w = triples(words)
     known = np.unique(code)
     place = np.zeros(CODES**3, np.int32)
     place[known] = np.arange(1, len(known) + 1)
     marks = np.zeros((len(known) + 1, len(words)), np.float32)
     marks[place[code], row] = w
-    return marks, place
+    n_toxic = len({w[:WORD] for w in toxic})
+    return {"landmarks": words, "marks": marks, "place": place, "toxic": np.ascontiguousarray(marks[:, :n_toxic]),
+            "peak": marks[:, :n_toxic].max(1)}
+
+
+def _may_be_near(words: list[str], t: dict) -> np.ndarray:
+    """False only for words that cannot reach NEAR with any toxic landmark.
+
+    Each triple counts with its greatest weight in any toxic landmark, and the
+    word's norm as if no triple of it were repeated, which is a lower bound.
+    """
+    c = _letters(words)
+    most, norm = np.zeros(len(words)), np.full(len(words), 1e-12)
+    for far in range(2, REACH + 1):
+        first, last = c[:, :-far] * CODES**2, c[:, far:]
+        for near in range(1, far):
+            code = first + c[:, near:c.shape[1] - far + near] * CODES + last
+            there = last > 0
+            most += (t["peak"][t["place"][code]] * there).sum(1) * DECAY ** (far - 2)
+            norm += there.sum(1) * DECAY ** (2 * far - 4)
+    return most >= NEAR * np.sqrt(norm) * (1 - 1e-6)
+
+
+def near_kernel(words: list[str], t: dict):
+    """(rows, kernel values) of the words near a toxic landmark, a few at a time.
+
+    Words further than NEAR from every toxic landmark are neutral: the kernel's
+    map of them is 0. Words of like length are handled together.
+    """
+    order = np.argsort(np.array([len(w) for w in words], np.int64), kind="stable")
+    for lo in range(0, len(words), WORDS_AT_ONCE):
+        at = order[lo:lo + WORDS_AT_ONCE]
+        at = at[_may_be_near([words[i] for i in at], t)]
+        if len(at):
+            best = kernel([words[i] for i in at], t["toxic"], t["place"]).max(1)
+            at = at[best >= NEAR * NEAR]
+        if len(at):
+            yield at, kernel([words[i] for i in at], t["marks"], t["place"])
 
 
 def windows(word: str) -> list[str]:
@@ -166,8 +206,10 @@ def _disturbed(words: list[str], targets: set[str], rng: random.Random) -> list[
 def _linear_svm(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Squared-hinge SVM by Nesterov gradient steps, classes weighing the same."""
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    xb = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    step = 1 / (2 * np.linalg.norm(xb * np.sqrt(weight)[:, None], 2) ** 2 + l2)
+    weight = weight.astype(np.float32)
+    xb = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    y = y.astype(np.float32)
+    step = 1 / (2 * float(np.linalg.eigvalsh((xb.T * weight) @ xb)[-1]) + l2)
     w = v = np.zeros(xb.shape[1])
     for t in range(1, rounds + 1):
         slack = np.maximum(0, 1 - y * (xb @ v))
@@ -220,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     pos.sort(), neg.sort()
     rng = random.Random(7)
     pos += [_disturbed(s, set(toxic), rng) for s in pos]
-    model = _train(pos, neg, toxic + usual)
+    model = _train(pos, neg, toxic, usual)
     # second round: the clean words and sentences that look worst to the first model
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hard_words = [r.word for r in counts.filter(~likelier).select("word").mapInArrow(
@@ -229,7 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     hard = [list(r.words) for r in negative.select("words").distinct().mapInArrow(
         _margins_of_sentences(shared), "words array<string>, margin double").orderBy(F.desc("margin"), "words")
         .limit(TRAIN_SENTENCES // 2).collect()]
-    model = _train(pos, neg + hard, toxic + usual + [w for w in hard_words if w not in usual])
+    model = _train(pos, neg + hard, toxic, usual + hard_words)
     fitted = [(r.y, r.margin) for r in chosen.select("doc_id", "text", "y").join(
         margins(chosen.dropDuplicates(["doc_id"]), model), "doc_id").select("y", "margin").collect()]
     fitted.sort()
@@ -237,32 +279,39 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         np.array([m for _, m in fitted]), np.array([y for y, _ in fitted], np.float64))))
 
 
-def _train(pos: list[list[str]], neg: list[list[str]], landmarks: list[str]) -> dict:
-    landmarks = list(dict.fromkeys(w[:WORD] for w in landmarks))
-    marks, place = landmark_table(landmarks)
+def _train(pos: list[list[str]], neg: list[list[str]], toxic: list[str], usual: list[str]) -> dict:
+    t = landmark_table(toxic, usual)
     # Nystroem: k(w, L) K^-1/2 with the landmarks' own kernel matrix K
-    own = kernel(landmarks, marks, place).astype(np.float64)
+    own = kernel(t["landmarks"], t["marks"], t["place"]).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
-    vocabulary = sorted({p for s in pos + neg for w in s for p in windows(w)})
-    place_of = {w: i for i, w in enumerate(vocabulary)}
-    mapped = np.concatenate([kernel(vocabulary[i:i + 20_000], marks, place) @ root
-                             for i in range(0, len(vocabulary), 20_000)])
-    x = np.stack([mapped[sorted({place_of[p] for w in s for p in windows(w)})].sum(0) for s in pos + neg])
+    root = root.astype(np.float32)
+    both = pos + neg  # mapped a few at a time: what the driver holds at once is small
+    x = np.concatenate([_mapped(both[i:i + 2_000], t) @ root for i in range(0, len(both), 2_000)])
     w, bias = _linear_svm(x, np.array([1.0] * len(pos) + [-1.0] * len(neg)))
-    return {"marks": marks, "place": place, "weights": (root @ w).astype(np.float32), "bias": bias,
-            "landmarks": landmarks}
+    return t | {"weights": (root @ w).astype(np.float32), "bias": bias}
+
+
+def _mapped(some: list[list[str]], t: dict) -> np.ndarray:
+    """Kernel of each sentence with the landmarks: the sum over its distinct words."""
+    vocabulary = sorted({p for s in some for w in s for p in windows(w)})
+    values = {vocabulary[i]: k for at, ks in near_kernel(vocabulary, t) for i, k in zip(at.tolist(), ks)}
+    out = np.zeros((len(some), t["marks"].shape[1]), np.float32)
+    for i, s in enumerate(some):
+        for p in {p for w in s for p in windows(w)} & values.keys():
+            out[i] += values[p]
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of P(y = 1 | x), both classes weighing the same, with a
-    mild pull of the slope to 0 so that separable classes give a finite one."""
-    w = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    """Slope and shift of P(y = 1 | x) over the training documents, with a mild
+    pull of the slope to 0 so that separable classes give a finite one."""
+    w = np.full(len(x), 1 / max(len(x), 1))
     xb, beta = np.stack([x, np.ones(len(x))], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(xb @ beta, -30, 30)))
-        grad = xb.T @ (w * (p - y)) + np.array([1e-3 * beta[0], 0])
-        hess = (xb * (w * p * (1 - p))[:, None]).T @ xb + np.diag([1e-3, 1e-6])
+        grad = xb.T @ (w * (p - y)) + np.array([1e-4 * beta[0], 0])
+        hess = (xb * (w * p * (1 - p))[:, None]).T @ xb + np.diag([1e-4, 1e-6])
         beta = beta - np.clip(np.linalg.solve(hess, grad), -2, 2)
     return float(beta[0]), float(beta[1])
 
@@ -291,10 +340,11 @@ def _margins_of_sentences(shared):
 def word_margins(words: list[str], model: dict) -> np.ndarray:
     """Margin that each (cleaned) word adds; a long word has its best window's."""
     parts = [windows(w) for w in words]
-    count = np.array([len(p) for p in parts])
     flat = [p for ps in parts for p in ps]
-    got = np.concatenate([kernel(flat[i:i + 20_000], model["marks"], model["place"]) @ model["weights"]
-                          for i in range(0, len(flat), 20_000)] or [np.zeros(0, np.float32)])
+    got = np.zeros(len(flat))
+    for at, values in near_kernel(flat, model):
+        got[at] = values @ model["weights"]
+    count = np.array([len(p) for p in parts], np.int64)
     return np.maximum.reduceat(got, np.cumsum(count) - count) if len(flat) else got
 
 
@@ -302,12 +352,14 @@ class Scorer:
     """Scores batches of texts with a cache of word margins."""
 
     def __init__(self, model: dict):
-        self.model, self.margin = model, {"": 0.0}
+        self.model, self.margin, self.before = model, {"": 0.0}, {}
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.margin) > CACHE_WORDS:
-            self.margin = {"": 0.0}
-        if new := [w for w in dict.fromkeys(words) if w not in self.margin]:
+        if len(self.margin) > CACHE_WORDS:  # the words of late are kept, older ones go
+            self.margin, self.before = {"": 0.0}, self.margin
+        lost = [w for w in dict.fromkeys(words) if w not in self.margin]
+        self.margin.update((w, self.before[w]) for w in lost if w in self.before)
+        if new := [w for w in lost if w not in self.margin]:
             self.margin.update(zip(new, word_margins(new, self.model).tolist()))
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
@@ -316,7 +368,7 @@ class Scorer:
         cleaned = [clean(w) for w in vocabulary]
         self._learn(cleaned)
         margin = np.array([self.margin[w] for w in cleaned] or [0.0])[codes] if len(codes) else np.zeros(0)
-        ends = np.array([w[-1] in ".!?" for w in vocabulary] or [False])
+        ends = np.array([w[-1:] in (".", "!", "?") for w in vocabulary] or [False])
         single = np.array([len(w) == 1 for w in cleaned] or [False])
         empty = np.array([not w for w in cleaned] or [False])
         if not len(codes):
@@ -332,7 +384,9 @@ class Scorer:
         at = np.flatnonzero(first)
         # a word counts once in a sentence: later occurrences add nothing
         of = np.cumsum(first) - 1
-        key = of * np.int64(len(vocabulary)) + codes
+        ids: dict[str, int] = {}
+        word = np.array([ids.setdefault(w, len(ids)) for w in cleaned], np.int64)[codes]
+        key = of * np.int64(len(ids)) + word
         _, once = np.unique(key, return_index=True)
         added = np.zeros(len(codes))
         added[once] = margin[once]
@@ -382,3 +436,21 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
         return rows.select("doc_id", F.lit(0.0).alias("score"))
     return margins(rows, model).select(
         "doc_id", (1 / (1 + F.exp(-(F.lit(model["slope"]) * F.col("margin") + model["shift"])))).alias("score"))
+
+
+def keep_clean(docs: DataFrame, model: dict | None, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below the threshold."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    border = (np.log(threshold / (1 - threshold)) - model["shift"]) / model["slope"]
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for b in batches:
+            for part in textstats.slices(b, at):
+                keep = scorer(textstats.filled(part.column(at))) < border
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
