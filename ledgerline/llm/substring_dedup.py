@@ -11,8 +11,9 @@ not. What is removed is reported by its offsets in the original text.
 
 Each task sends one row per unit and document; the least id per digest is
 aggregated before and after the shuffle, and the join that marks repeats is an
-ordinary equi-join, whose hot digests adaptive execution splits. Only the marks
-of a document, never its text, are gathered by key.
+ordinary equi-join with the digests that occur twice or more, whose hot ones
+adaptive execution splits. Only the marks of a document, never its text, are
+gathered by key. Building the result runs the job that finds those digests.
 
 Defined results: null and empty texts have no units and stay as they are; rows
 with a null id stay as they are; rows that repeat an id are one document to
@@ -32,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerline.llm import textstats
+from ledgerline.llm.common import written
 
 MIN_WORDS = 25
 ENDS = re.compile(r"[.!?\n]+")
@@ -69,7 +71,10 @@ def repeated_units(texts: DataFrame) -> DataFrame:
     earlier one, for documents with MIN_WORDS words in such units."""
     units = texts.filter("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         _unit_rows, "id long, hi long, lo long, mark long")
-    first = units.groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
+    # written, so that the join deals both of its sides itself: only then can
+    # adaptive execution split the tasks of a hot digest
+    first = written(units.groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
+                    .filter("n > 1"), "repeated-digests")
     words = F.shiftright("mark", 1).bitwiseAND(F.lit(2**30 - 1).cast("long"))
     later = units.join(first.drop("n"), ["hi", "lo"]).filter("NOT (id = first_id AND mark % 2 = 1)")
     return (later.groupBy("id").agg(
