@@ -1,10 +1,10 @@
-"""Report aggregates, all as single distributed aggregations.
+"""Report aggregates, all as distributed aggregations.
 
-Every operator here is a ``groupBy(...).agg(...)`` whose aggregate functions
-have a partial (map-side) form — conditional ``max``, ``min``/``max`` of a
-``struct``, ``count`` — so a key holding a third of all rows is reduced in
-each task before the shuffle. None uses a window over a key (which would
-sort a hot key inside one task) or collects a group.
+Aggregates over raw rows are conditional ``min``/``max``/``sum``/``count`` on
+fixed-width columns: Spark runs them as hash aggregates with a partial step, so
+a key holding a third of all rows is reduced in each task before the shuffle and
+nothing is sorted. None uses a window over a key (which would sort a hot key
+inside one task) or collects a group.
 """
 
 from __future__ import annotations
@@ -17,47 +17,77 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalar import ieee_divide
 
 
-def _position(column: str, order: Sequence) -> Column:
-    """1-based position of ``column``'s value in ``order``; unknown → len+1."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(column)).cast("int")
-    return F.when(pos > 0, pos).otherwise(F.lit(len(order) + 1))
+def _is(column: str, v) -> Column:
+    return F.col(column) == F.lit(v)
+
+
+def _unlisted(column: str, values: Sequence) -> Column:
+    """True for a non-NULL value of ``column`` outside ``values``."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+
+
+def _checked(picked: Column, bad: Column, message: str) -> Column:
+    return F.when(bad, F.raise_error(F.lit(message))).otherwise(picked)
 
 
 def pivot_unique(
     df: DataFrame, index: str, column: str, value: str, values: Sequence[str],
-    check_unique: bool = True,
+    selection: bool = False,
 ) -> DataFrame:
     """Long → wide, one output column per entry of ``values`` (in that
     order), NULL where a pair is missing.
 
-    A duplicate (index, column) pair raises at execution time, as a pandas
-    ``pivot`` does — Spark's own ``pivot(...).agg(first(v))`` would silently
-    keep one of them. Implemented as conditional aggregates in one
-    ``groupBy(index)``: one shuffle, partial aggregation kept.
+    At execution time a duplicate (index, column) pair raises, whatever its
+    column, as a pandas ``pivot`` does; so does a value outside ``values``,
+    unless the caller says with ``selection=True`` that the list is a choice of
+    columns. One ``groupBy(index)``: one shuffle, partial aggregation kept.
     """
     if not values:
         return df.select(index).distinct()
+    other = _unlisted(column, values)
+    n_other = F.count(F.when(other, F.lit(1)))
+    if selection:
+        bad = n_other > F.size(F.collect_set(F.when(other, F.col(column))))
+        message = f"duplicate ({index}, {column}) pair in pivot outside the selected columns"
+    else:
+        bad, message = n_other > 0, f"pivot: a value of {column} is not in the list of columns"
     aggs = []
     for v in values:
-        hit = F.col(column) == F.lit(v)
-        picked = F.max(F.when(hit, F.col(value)))
-        if check_unique:
-            dup = F.count(F.when(hit, F.lit(1))) > 1
-            picked = F.when(
-                dup, F.raise_error(F.lit(f"duplicate ({index}, {column}) pair in pivot for column '{v}'"))
-            ).otherwise(picked)
-        aggs.append(picked.alias(str(v)))
+        dup = F.count(F.when(_is(column, v), F.lit(1))) > 1
+        picked = _checked(F.max(F.when(_is(column, v), F.col(value))), dup,
+                          f"duplicate ({index}, {column}) pair in pivot for column '{v}'")
+        aggs.append(_checked(picked, bad, message).alias(str(v)))
     return df.groupBy(index).agg(*aggs)
 
 
+def pivot_sum(df: DataFrame, index: str, column: str, value: str, values: Sequence[str], digits: int) -> DataFrame:
+    """A11 over raw rows: ``ROUND(SUM(value), digits)`` per (index, column) as
+    one output column per entry of ``values``, in one shuffle. A value outside
+    the list raises."""
+    bad = F.count(F.when(_unlisted(column, values), F.lit(1))) > 0
+    return df.groupBy(index).agg(*[
+        _checked(F.round(F.sum(F.when(_is(column, v), F.col(value))), digits), bad,
+                 f"pivot: a value of {column} is not in the list of columns").alias(str(v))
+        for v in values])
+
+
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keep the first row per key under a declared order
-    (deterministic ``drop_duplicates``). ``min(struct(order..., rest...))``
-    is a plain aggregate: partial per task, so skew-safe."""
+    """Keep the first row per key under a declared order (deterministic
+    ``drop_duplicates``; a NULL in the order comes first).
+
+    The least first order column per key is a hash aggregate; joined back on
+    (key, that column) it leaves each key's tied rows, and ``min(struct)`` -
+    which cannot hash and would have to sort its input - sees only those.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in set(keys) and c not in set(order_by)]
+    first, rest = order_by[0], [c for c in df.columns if c not in set(keys) and c not in set(order_by)]
+    least = df.groupBy(*keys).agg(
+        F.when(F.count(F.when(F.col(first).isNull(), F.lit(1))) == 0, F.min(first)).alias(first))
+    least = least.select(*[F.col(c).alias(f"_least_{c}") for c in [*keys, first]])
+    on = [F.col(c).eqNullSafe(F.col(f"_least_{c}")) for c in [*keys, first]]
+    tied = df.join(least, on, "left_semi")
     packed = F.min(F.struct(*[F.col(c) for c in list(order_by) + rest])).alias("_first")
-    out = df.groupBy(*keys).agg(packed)
+    out = tied.groupBy(*keys).agg(packed)
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in df.columns if c not in set(keys)])
 
 
@@ -74,45 +104,63 @@ def arg_extremes(
     largest ``value`` (pandas ``idxmin``/``idxmax`` across pivoted
     columns), their values, and the ratio largest/smallest.
 
-    NULL and NaN values are skipped (``dropna``) and an index whose values
-    are all missing yields no row. A zero smallest value gives an infinite ratio, as
-    float division does in the reference. Ties go to the entry first in ``order`` (report
-    column order). The input is long form — one row per (index, column).
+    Several rows of one (index, column) pair count as their minimum. NULL and
+    NaN values are skipped (``dropna``) and an index whose values are all
+    missing yields no row. A zero smallest value gives an infinite ratio, as
+    float division does in the reference. Ties go to the entry first in
+    ``order`` (report column order); a value outside ``order`` raises. One
+    ``groupBy(index)`` with a conditional minimum per entry: one shuffle.
     """
     lo_n, lo_v, hi_n, hi_v, ratio = names
-    pos = _position(column, order)
     present = F.col(value).isNotNull()
     if dict(df.dtypes)[value] in ("float", "double"):
         present = present & ~F.isnan(F.col(value))  # pandas treats NaN as missing too
-    d = df.where(present).select(
-        F.col(index), F.col(column), F.col(value), pos.alias("_pos")
-    )
-    g = d.groupBy(index).agg(
-        F.min(F.struct(F.col(value), F.col("_pos"), F.col(column))).alias("_lo"),
-        F.max(F.struct(F.col(value), -F.col("_pos"), F.col(column))).alias("_hi"),
-    )
-    return g.select(
+    cells = [f"_c{i}" for i in range(len(order))]
+    g = df.groupBy(index).agg(
+        *[F.min(F.when(_is(column, v) & present, F.col(value))).alias(c) for v, c in zip(order, cells)],
+        F.count(F.when(_unlisted(column, order), F.lit(1))).alias("_other"))
+    low = F.least(*cells) if len(cells) > 1 else F.col(cells[0])
+    high = F.greatest(*cells) if len(cells) > 1 else F.col(cells[0])
+    low = _checked(low, F.col("_other") > 0, f"a value of {column} is not in the report order")
+
+    def name_of(extreme: str) -> Column:
+        return F.coalesce(*[F.when(F.col(c) == F.col(extreme), F.lit(v)) for v, c in zip(order, cells)])
+
+    return g.withColumn("_lo", low).withColumn("_hi", high).where(F.col("_lo").isNotNull()).select(
         F.col(index),
-        F.col(f"_lo.{column}").alias(lo_n),
-        F.col(f"_lo.{value}").alias(lo_v),
-        F.col(f"_hi.{column}").alias(hi_n),
-        F.col(f"_hi.{value}").alias(hi_v),
-        F.round(ieee_divide(F.col(f"_hi.{value}"), F.col(f"_lo.{value}")), ratio_digits).alias(ratio),
+        name_of("_lo").alias(lo_n),
+        F.col("_lo").alias(lo_v),
+        name_of("_hi").alias(hi_n),
+        F.col("_hi").alias(hi_v),
+        F.round(ieee_divide(F.col("_hi"), F.col("_lo")), ratio_digits).alias(ratio),
     )
 
 
+# how a per-label aggregate is put together over labels
+_TOGETHER = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
 def with_total_row(
-    df: DataFrame, label: str, aggs: Sequence[Column], total_label: str = "TOTAL",
-    flag: str | None = None,
+    df: DataFrame, label: str, aggs: Sequence[tuple[str, str, str | None]], total_label: str = "TOTAL",
+    flag: str | None = None, digits: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Detail rows per ``label`` plus one grand-total row, in one
-    ``ROLLUP`` pass. ``grouping(label) = 1`` marks the total, so a NULL
-    label in the data is never mistaken for it; ``flag`` keeps that marker
-    as a column (1 on the total row) for ordering."""
-    out = df.rollup(label).agg(*aggs, F.grouping(label).alias("_g"))
-    extra = [F.col("_g").alias(flag)] if flag else []
-    return out.select(
-        F.when(F.col("_g") == 1, F.lit(total_label)).otherwise(F.col(label)).alias(label),
-        *[c for c in out.columns if c not in (label, "_g")],
-        *extra,
-    )
+    """Detail rows per ``label`` plus one grand-total row.
+
+    ``aggs`` are (name, kind, column) with kind count, sum, min or max. The raw
+    rows are aggregated by label once; the total is taken over those few detail
+    rows. ``digits`` rounds named results afterwards. ``flag`` names a column
+    that is 1 on the total row, so a NULL label in the data is never mistaken
+    for it.
+    """
+    detail = df.groupBy(label).agg(*[
+        (F.count(F.lit(1) if c is None else F.col(c)) if kind == "count" else _TOGETHER[kind](c)).alias(name)
+        for name, kind, c in aggs])
+    total = detail.agg(*[_TOGETHER[kind](name).alias(name) for name, kind, _ in aggs]).select(
+        F.lit(total_label).alias(label), *[n for n, _, _ in aggs], F.lit(1).alias("_g"))
+    # an empty input has a total row too, with its counts at 0
+    total = total.select(label, *[(F.coalesce(F.col(n), F.lit(0)) if kind == "count" else F.col(n)).alias(n)
+                                  for n, kind, _ in aggs], "_g")
+    out = detail.withColumn("_g", F.lit(0)).unionByName(total)
+    for name, places in (digits or {}).items():
+        out = out.withColumn(name, F.round(name, places))
+    return out.withColumnRenamed("_g", flag) if flag else out.drop("_g")

@@ -14,21 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Row counts that do not grow with the data.
-FIXED_CARDINALITY = {"region": 5, "nation": 25, "products": 10}
-
-
-def join_fixed_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], dim_name: str,
-                         how: str = "inner") -> DataFrame:
-    """Fact ⋈ a dimension of fixed, known cardinality (broadcast)."""
-    if dim_name not in FIXED_CARDINALITY:
-        raise ValueError(
-            f"{dim_name!r} has no fixed size bound; use a plain join and let the planner decide"
-        )
-    return fact.join(F.broadcast(dim), on, how)
-
 
 def left_enrich(meta: DataFrame, detail: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Keep every metadata row, add detail columns where the key matches

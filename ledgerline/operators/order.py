@@ -48,3 +48,14 @@ def order_by_position(df: DataFrame, column: str, values: Sequence, position: st
     pos = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
     keyed = df.withColumn(position, F.when(pos > 0, pos).otherwise(F.lit(len(values) + 1)))
     return keyed.orderBy(F.col(position), F.col(column)).drop(position)
+
+
+def select_in_order(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """O6 as pandas ``.loc[values]``: the rows of the listed values, in the
+    list's order; a listed value without a row raises when the query runs."""
+    wanted = df.sparkSession.createDataFrame(
+        [(i, v) for i, v in enumerate(values)], f"_pos int, _want {dict(df.dtypes)[column]}")
+    found = wanted.join(df.withColumn("_found", F.lit(True)), F.col("_want") == F.col(column), "left")
+    there = F.when(F.col("_found").isNull(), F.raise_error(
+        F.concat(F.lit(f"no row with {column} = "), F.col("_want").cast("string")))).otherwise(F.col("_pos"))
+    return found.orderBy(there).select(*df.columns)

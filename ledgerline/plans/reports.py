@@ -15,31 +15,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import scalar as S
-from ledgerline.operators.aggregate import arg_extremes, first_per_key, pivot_unique, with_total_row
+from ledgerline.operators.aggregate import arg_extremes, first_per_key, pivot_sum, pivot_unique, with_total_row
 from ledgerline.operators.joins import left_enrich
-from ledgerline.operators.order import order_by_position
+from ledgerline.operators.order import select_in_order
 
 # Report column order of the event types (the "engines").
 EVENT_TYPE_ORDER = ["view", "click", "purchase", "signup", "error"]
 
 
 # ------------------------------------------------------------ run-log forms
+def _in_order(df: DataFrame, tables: Sequence[str] | None) -> DataFrame:
+    """Report rows in the order of ``tables``, or by table without a list."""
+    return select_in_order(df, "table", tables) if tables else df.orderBy("table")
+
+
 def run_log_pivot(log: DataFrame, engines: Sequence[str], tables: Sequence[str] | None = None) -> DataFrame:
     """Q10: metadata (rows, cols) of each table joined with its times, one
-    column per engine in report order; a duplicate (table, engine) raises.
-    With ``tables``, rows follow that explicit order (O6)."""
+    column per engine in report order; a duplicate (table, engine) or an engine
+    outside the list raises. With ``tables`` the report has those rows in that
+    order, and a table without a run raises (O6)."""
     pivot = pivot_unique(log, "table", "engine", "time_s", engines)
     meta = first_per_key(log.select("table", "rows", "cols", "engine"), "table", ["engine"]).drop("engine")
-    out = left_enrich(meta, pivot, "table")
-    return order_by_position(out, "table", tables) if tables else out
+    return _in_order(left_enrich(meta, pivot, "table"), tables)
 
 
-def run_log_summary(log: DataFrame, engines: Sequence[str]) -> DataFrame:
-    """Q11: fastest / slowest engine per table with a speed-up label.
-    Tables with no successful run are left out."""
+def run_log_summary(log: DataFrame, engines: Sequence[str], tables: Sequence[str] | None = None) -> DataFrame:
+    """Q11: fastest / slowest engine per table with a speed-up label, rows in
+    report order. Tables with no successful run are left out."""
     ext = arg_extremes(log, "table", "engine", "time_s", engines, ratio_digits=12)
     meta = first_per_key(log.select("table", "rows", "cols", "engine"), "table", ["engine"]).drop("engine")
-    return ext.join(meta, "table").select(
+    out = ext.join(meta, "table").select(
         F.col("table"),
         S.thousands("rows").alias("rows"),
         F.col("cols"),
@@ -47,31 +52,48 @@ def run_log_summary(log: DataFrame, engines: Sequence[str]) -> DataFrame:
         F.concat(F.col("slowest"), F.lit(" ("), S.fixed("slowest_time", 3), F.lit("s)")).alias("slowest"),
         S.times_label("speedup").alias("speedup"),
     )
+    return _in_order(out, tables)
 
 
 def step_summary(steps: DataFrame) -> DataFrame:
     """Q12: step times with a TOTAL row last, formatted to 3 decimals.
     Detail rows keep the step log's order (its ``ord`` column, if any)."""
-    aggs = [F.sum("time_s").alias("time_s")]
+    aggs = [("time_s", "sum", "time_s")]
     if "ord" in steps.columns:
-        aggs.append(F.min("ord").alias("ord"))
+        aggs.append(("ord", "min", "ord"))
     out = with_total_row(steps, "step", aggs, flag="_total")
     order = [F.col("_total")] + ([F.col("ord")] if "ord" in steps.columns else []) + [F.col("step")]
     return out.orderBy(*order).select("step", S.fixed("time_s", 3).alias("time_s"))
 
 
 # ------------------------------------------------------------ events forms
+def events_run_log(events: DataFrame) -> DataFrame:
+    """events as a run log: the user is the table, the event type the engine,
+    the least value the time. A pair whose event count is a multiple of three
+    stands for a failed run: its time is NULL."""
+    log = events.groupBy(F.concat(F.lit("user_"), F.col("user_id")).alias("table"), F.col("event_type").alias("engine")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"))
+    return log.select("table", "rows", F.lit(6).alias("cols"), "engine",
+                      F.when(F.col("rows") % 3 != 0, F.col("least")).alias("time_s"))
+
+
+def events_steps(events: DataFrame) -> DataFrame:
+    """events as a step log: one step per event type, in report order, whose
+    times are the values below 100 (larger ones are NULL: not measured)."""
+    place = F.array_position(F.array(*[F.lit(v) for v in EVENT_TYPE_ORDER]), F.col("event_type"))
+    return events.select(F.col("event_type").alias("step"), place.alias("ord"),
+                         F.when(F.col("value") < 100, F.col("value")).alias("time_s"))
+
+
 def events_pivot(events: DataFrame) -> DataFrame:
-    """A11 on events: user × event type, ROUND(SUM(value), 2)."""
-    long = events.groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 2).alias("v"))
-    return pivot_unique(long, "user_id", "event_type", "v", EVENT_TYPE_ORDER)
+    """A11 on events: user × event type, ROUND(SUM(value), 2), in one shuffle."""
+    return pivot_sum(events, "user_id", "event_type", "value", EVENT_TYPE_ORDER, 2)
 
 
 def events_arg_extremes(events: DataFrame) -> DataFrame:
     """A13–A15 on events: per user, the event type with the lowest and the
     highest minimum value, and their ratio (6 dp)."""
-    long = events.groupBy("user_id", "event_type").agg(F.min("value").alias("t"))
-    return arg_extremes(long, "user_id", "event_type", "t", EVENT_TYPE_ORDER)
+    return arg_extremes(events, "user_id", "event_type", "value", EVENT_TYPE_ORDER)
 
 
 def events_first_per_user(events: DataFrame) -> DataFrame:
@@ -81,7 +103,8 @@ def events_first_per_user(events: DataFrame) -> DataFrame:
 
 
 def events_meta_join(events: DataFrame, threshold: float = 100.0) -> DataFrame:
-    """J3 on events: per-type metadata left-joined with high-value counts."""
+    """J3 on events: per-type metadata left-joined with high-value counts.
+    One conditional aggregate would do; the join is here to exercise J3."""
     meta = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("row_count"), F.countDistinct("user_id").alias("user_count")
     )
@@ -97,7 +120,7 @@ def events_total_row(events: DataFrame) -> DataFrame:
     """A17 on events: count and value per type plus a TOTAL row."""
     return with_total_row(
         events.withColumnRenamed("event_type", "step"), "step",
-        [F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total_value")],
+        [("events", "count", None), ("total_value", "sum", "value")], digits={"total_value": 2},
     )
 
 
