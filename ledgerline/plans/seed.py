@@ -63,19 +63,18 @@ def seed_ecommerce(
         G.orders(G.id_range(spark, n["orders"], n["customers"], seed=G.SEED_ORDERS), G.products(spark)),
         fq["orders"], "replace", fmt, max_records_per_file, bucket_by=by_customer,
     )
-    catalog.write_table(
-        G.clickstream(G.id_range(spark, n["clickstream"], n["customers"], seed=G.SEED_CLICKS)),
+    clicks = G.clickstream(G.id_range(spark, n["clickstream"], n["customers"], seed=G.SEED_CLICKS))
+    catalog.write_table(  # the table keeps instants, in the session's time zone
+        clicks.withColumn("timestamp", clicks["timestamp"].cast("timestamp")),
         fq["clickstream"], "replace", fmt, max_records_per_file, bucket_by=by_session,
     )
     catalog.write_table(
         G.recommendations(G.id_range(spark, n["recommendations"], n["customers"], seed=G.SEED_RECS)),
         fq["recommendations"], "replace", fmt, max_records_per_file,
     )
+    # every e-commerce column is declared NOT NULL
     frames = {fq[t]: spark.read.table(fq[t]) for t in ECOMMERCE_TABLES}
-    # every e-commerce column is declared NOT NULL; Parquet does not keep that
-    for fqn, df in frames.items():
-        catalog.check_not_null(df, name=fqn)
-    return catalog.row_counts(frames)
+    return catalog.checked_row_counts({f: (df, df.columns) for f, df in frames.items()})
 
 
 # the ten fixed columns of the wide tables are NOT NULL; generated ones may be NULL
@@ -115,8 +114,7 @@ def seed_wide(
             catalog.write_table(G.wide(G.id_range(spark, rows), cols, seed), fqn, "replace", fmt,
                                 max_records_per_file)
         written[fqn] = spark.read.table(fqn)
-        catalog.check_not_null(written[fqn], WIDE_NOT_NULL, name=fqn)
-    return catalog.row_counts(written)
+    return catalog.checked_row_counts({f: (df, WIDE_NOT_NULL) for f, df in written.items()})
 
 
 def verify(spark: SparkSession, fqns, sample_rows: int = 10, show: bool = True) -> DataFrame:

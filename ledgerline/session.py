@@ -7,8 +7,10 @@ that need one, and for the checkpoint-directory policy shared by all jobs.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -35,7 +37,10 @@ SCALE_CONFS = {
     # interpreted (a 50-column generated table: 5x slower); above this
     # size Spark compiles that stage per expression instead (split methods)
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # before a query runs, sizes are estimates that grow with the scan: the
+    # planner broadcasts only what it estimates under Spark's own default.
+    # AQE may go further, as it has measured the side it broadcasts
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -43,13 +48,6 @@ SCALE_CONFS = {
 }
 
 
-def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
-    """Initial shuffle partition count for an expected shuffle volume, so a
-    partition stays near ``target_bytes`` (AQE then coalesces small ones).
-    Example: 20 TB of shuffle at 256 MB → 81,920 partitions."""
-    return max(1, -(-shuffle_bytes // target_bytes))
-
-
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerline",
@@ -70,8 +68,10 @@ def build_session(
     confs = dict(SCALE_CONFS)
     confs["spark.ui.enabled"] = "false"
     if master and master.startswith("local"):
-        # local mode: the driver is the only JVM, so its heap is the memory knob
-        confs.setdefault("spark.driver.memory", "16g")
+        # local mode: the driver is the only JVM, so its heap is the memory
+        # knob; half of the machine leaves room for the Python workers
+        memory = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        confs.setdefault("spark.driver.memory", f"{max(1, memory // 2 >> 30)}g")
     if shuffle_partitions is not None:
         confs["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     confs.update(extra or {})
@@ -86,27 +86,38 @@ def build_session(
 _SHIPPED: set[str] = set()
 
 
+def package_zip() -> bytes:
+    """The package's Python files as a zip that ``sys.path`` can hold."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    return out.getvalue()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``ledgerline`` importable in executor Python workers.
 
     Only Python-side operators (``mapInPandas``, pandas UDFs) need it. The
-    package directory is distributed with ``SparkContext.addFile`` (recursive);
-    Python workers put the SparkFiles root on ``sys.path``. Where the package
-    is installed on the executors already, this is a harmless no-op.
+    package is zipped and given to ``SparkContext.addPyFile``, which sends it to
+    every executor under any master and puts it on the workers' ``sys.path``.
+    An error is raised, not swallowed, and the next call tries again.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: ship with spark.addArtifacts instead
         return
-    key = sc.applicationId
-    if key in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    try:
-        sc.addFile(pkg_dir, recursive=True)
-    except Exception:  # noqa: BLE001 - already registered for this application
-        pass
-    _SHIPPED.add(key)
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerline-ship-"), "ledgerline.zip")
+    with open(path, "wb") as f:
+        f.write(package_zip())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -24,18 +24,24 @@ def _v2_catalog(spark: SparkSession, fqn: str) -> str | None:
     return None
 
 
+def quoted(name: str) -> str:
+    """A dotted name with every part in backticks."""
+    return ".".join(f"`{p.strip('`').replace('`', '``')}`" for p in name.split("."))
+
+
 def create_namespace(spark: SparkSession, namespace: str) -> None:
     """Idempotent ``CREATE NAMESPACE IF NOT EXISTS``."""
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(namespace)}")
 
 
 def list_tables(spark: SparkSession, namespaces: Iterable[str] | None = None) -> DataFrame:
-    """``(namespace, table)`` for every table of the given (default:
-    all) namespaces of the current catalog. Catalog metadata only."""
+    """``(namespace, table)`` for every table of the given namespaces,
+    which may name a catalog (default: all of the current one). Catalog
+    metadata only."""
     if namespaces is None:
         namespaces = [r[0] for r in spark.sql("SHOW NAMESPACES").collect()]
     parts = [
-        spark.sql(f"SHOW TABLES IN {ns}").where(~F.col("isTemporary")).select(
+        spark.sql(f"SHOW TABLES IN {quoted(ns)}").where(~F.col("isTemporary")).select(
             F.lit(ns).alias("namespace"), F.col("tableName").alias("table")
         )
         for ns in namespaces
@@ -82,7 +88,10 @@ def write_table(
                 from pyspark.sql.functions import partitioning
 
                 n, cols = bucket_by
-                parts += [partitioning.bucket(n, F.col(c)) for c in cols]
+                if len(cols) != 1:
+                    # a transform per column would make n^m buckets, not n on the tuple
+                    raise ValueError("a V2 table is bucketed on one column")
+                parts.append(partitioning.bucket(n, F.col(cols[0])))
             if parts:
                 w = w.partitionedBy(*parts)
             w.createOrReplace()
@@ -149,9 +158,23 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return wide.select(F.inline(pairs))
 
 
+def checked_row_counts(frames: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """``(table, rows)`` per named ``(frame, NOT NULL columns)``, read back in
+    one pass that also counts the NULLs of those columns: a table with any
+    raises when the counts are read. Parquet does not keep NOT NULL itself."""
+    if not frames:
+        raise ValueError("checked_row_counts needs at least one table")
+    parts = []
+    for name, (df, cols) in frames.items():
+        nulls = sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in cols), F.lit(0))
+        one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).alias("nulls"))
+        parts.append(one.select(F.lit(name).alias("table"), F.when(
+            F.col("nulls") > 0, F.raise_error(F.lit(f"NOT NULL violated in {name}"))).otherwise(F.col("n")).alias("rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_not_null(df: DataFrame, columns: Sequence[str] | None = None, name: str = "table") -> None:
-    """Enforce NOT NULL columns, which a Parquet round trip does not keep in
-    the schema: raise if any of ``columns`` (default: all) holds a NULL."""
+    """Raise if any of ``columns`` (default: all) holds a NULL."""
     bad = {r.column: r.nulls for r in null_counts(df, columns).where(F.col("nulls") > 0).collect()}
     if bad:
         raise ValueError(f"NOT NULL violated in {name}: {bad}")
@@ -159,7 +182,7 @@ def check_not_null(df: DataFrame, columns: Sequence[str] | None = None, name: st
 
 def describe(spark: SparkSession, fqn: str) -> DataFrame:
     """S13 as a table: column name and type (``DESCRIBE TABLE``)."""
-    return spark.sql(f"DESCRIBE TABLE {fqn}").where(~F.col("col_name").startswith("#")).select(
+    return spark.sql(f"DESCRIBE TABLE {quoted(fqn)}").where(~F.col("col_name").startswith("#")).select(
         "col_name", "data_type"
     )
 

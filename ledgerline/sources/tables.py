@@ -69,15 +69,6 @@ class Tables:
             return frames[name]
         raise AttributeError(name)
 
-    def register_views(self, names=DRIVER_TABLES) -> list[str]:
-        """Register each table as a temp view under its own name."""
-        done = []
-        for n in names:
-            if os.path.exists(table_path(self.sf_dir, n)):
-                getattr(self, n).createOrReplaceTempView(n)
-                done.append(n)
-        return done
-
 
 def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:
     """A local pandas frame as a DataFrame (Arrow-based conversion).
@@ -87,12 +78,9 @@ def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:
     return spark.createDataFrame(pdf, schema=schema)
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 1_000_000):
-    """Collect a (small, typically aggregated) result locally.
+def to_pandas(df: DataFrame):
+    """Collect a (small, typically aggregated) result locally, whole.
 
-    Raises instead of pulling an unbounded result into the driver: at most
-    ``max_rows + 1`` rows are ever fetched."""
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it with a sink instead")
-    return pdf
+    What may be collected is bounded by the session's
+    ``spark.driver.maxResultSize``, which raises; nothing is cut off."""
+    return df.toPandas()

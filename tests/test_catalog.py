@@ -135,16 +135,70 @@ def test_bucketed_seed_tables_skip_shuffles(spark):
 
 def test_local_frame_helpers(spark):
     import pandas as pd
-    import pytest
 
-    from ledgerline.session import shuffle_partitions_for
-    from ledgerline.sources.tables import from_pandas, to_pandas_bounded
+    from ledgerline.sources.tables import from_pandas, to_pandas
 
     df = from_pandas(spark, pd.DataFrame({"a": [1, 2, 3]}))
-    assert to_pandas_bounded(df, 3)["a"].tolist() == [1, 2, 3]
-    with pytest.raises(ValueError):
-        to_pandas_bounded(df, 2)
-    assert shuffle_partitions_for(20 * 2**40) == 81920
+    assert to_pandas(df)["a"].tolist() == [1, 2, 3]
+
+
+def test_counts_and_null_check_in_one_pass(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
+    ok = catalog.checked_row_counts({"t": (df, []), "u": (df.where("x > 0"), ["x"])}).collect()
+    assert {r.table: r.rows for r in ok} == {"t": 3, "u": 2}
+    with pytest.raises(PySparkException, match="NOT NULL"):
+        catalog.checked_row_counts({"t": (df, ["x"])}).collect()
+    empty = catalog.checked_row_counts({"t": (df.limit(0), ["x"])}).first()
+    assert empty.rows == 0
+
+
+def test_names_are_quoted(spark):
+    assert catalog.quoted("cat.my-space.t`1") == "`cat`.`my-space`.`t``1`"
+    catalog.create_namespace(spark, "ll_odd_space")
+    catalog.write_table(spark.range(3), "ll_odd_space.t", "replace")
+    assert [tuple(r) for r in catalog.list_tables(spark, ["ll_odd_space"]).collect()] == [("ll_odd_space", "t")]
+    assert catalog.list_tables(spark, ["spark_catalog.ll_odd_space"]).count() == 1
+
+
+def test_package_zip_imports_in_a_clean_interpreter(tmp_path):
+    import subprocess
+    import sys
+
+    from ledgerline.session import package_zip
+
+    path = tmp_path / "ledgerline.zip"
+    path.write_bytes(package_zip())
+    code = (f"import sys; sys.path.insert(0, {str(path)!r}); import ledgerline.plans.retail as r; "
+            "assert '.zip' in r.__file__; print(r.TIER_COLUMNS[-1])")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True,
+                         env={"PATH": "/usr/bin:/bin", "HOME": str(tmp_path)})
+    assert out.stdout.strip() == "margin_tier"
+
+
+def test_shipping_errors_are_raised_and_retried():
+    import pytest
+
+    from ledgerline.session import ship_package
+
+    class Context:
+        applicationId, calls = "app-test-ship", 0
+
+        def addPyFile(self, path):
+            self.calls += 1
+            if self.calls == 1:
+                raise OSError("no room")
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(OSError):
+        ship_package(Session())
+    ship_package(Session())
+    ship_package(Session())
+    assert Session.sparkContext.calls == 2
 
 
 def test_timed_steps(spark):
