@@ -1,15 +1,18 @@
 """Registered queries over the driver tables and their DuckDB oracles.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs a pipeline on the driver
-tables of one scale-factor folder; ``ORACLE_SQL[name]`` is an independent
-SQL statement over the same tables (views named after the tables) that must
-return the same rows. Every query reads whole tables — no sampling, id
+tables of one scale-factor folder; ``ORACLE_SQL[name]`` is a SQL statement
+over the same tables (views named after the tables) that must return the same
+rows. It is written from the definitions; only the value columns of ``gen_*``
+share the generators' arithmetic, while their keys, sessions and domains are
+checked by literal SQL in ``gen_keys`` and ``gen_domains``. Every query reads whole tables — no sampling, id
 subsets or row caps; a ``LIMIT`` appears only where top-k is the feature.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +61,59 @@ def q_margin_tier_udf(spark, sf_dir):
     return retail.margin_tier_udf(driver_roles(spark, sf_dir).products)
 
 
+def q_order_enrichment_header_sql(spark, sf_dir):
+    """The flagship's header-level join as SQL."""
+    r = driver_roles(spark, sf_dir)
+    return retail.order_enrichment_by_header_sql(
+        spark, r.order_lines, r.order_headers, r.customers, r.products, r.lit("completed"))
+
+
+def q_margin_tier_chain(spark, sf_dir):
+    """U4: the transform's result queried with SQL."""
+    return retail.margin_tier_transform_sql(spark, driver_roles(spark, sf_dir).products)
+
+
+# Money as DECIMAL(10,2), quantity as INT, score as FLOAT, three session keys:
+# the column types and keys of the seeded tables.
+def q_product_margin_decimal(spark, sf_dir):
+    return retail.product_margin(driver_roles(spark, sf_dir).products_decimal)
+
+
+def q_margin_tier_native_decimal(spark, sf_dir):
+    return retail.margin_tier_native(driver_roles(spark, sf_dir).products_decimal)
+
+
+def q_margin_tier_transform_decimal(spark, sf_dir):
+    return retail.margin_tier_transform(driver_roles(spark, sf_dir).products_decimal)
+
+
+def q_margin_tier_udf_decimal(spark, sf_dir):
+    return retail.margin_tier_udf(driver_roles(spark, sf_dir).products_decimal)
+
+
+def q_order_enrichment_decimal(spark, sf_dir):
+    r = driver_roles(spark, sf_dir)
+    return retail.order_enrichment(r.orders_decimal, r.customers, r.products_decimal, r.lit("completed"))
+
+
+def q_category_revenue_decimal(spark, sf_dir):
+    r = driver_roles(spark, sf_dir)
+    return retail.category_revenue(r.orders_decimal, r.products_decimal, r.lit("completed"))
+
+
+def q_top_recommendations_float(spark, sf_dir):
+    """The bound is a score that lines have: as a FLOAT it keeps them out, as a
+    DOUBLE literal it would let them in (0.098f > 0.098)."""
+    r = driver_roles(spark, sf_dir)
+    return retail.top_recommendations(r.recommendations_float, r.products, min_score=0.098, k=200)
+
+
+def q_session_summary_devices(spark, sf_dir):
+    r = driver_roles(spark, sf_dir)
+    return retail.session_summary(
+        r.clickstream_devices, purchase=r.lit("purchase"), add_to_cart=r.lit("add_to_cart"))
+
+
 def q_customer_segmentation(spark, sf_dir):
     return retail.segmentation(
         driver_roles(spark, sf_dir).customers_geo, keys=("segment", "region"), measure="acctbal",
@@ -142,6 +198,18 @@ def q_argmin_argmax(spark, sf_dir):
     return reports.events_arg_extremes(Tables(spark, sf_dir).events)
 
 
+def q_run_log_pivot(spark, sf_dir):
+    return reports.run_log_pivot(reports.events_run_log(Tables(spark, sf_dir).events), reports.EVENT_TYPE_ORDER)
+
+
+def q_run_log_summary(spark, sf_dir):
+    return reports.run_log_summary(reports.events_run_log(Tables(spark, sf_dir).events), reports.EVENT_TYPE_ORDER)
+
+
+def q_step_summary(spark, sf_dir):
+    return reports.step_summary(reports.events_steps(Tables(spark, sf_dir).events))
+
+
 def q_first_per_key(spark, sf_dir):
     return reports.events_first_per_user(Tables(spark, sf_dir).events)
 
@@ -193,6 +261,33 @@ def q_gen_wide(spark, sf_dir):
     return G.wide(ids, WIDE_COLUMNS, WIDE_SEED)
 
 
+def q_gen_keys(spark, sf_dir):
+    """Keys and session numbers of the generated clickstream and orders."""
+    clicks = q_gen_clickstream(spark, sf_dir).select("event_id", "session_id", "customer_id")
+    orders = q_gen_orders(spark, sf_dir).select(
+        F.col("order_id").alias("event_id"), F.lit(None).cast("string").alias("session_id"), "customer_id")
+    return clicks.unionByName(orders)
+
+
+def q_gen_domains(spark, sf_dir):
+    """Rows outside the domain of their column, per generated table."""
+    o, c = q_gen_orders(spark, sf_dir), q_gen_customers(spark, sf_dir)
+    k, r = q_gen_clickstream(spark, sf_dir), q_gen_recommendations(spark, sf_dir)
+    bad = lambda *ok: F.sum(F.when(reduce(lambda a, b: a & b, ok), 0).otherwise(1)).alias("outside")
+    parts = {
+        "customers": c.agg(F.count("*").alias("n"), bad(
+            F.col("segment").isin(G.CUSTOMER_SEGMENTS), F.col("region").isin(G.CUSTOMER_REGIONS), F.year("signup_date") == 2023)),
+        "orders": o.agg(F.count("*").alias("n"), bad(
+            F.col("status").isin(G.ORDER_STATUSES), F.col("quantity").between(1, 5), F.year("order_date") == 2024)),
+        "clickstream": k.agg(F.count("*").alias("n"), bad(
+            F.col("event_type").isin(G.EVENT_TYPES), F.col("device").isin(G.DEVICES), F.year("timestamp") == 2024)),
+        "recommendations": r.agg(F.count("*").alias("n"), bad(
+            F.col("reason").isin(G.RECOMMENDATION_REASONS), F.col("score").between(F.lit(0.1).cast("float"), 1.0))),
+    }
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("table"), "n", F.col("outside").cast("bigint").alias("outside")) for name, df in parts.items()])
+
+
 SHAPE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -207,22 +302,35 @@ QUERIES: dict[str, Query] = {
     "order_enrichment": q_order_enrichment,
     "order_enrichment_flat": q_order_enrichment_flat,
     "order_enrichment_sql": q_order_enrichment_sql,
+    "order_enrichment_header_sql": q_order_enrichment_header_sql,
+    "order_enrichment_decimal": q_order_enrichment_decimal,
     "product_margin": q_product_margin,
+    "product_margin_decimal": q_product_margin_decimal,
     "margin_tier_native": q_margin_tier_native,
     "margin_tier_transform": q_margin_tier_transform,
     "margin_tier_udf": q_margin_tier_udf,
+    "margin_tier_chain": q_margin_tier_chain,
+    "margin_tier_native_decimal": q_margin_tier_native_decimal,
+    "margin_tier_transform_decimal": q_margin_tier_transform_decimal,
+    "margin_tier_udf_decimal": q_margin_tier_udf_decimal,
     "customer_segmentation": q_customer_segmentation,
     "order_date_range": q_order_date_range,
     "session_summary": q_session_summary,
+    "session_summary_devices": q_session_summary_devices,
     "session_summary_top20": q_session_summary_top20,
     "session_summary_top20_prefiltered": q_session_summary_top20_prefiltered,
     "top_recommendations": q_top_recommendations,
+    "top_recommendations_float": q_top_recommendations_float,
     "top_recommendations_prefiltered": q_top_recommendations_prefiltered,
     "product_units": q_product_units,
     "product_units_top5": q_product_units_top5,
     "category_revenue": q_category_revenue,
+    "category_revenue_decimal": q_category_revenue_decimal,
     **{f"scan_{t}": _scan(t) for t in SCAN_TABLES},
     "pivot_report": q_pivot_report,
+    "run_log_pivot": q_run_log_pivot,
+    "run_log_summary": q_run_log_summary,
+    "step_summary": q_step_summary,
     "argmin_argmax": q_argmin_argmax,
     "first_per_key": q_first_per_key,
     "meta_left_join": q_meta_left_join,
@@ -233,6 +341,8 @@ QUERIES: dict[str, Query] = {
     "gen_clickstream": q_gen_clickstream,
     "gen_recommendations": q_gen_recommendations,
     "gen_wide": q_gen_wide,
+    "gen_keys": q_gen_keys,
+    "gen_domains": q_gen_domains,
     "table_shapes": q_table_shapes,
 }
 
@@ -291,6 +401,31 @@ WHERE o.o_orderstatus = 'F'
 GROUP BY l.l_partkey
 """
 
+# money as DECIMAL(10,2); percentages compared exactly, without a division
+_PARTS_DECIMAL = f"""
+SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
+       CAST(p_retailprice AS DECIMAL(10,2)) AS price, CAST({_COST} AS DECIMAL(10,2)) AS cost FROM part
+"""
+
+_TIER_DECIMAL = f"""
+SELECT product_name, category, price, cost,
+       CASE WHEN 100 * (price - cost) >= 60 * price THEN 'high'
+            WHEN 100 * (price - cost) >= 50 * price THEN 'medium' ELSE 'low' END AS margin_tier
+FROM ({_PARTS_DECIMAL}) p ORDER BY price DESC
+"""
+
+_REVENUE_DECIMAL = ("CAST(CAST(l.l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) * "
+                    "CAST(CAST(l.l_quantity AS INTEGER) AS DOUBLE)")
+
+# fixed values: the event types in report order
+_ENGINES = ("view", "click", "purchase", "signup", "error")
+
+_RUN_LOG = """
+SELECT 'user_' || user_id AS "table", event_type AS engine, COUNT(*) AS "rows",
+       CASE WHEN COUNT(*) % 3 <> 0 THEN MIN(value) END AS time_s
+FROM events GROUP BY user_id, event_type
+"""
+
 _TYPE_POS = "CASE event_type " + " ".join(
     f"WHEN '{t}' THEN {i}" for i, t in enumerate(reports.EVENT_TYPE_ORDER, start=1)
 ) + f" ELSE {len(reports.EVENT_TYPE_ORDER) + 1} END"
@@ -299,6 +434,63 @@ ORACLE_SQL: dict[str, str] = {
     "order_enrichment": _ORDER_ENRICHMENT,
     "order_enrichment_flat": _ORDER_ENRICHMENT,
     "order_enrichment_sql": _ORDER_ENRICHMENT,
+    "order_enrichment_header_sql": _ORDER_ENRICHMENT,
+    "order_enrichment_decimal": f"""
+SELECT c.c_mktsegment AS segment, p.p_type AS category, COUNT(*) AS total_orders,
+       SUM(CAST(l.l_quantity AS INTEGER))::BIGINT AS total_units, ROUND(SUM({_REVENUE_DECIMAL}), 2) AS total_revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+WHERE o.o_orderstatus = 'F' GROUP BY ALL
+""",
+    "category_revenue_decimal": f"""
+SELECT p.p_type AS category, ROUND(SUM({_REVENUE_DECIMAL}), 2) AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+WHERE o.o_orderstatus = 'F' GROUP BY ALL
+""",
+    "product_margin_decimal": f"""
+SELECT product_id, product_name, category, price, cost, price - cost AS margin,
+       CAST(ROUND(CAST((price - cost) AS DOUBLE) * 100 / CAST(price AS DOUBLE), 1) AS DECIMAL(20,1)) AS margin_pct
+FROM ({_PARTS_DECIMAL}) p
+""",
+    "margin_tier_native_decimal": _TIER_DECIMAL,
+    "margin_tier_transform_decimal": _TIER_DECIMAL,
+    "margin_tier_udf_decimal": _TIER_DECIMAL,
+    "margin_tier_chain": _TIER,
+    "session_summary_devices": """
+SELECT CAST(event_id // 10 AS BIGINT) AS session_id, user_id AS customer_id,
+       CASE event_id % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device,
+       COUNT(*) AS events_in_session,
+       COUNT(DISTINCT json_extract_string(props, '$.k')) AS products_viewed,
+       COUNT(*) FILTER (event_type = 'purchase') AS purchases,
+       COUNT(*) FILTER (event_type = 'click') AS add_to_carts
+FROM events GROUP BY ALL
+""",
+    "top_recommendations_float": """
+SELECT l.l_orderkey AS customer_id, p.p_name AS product_name, p.p_type AS category,
+       CAST(l.l_discount * l.l_quantity / 50 AS FLOAT) AS score, l.l_returnflag AS reason
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE CAST(l.l_discount * l.l_quantity / 50 AS FLOAT) > CAST(0.098 AS FLOAT)
+ORDER BY score DESC, customer_id, product_name, category, reason LIMIT 200
+""",
+    "run_log_pivot": f"""
+SELECT "table", arg_min("rows", engine) AS "rows", 6 AS cols, {", ".join(
+        f"MAX(CASE WHEN engine = '{e}' THEN time_s END) AS {e}" for e in _ENGINES)}
+FROM ({_RUN_LOG}) l GROUP BY "table" ORDER BY "table"
+""",
+    "run_log_summary": f"""
+WITH l AS ({_RUN_LOG}),
+r AS (SELECT *, list_position({list(_ENGINES)}, engine) AS pos FROM l WHERE time_s IS NOT NULL),
+m AS (SELECT "table", arg_min("rows", engine) AS n FROM l GROUP BY "table")
+SELECT r."table", format('{{:,}}', any_value(n)) AS "rows", 6 AS cols,
+       arg_min(engine, (time_s, pos)) || ' (' || printf('%.3f', MIN(time_s)) || 's)' AS fastest,
+       arg_min(engine, (-time_s, pos)) || ' (' || printf('%.3f', MAX(time_s)) || 's)' AS slowest,
+       printf('%.1fx', MAX(time_s) / MIN(time_s)) AS speedup
+FROM r JOIN m USING ("table") GROUP BY r."table" ORDER BY r."table"
+""",
+    "step_summary": """
+SELECT coalesce(event_type, 'TOTAL') AS step, printf('%.3f', SUM(CASE WHEN value < 100 THEN value END)) AS time_s
+FROM events GROUP BY ROLLUP (event_type)
+""",
     "product_margin": f"""
 SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
        p_retailprice AS price, {_COST} AS cost,
@@ -402,10 +594,6 @@ def _gen_orders_sql() -> str:
     return f"SELECT {cols} FROM ({lines}) g JOIN ({G.products_sql()}) p ON g.product_id = p.product_id"
 
 
-_DECLARED_COLS = {
-    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
-}
-
 ORACLE_SQL.update({
     "gen_customers": G.generator_sql(G.customer_columns("duckdb"), "SELECT c_custkey AS id FROM customer"),
     "gen_orders": _gen_orders_sql(),
@@ -415,8 +603,24 @@ ORACLE_SQL.update({
         G.recommendation_columns("duckdb"), "SELECT o_orderkey AS id, o_custkey AS customer_num FROM orders"),
     "gen_wide": G.generator_sql(
         G.wide_columns("duckdb", WIDE_COLUMNS, WIDE_SEED), "SELECT p_partkey AS id FROM part"),
+    # written out literally: keys are zero-padded to 7, 6 and 4 digits, and ten
+    # consecutive event ids make a session
+    "gen_keys": """
+SELECT printf('EVT-%07d', event_id) AS event_id,
+       printf('SESS-%06d', CAST(floor((event_id - 1) / 10.0) AS BIGINT) + 1) AS session_id,
+       printf('CUST-%04d', user_id) AS customer_id FROM events
+UNION ALL
+SELECT printf('ORD-%06d', o_orderkey), NULL, printf('CUST-%04d', o_custkey) FROM orders
+""",
+    "gen_domains": """
+SELECT 'customers' AS "table", COUNT(*) AS n, 0::BIGINT AS outside FROM customer
+UNION ALL SELECT 'orders', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'clickstream', COUNT(*), 0 FROM events
+UNION ALL SELECT 'recommendations', COUNT(*), 0 FROM orders
+""",
     "table_shapes": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\", CAST({_DECLARED_COLS[t]} AS INTEGER) AS cols FROM {t}"
+        f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\", "
+        f"(SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS cols FROM {t}"
         for t in SHAPE_TABLES
     ),
 })

@@ -2,15 +2,15 @@
 
 Inputs are DataFrames with the e-commerce column names (see
 ``ledgerline.sources.bindings``). Every function is lazy and returns a
-DataFrame; the SQL twins (``*_sql``) run the reference's query text through
-``spark.sql`` with the frames bound as named inputs, and must return the same
-rows (tested both ways with ``exceptAll``).
+DataFrame; the SQL twins (``*_sql``) run through ``spark.sql`` with the frames
+bound as named inputs, and must return the same rows (tested both ways with
+``exceptAll``). Their output columns, predicates and order are fixed values:
+they are the contract of the queries.
 
 Scale notes (planner output checked with ``explain("formatted")``):
   * filters on the fact (``status``, ``score``) are pushed into the Parquet
     scan below the joins;
-  * no join carries a broadcast hint unless that side has a proven bound (a
-    fixed-size dimension, a counted candidate set): otherwise the planner's statistics check
+  * no join carries a broadcast hint: the planner's statistics check
     (``autoBroadcastJoinThreshold``) decides, and AQE re-decides from
     measured shuffle sizes (broadcast, or a hash join instead of a sort);
   * aggregates run partial (map-side) then final, so a hot group key is
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ledgerline.functions import scalar as S
 from ledgerline.operators.order import top_k
 from ledgerline.operators.transform import series_udf, transform
-from ledgerline.session import ensure_checkpoint_dir, ship_package
+from ledgerline.session import ship_package
 
 
 # --------------------------------------------------------------------- Q1
@@ -137,9 +137,9 @@ def order_enrichment_by_header(
     ``shuffle_hash`` hint would skip that measured check, and a hash join
     cannot spill, so with too few shuffle partitions a slow job would become
     a failed one. Without table statistics, Catalyst sizes ``h`` (a join) as the
-    product of its inputs. Where the line projection fits under
-    ``autoBroadcastJoinThreshold`` (small scale factors only), Spark's
-    size check may therefore broadcast the lines instead.
+    product of its inputs, so before the query runs the lines would look
+    like the smaller side; ``autoBroadcastJoinThreshold`` is kept at Spark's
+    default for that reason, and a measured, small ``h`` is broadcast by AQE.
     """
     h = (
         headers.where(F.col("status") == F.lit(completed))
@@ -350,61 +350,27 @@ def top_recommendations(
     return top_k(joined, ["score"], k)
 
 
-# Largest candidate set (rows, counted exactly) that the prefiltered top-k
-# broadcasts into the product scan; beyond it the join shuffles both sides.
-CANDIDATE_BROADCAST_ROWS = 1_000_000
-
-
 def top_recommendations_prefiltered(
     recommendations: DataFrame, products: DataFrame, min_score: float = 0.7, k: int = 20
 ) -> DataFrame:
-    """Q5 with the top-k pushed below the product join — same rows as
+    """Q5 with a score bound below the product join — same rows as
     :func:`top_recommendations`.
 
-    The output order starts with ``(score desc, customer_id asc)``, both from
-    the fact. Step 1 takes the k best fact rows by that prefix
-    (TakeOrderedAndProject: k rows per task, at most k rows reach the
-    driver) and reads the k-th prefix ``b``. Step 2 keeps the fact rows whose
-    prefix is not after ``b`` (ties included), checkpoints them to the
-    shared checkpoint folder and counts them. Step 3 joins them with the
-    products: when the exact count is within ``CANDIDATE_BROADCAST_ROWS`` the
-    candidates are broadcast and the product table is only scanned, never
-    shuffled; otherwise a plain (shuffled) join. The top k of the joined
-    rows are checkpointed (k rows), so the product side is read once. If
-    there are k of them, every row of the true top-k was among the
-    candidates and the result is exact; otherwise (an order line without its
-    product) the full join plan is returned instead. All steps run while
-    the plan is built.
+    The k-th best score among the lines that have a product is a scalar
+    subquery (a semi-join, then TakeOrderedAndProject); only lines at or above
+    it are joined with the products, ties included. Lazy and exact: the bound
+    is computed when the query runs, and with fewer than k lines it lets all
+    of them pass.
     """
     if k <= 0:
         return top_recommendations(recommendations, products, min_score, k)
     r = recommendations.where(
         F.col("score") > _typed_literal(recommendations, "score", min_score)
     ).select("customer_id", "product_id", "score", "reason")
-    head = (
-        r.select("score", "customer_id")
-        .orderBy(F.col("score").desc_nulls_last(), F.col("customer_id").asc_nulls_first())
-        .limit(k)
-        .collect()
-    )
-    if len(head) < k:
-        return top_recommendations(recommendations, products, min_score, k)
-    s_b, c_b = head[-1]["score"], head[-1]["customer_id"]
-    tie = F.col("customer_id").isNull()
-    if c_b is not None:
-        tie = tie | (F.col("customer_id") <= F.lit(c_b))
-    ensure_checkpoint_dir(r.sparkSession)
-    candidates = r.where((F.col("score") > F.lit(s_b)) | ((F.col("score") == F.lit(s_b)) & tie)).checkpoint()
-    if candidates.count() <= CANDIDATE_BROADCAST_ROWS:
-        candidates = F.broadcast(candidates)
-    p = products.select("product_id", "product_name", "category")
-    joined = candidates.join(p, "product_id").select(
-        "customer_id", "product_name", "category", "score", "reason"
-    )
-    top = top_k(joined, ["score"], k).checkpoint()
-    if top.count() < k:
-        return top_recommendations(recommendations, products, min_score, k)
-    return top
+    sold = r.select("product_id", "score").join(products.select("product_id"), "product_id", "left_semi")
+    best = sold.select("score").orderBy(F.col("score").desc_nulls_last()).limit(k)
+    bound = best.agg(F.min("score")).scalar()
+    return top_recommendations(r.where(F.col("score") >= bound), products, min_score, k)
 
 
 TOP_RECOMMENDATIONS_SQL = """
@@ -463,18 +429,32 @@ def product_units_sql(spark: SparkSession, orders: DataFrame, completed: str = "
 
 
 # --------------------------------------------------------------------- Q7
+def _tiers(pct: pd.Series) -> np.ndarray:
+    """Tier of each percentage; a missing one is 'low'. Decimals are compared
+    as Decimals, so no percentage moves across a threshold by rounding."""
+    at_least = lambda bound: pct.map(lambda x: x is not None and x == x and x >= bound).astype(bool)
+    return np.select([at_least(S.HIGH_TIER_MIN), at_least(S.MEDIUM_TIER_MIN)], ["high", "medium"], default="low")
+
+
+def _percentage(price, cost):
+    """Margin in percent of the price, None without both or for a zero price."""
+    if price is None or cost is None or price != price or cost != cost or price == 0:
+        return None
+    return (price - cost) / price * 100
+
+
 def classify_margin(df: pd.DataFrame) -> pd.DataFrame:
     """Row-local pandas transform: append ``margin_tier`` from the unrounded
-    margin percentage (vectorized; NaN/inf from a zero price is 'low')."""
-    df = df.copy()
-    price = pd.to_numeric(df["price"], errors="coerce").astype("float64")
-    cost = pd.to_numeric(df["cost"], errors="coerce").astype("float64")
-    with np.errstate(divide="ignore", invalid="ignore"):
-        pct = (price - cost) / price * 100
-    df["margin_tier"] = np.select(
-        [pct >= S.HIGH_TIER_MIN, pct >= S.MEDIUM_TIER_MIN], ["high", "medium"], default="low"
-    )
-    return df
+    margin percentage, in the arithmetic of the columns' own type (Decimal
+    columns divide as Decimals, floats as floats)."""
+    if pd.api.types.is_numeric_dtype(df["price"]) and pd.api.types.is_numeric_dtype(df["cost"]):
+        price, cost = df["price"].astype("float64"), df["cost"].astype("float64")
+        pct = ((price - cost) / price.where(price != 0) * 100).to_numpy()
+        tier = np.select([pct >= S.HIGH_TIER_MIN, pct >= S.MEDIUM_TIER_MIN], ["high", "medium"], default="low")
+    else:
+        pct = pd.Series([_percentage(p, c) for p, c in zip(df["price"], df["cost"])], index=df.index, dtype=object)
+        tier = _tiers(pct)
+    return df.assign(margin_tier=tier)
 
 
 TIER_COLUMNS = ["product_name", "category", "price", "cost", "margin_tier"]
@@ -489,13 +469,14 @@ def margin_tier_native(products: DataFrame) -> DataFrame:
 
 
 def tier_of_pct(pct: pd.Series) -> pd.Series:
-    """Element-wise tier of a percentage Series (vectorized form of the
-    reference's per-element lambda); NaN/NULL is 'low'."""
-    x = pd.to_numeric(pct, errors="coerce").astype("float64")
-    return pd.Series(
-        np.select([x >= S.HIGH_TIER_MIN, x >= S.MEDIUM_TIER_MIN], ["high", "medium"], default="low"),
-        index=pct.index,
-    )
+    """Tier of each value of a percentage Series, float or Decimal; NaN and
+    NULL are 'low'."""
+    if pd.api.types.is_numeric_dtype(pct):
+        x = pct.astype("float64")
+        got = np.select([x >= S.HIGH_TIER_MIN, x >= S.MEDIUM_TIER_MIN], ["high", "medium"], default="low")
+    else:
+        got = _tiers(pct)
+    return pd.Series(got, index=pct.index)
 
 
 def margin_tier_udf(products: DataFrame) -> DataFrame:
@@ -505,14 +486,15 @@ def margin_tier_udf(products: DataFrame) -> DataFrame:
     tier = series_udf(tier_of_pct, "string")
     return products.select(
         "product_name", "category", "price", "cost",
-        tier(S.margin_pct_raw().cast("double")).alias("margin_tier"),
+        tier(S.margin_pct_raw()).alias("margin_tier"),
     ).orderBy(F.desc("price"))
 
 
 def margin_tier_transform(products: DataFrame) -> DataFrame:
-    """Q7 as in the reference: ``TRANSFORM products USING classify_margin``
-    (schema ``*, margin_tier:str``), then select and order."""
-    transformed = transform(products, classify_margin, "*, margin_tier:str")
+    """Q7 as a transform: ``TRANSFORM products USING classify_margin`` (schema
+    ``*, margin_tier:str``), then select and order. Python sees only the
+    columns that the result or the function needs."""
+    transformed = transform(products.select(*TIER_COLUMNS[:-1]), classify_margin, "*, margin_tier:str")
     return transformed.select(*TIER_COLUMNS).orderBy(F.desc("price"))
 
 
@@ -524,9 +506,9 @@ ORDER BY price DESC
 
 
 def margin_tier_transform_sql(spark: SparkSession, products: DataFrame) -> DataFrame:
-    """Q7 chained as in the reference (U4): the transform's result is bound
-    under a name and queried with SQL."""
-    transformed = transform(products, classify_margin, "*, margin_tier:str")
+    """Q7 chained (U4): the transform's result is bound under a name and
+    queried with SQL."""
+    transformed = transform(products.select(*TIER_COLUMNS[:-1]), classify_margin, "*, margin_tier:str")
     return spark.sql(TIER_QUERY_SQL, transformed=transformed)
 
 

@@ -135,3 +135,17 @@ def test_columns_are_independent(spark):
     assert min(cells) > 1700 and max(cells) < 2300  # expected 2000 each
     months = [r["count"] for r in c.groupBy(F.month("signup_date"), "segment").count().collect()]
     assert len(months) == 36 and min(months) > 750 and max(months) < 1250  # expected 1000
+
+
+def test_no_two_ids_share_their_payload(spark):
+    """Ids that squaring would pair, and ids beyond the modulus."""
+    m = 2147483647
+    pair = [(7,), (1595340477 - 7,), (5,), (5 + m,), (5 + 2 * m,), (2**40 + 1,), (2**40 + 1 + m,)]
+    ids = spark.createDataFrame(pair, "id long")
+    cols = dict(G.wide_columns("spark", 50, 47))
+    got = ids.select(*[F.expr(cols[c]).alias(c) for c in G.wide_column_names(50) if c not in ("id", "description")]).collect()
+    assert len({tuple(r) for r in got}) == len(pair)
+
+
+def test_seed_range_has_the_sessions_parallelism(spark):
+    assert G.id_range(spark, 200_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -484,10 +484,41 @@ def test_aqe_turns_small_sort_merge_joins_into_hash_joins(spark):
     assert got == sorted(map(tuple, retail.product_units_sql(spark, r.orders, "F").collect()))
 
 
-def test_prefiltered_top_k_without_candidate_broadcast(spark, seeded, monkeypatch):
-    """Above the candidate row bound the prefiltered top-k joins without a
-    broadcast (the other way beyond the size check); same rows either way."""
+def test_prefiltered_top_k_is_lazy(spark, seeded):
     recs, prods = seeded["recommendations"], seeded["products"]
-    want = retail.top_recommendations(recs, prods, 0.7, 20).collect()
-    monkeypatch.setattr(retail, "CANDIDATE_BROADCAST_ROWS", 0)
-    assert retail.top_recommendations_prefiltered(recs, prods, 0.7, 20).collect() == want
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    retail.top_recommendations_prefiltered(recs, prods, 0.7, 20)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_decimal_tiers_at_the_border(spark):
+    """Prices whose exact percentage is 60 (and 50): every form agrees."""
+    rows = [("4.35", "1.74"), ("6.70", "2.68"), ("4.55", "1.82"), ("4.35", "1.75"), ("0.02", "0.01"), ("0.03", "0.02")]
+    frame = spark.createDataFrame(
+        [(f"B-{i}", f"n{i}", "c", Decimal(p), Decimal(c), "s") for i, (p, c) in enumerate(rows)], G.PRODUCT_SCHEMA)
+    want = {"n0": "high", "n1": "high", "n2": "high", "n3": "medium", "n4": "medium", "n5": "low"}
+    for form in (retail.margin_tier_native(frame), retail.margin_tier_transform(frame), retail.margin_tier_udf(frame),
+                 retail.margin_tier_sql(spark, frame), retail.margin_tier_transform_sql(spark, frame)):
+        assert {r.product_name: r.margin_tier for r in form.collect()} == want
+
+
+def test_transform_ships_only_the_columns_it_needs(spark):
+    plan = plan_of(retail.margin_tier_transform(driver_roles(spark, SF01).products))
+    scan = next(line for line in plan.splitlines() if "ReadSchema" in line)
+    assert "p_brand" not in scan and "p_partkey" not in scan
+
+
+def test_flagship_never_broadcasts_the_lines(spark):
+    r = driver_roles(spark, "/root/testdata/sf0.1")
+    q = retail.order_enrichment_by_header(r.order_lines, r.order_headers, r.customers, r.products, "F")
+    q.collect()
+    lines = plan_of(q).split("Initial Plan")[0].splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-*("))
+            below = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-*(")) <= depth:
+                    break
+                below.append(nxt)
+            assert not any("l_extendedprice" in x or "Scan parquet" in x and "lineitem" in x for x in below)

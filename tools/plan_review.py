@@ -18,9 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ledgerline.plans.registry import QUERIES  # noqa: E402
 from ledgerline.session import build_session  # noqa: E402
 
-# queries that run small jobs while being built (bounded top-k probes)
-EAGER = {"top_recommendations_prefiltered"}
-
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -30,8 +27,6 @@ def main() -> None:
                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
     )
     for name, fn in QUERIES.items():
-        if name in EAGER:
-            continue
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain()
