@@ -7,25 +7,26 @@ writes the same table. Each helper renders one SQL expression for a
 or ``"duckdb"`` (used by the oracle) — from the same arithmetic, so both
 engines compute identical values.
 
-Mixing, with M = 2³¹−1: a per-row part shared by every column,
-``m = ((pmod(id, M) * A + B) mod M)² + C) mod M`` (non-linear), then a
-per-column affine step ``(m * a + b) mod M`` whose constants come from the
-salt. The shared part is textually identical in every column, so Spark's
-subexpression elimination computes it once per row and each generated
-column adds only a multiply and a modulo. A 50-column table still fuses
+Mixing, with M = 2³¹−1 and the id split into ``low = id mod M`` and
+``high = id div M``: a per-row part shared by every column,
+``m = (low * A + B mod M)⁵ + C mod M``, then a per-column step
+``(m * a + (high mod M) * c + b) mod M`` whose constants come from the salt.
+Both the affine step and the fifth power permute the numbers below M (5 has no
+factor in common with M − 1), so no two ids below M share their values in all
+columns; beyond, ids with the same low part differ by a per-column multiple of
+the high one. The shared part is textually identical in every column, so
+Spark's subexpression elimination computes it once per row and each generated
+column adds only two multiplies and a modulo. A 50-column table still fuses
 into one whole-stage method too big for the JIT, so the session sets
-``spark.sql.codegen.hugeMethodLimit`` (see ``ledgerline.session``) and
-Spark compiles such a stage per expression. Every intermediate stays below
-2⁶², so 64-bit arithmetic never overflows (ANSI mode raises on overflow).
+``spark.sql.codegen.hugeMethodLimit`` (see ``ledgerline.session``) and Spark
+compiles such a stage per expression. Every intermediate stays below 2⁶³, so
+64-bit arithmetic never overflows (ANSI mode raises on overflow).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MODULUS = 2147483647  # 2^31 - 1
 
 
@@ -33,25 +34,30 @@ MODULUS = 2147483647  # 2^31 - 1
 _A, _B, _C = 1103515245, 12345, 2147480009
 
 
-def _constants(salt: int) -> tuple[int, int]:
+def _constants(salt: int) -> tuple[int, int, int]:
     m = MODULUS
     a = 69621 + (salt * 2654435761) % (m - 69622)
     b = (salt * 15485863 + 99991) % m
-    return a, b
+    c = 48271 + (salt * 2246822519) % (m - 48272)
+    return a, b, c
 
 
 def row_mix_sql(id_sql: str, dialect: str = "spark") -> str:
     """The salt-independent, non-linear part of the mix (one per row)."""
     m = MODULUS
-    base = f"pmod({id_sql}, {m})" if dialect == "spark" else f"(((({id_sql}) % {m}) + {m}) % {m})"
-    x1 = f"(({base}) * {_A} + {_B}) % {m}"
-    return f"((({x1}) * ({x1}) + {_C}) % {m})"
+    low = f"pmod({id_sql}, {m})" if dialect == "spark" else f"(((({id_sql}) % {m}) + {m}) % {m})"
+    x1 = f"(({low}) * {_A} + {_B}) % {m}"
+    x2 = f"(({x1}) * ({x1})) % {m}"
+    x4 = f"(({x2}) * ({x2})) % {m}"
+    return f"(((({x4}) * ({x1})) % {m} + {_C}) % {m})"
 
 
 def hash_sql(id_sql: str, salt: int, dialect: str = "spark") -> str:
     """SQL for a value in [0, 2³¹−1) mixed from ``id_sql`` and ``salt``."""
-    a, b = _constants(salt)
-    return f"(({row_mix_sql(id_sql, dialect)} * {a} + {b}) % {MODULUS})"
+    a, b, c = _constants(salt)
+    m = MODULUS
+    high = f"pmod(({id_sql}) div {m}, {m})" if dialect == "spark" else f"((((({id_sql}) // {m}) % {m}) + {m}) % {m})"
+    return f"((({row_mix_sql(id_sql, dialect)} * {a}) % {m} + ({high} * {c}) % {m} + {b}) % {m})"
 
 
 def uniform_sql(id_sql: str, salt: int, lo: int, hi: int, dialect: str = "spark") -> str:
@@ -108,12 +114,3 @@ def float2_sql(n_sql: str, dialect: str = "spark") -> str:
     """FLOAT with two decimals from an integer count of hundredths."""
     return f"CAST(CAST({n_sql} AS DOUBLE) / 100 AS FLOAT)"
 
-
-def uniform_int(id_col: str, salt: int, lo: int, hi: int) -> Column:
-    """Column form of :func:`uniform_sql`."""
-    return F.expr(uniform_sql(id_col, salt, lo, hi))
-
-
-def pick(id_col: str, salt: int, values: Sequence[str]) -> Column:
-    """Column form of :func:`pick_sql`."""
-    return F.expr(pick_sql(id_col, salt, values))

@@ -50,28 +50,6 @@ def is_value(c, value) -> Column:
     return F.when(_c(c) == F.lit(value), F.lit(1)).otherwise(F.lit(0))
 
 
-def padded_key(prefix: str, n, width: int) -> Column:
-    """``PREFIX-000123``. ``format_string`` pads to a *minimum* width,
-    so keys wider than ``width`` digits are kept whole (``lpad`` would cut
-    them)."""
-    return F.format_string(f"{prefix}-%0{width}d", _c(n))
-
-
-def email(first, last, n, domain: str = "example.com") -> Column:
-    """``first.last<n>@domain`` in lower case, n unpadded."""
-    return F.concat(
-        F.lower(_c(first)), F.lit("."), F.lower(_c(last)),
-        _c(n).cast("string"), F.lit(f"@{domain}"),
-    )
-
-
-def fixed_point(c, precision: int, scale: int = 2) -> Column:
-    """Exact decimal from an integer count of hundredths."""
-    return (_c(c).cast("decimal(20,0)") / F.lit(10 ** scale)).cast(
-        f"decimal({precision},{scale})"
-    )
-
-
 def ieee_divide(num, den) -> Column:
     """Floating-point ``num / den`` with IEEE semantics at a zero divisor
     (±inf, or NaN for 0/0), as the reference's float arithmetic gives;

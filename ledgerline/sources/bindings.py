@@ -26,9 +26,6 @@ class Roles:
     roles should not pay for five.
     """
 
-    ROLE_NAMES = ("products", "customers", "customers_geo", "orders", "order_headers", "order_lines",
-                  "clickstream", "recommendations")
-
     def __init__(self, builders: dict, literals: dict | None = None):
         self._builders = builders
         self._built: dict[str, DataFrame] = {}
@@ -73,6 +70,12 @@ def driver_products(t: Tables) -> DataFrame:
     )
 
 
+def driver_products_decimal(t: Tables) -> DataFrame:
+    """part → products with money as DECIMAL(10,2), as the seeded tables have it."""
+    money = "decimal(10,2)"
+    return driver_products(t).withColumns({c: F.col(c).cast(money) for c in ("price", "cost")})
+
+
 def driver_customers(t: Tables) -> DataFrame:
     """customer → customers, without the region lookup (Q3 needs only the
     segment, and an inner join Catalyst cannot prove lossless would not be
@@ -144,6 +147,22 @@ def driver_order_lines(t: Tables) -> DataFrame:
     )
 
 
+def driver_orders_decimal(t: Tables) -> DataFrame:
+    """Order lines with an INT quantity and a DECIMAL(10,2) unit price."""
+    return driver_orders(t).withColumns({
+        "quantity": F.col("quantity").cast("int"), "unit_price": F.col("unit_price").cast("decimal(10,2)")})
+
+
+# Devices of the clickstream, dealt out by event id.
+DEVICES = ["desktop", "mobile", "tablet"]
+
+
+def driver_clickstream_devices(t: Tables) -> DataFrame:
+    """The clickstream with a device per event, so that sessions mix devices."""
+    device = F.element_at(F.array(*map(F.lit, DEVICES)), (F.col("event_id") % 3 + 1).cast("int"))
+    return driver_clickstream(t).withColumn("device", device)
+
+
 def driver_clickstream(t: Tables) -> DataFrame:
     """events → clickstream: ten consecutive event ids form a session and
     the product is the ``k`` field of the JSON ``props``."""
@@ -169,18 +188,31 @@ def driver_recommendations(t: Tables) -> DataFrame:
     )
 
 
+def driver_recommendations_float(t: Tables) -> DataFrame:
+    """Recommendations whose score is a FLOAT, as the seeded tables have it:
+    the discount weighted by the quantity, so that few lines share a score."""
+    score = (F.col("l_discount") * F.col("l_quantity") / 50).cast("float")
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
+        score.alias("score"), F.col("l_returnflag").alias("reason"))
+
+
 def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
     t = Tables(spark, sf_dir)
     return Roles(
         {
             "products": lambda: driver_products(t),
+            "products_decimal": lambda: driver_products_decimal(t),
             "customers": lambda: driver_customers(t),
             "customers_geo": lambda: driver_customers_geo(t),
             "orders": lambda: driver_orders(t),
+            "orders_decimal": lambda: driver_orders_decimal(t),
             "order_headers": lambda: driver_order_headers(t),
             "order_lines": lambda: driver_order_lines(t),
             "clickstream": lambda: driver_clickstream(t),
+            "clickstream_devices": lambda: driver_clickstream_devices(t),
             "recommendations": lambda: driver_recommendations(t),
+            "recommendations_float": lambda: driver_recommendations_float(t),
         },
         DRIVER_LITERALS,
     )

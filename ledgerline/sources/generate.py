@@ -5,7 +5,7 @@ seeding a catalog (the seed jobs), or keys taken from existing tables (the
 registered queries). Every column is a pure expression of the id, so the
 work is map-only, spreads over all executors and never passes rows through
 the driver. The one join — order lines looking up the product price — is
-against the 10-row constant product list, a broadcast with a fixed bound.
+against the 10-row constant product list.
 
 Column expressions are rendered per SQL dialect (see
 ``ledgerline.functions.random``); the Spark form runs them through
@@ -239,10 +239,10 @@ def customers(ids: DataFrame) -> DataFrame:
 
 def orders(ids: DataFrame, product_frame: DataFrame) -> DataFrame:
     """G3 over ``(id, customer_num)``; ``unit_price`` is the product's price
-    (P24), looked up by a broadcast join with the fixed 10-row products."""
+    (P24), looked up by a join. No hint: the planner measures the frame."""
     lines = _apply(ids, order_columns("spark"))
     prices = product_frame.select("product_id", F.col("price").alias("unit_price"))
-    return lines.join(F.broadcast(prices), "product_id").select(*ORDER_COLUMNS)
+    return lines.join(prices, "product_id").select(*ORDER_COLUMNS)
 
 
 def clickstream(ids: DataFrame) -> DataFrame:
@@ -260,20 +260,13 @@ def wide(ids: DataFrame, num_columns: int, seed: int) -> DataFrame:
     return _apply(ids, wide_columns("spark", num_columns, seed))
 
 
-ROWS_PER_PARTITION = 1_000_000
-
-
 def id_range(spark: SparkSession, n: int, customers_n: int | None = None, num_partitions: int | None = None,
              seed: int = 0) -> DataFrame:
     """``spark.range(1, n + 1)`` as ``id`` (and ``customer_num`` uniform on
     ``[1, customers_n]`` when given): the id frame of a seed job.
 
-    By default the range is split by size — one partition, and so one
-    written file, per ``ROWS_PER_PARTITION`` rows — rather than by the
-    cluster's default parallelism, which would write thousands of tiny files
-    for a small table on a large cluster. Values do not depend on it."""
-    if num_partitions is None:
-        num_partitions = max(1, -(-n // ROWS_PER_PARTITION))
+    By default the range has the session's parallelism; the sinks bound file
+    sizes with ``maxRecordsPerFile``. Values do not depend on either."""
     ids = spark.range(1, n + 1, numPartitions=num_partitions).select(F.col("id"))
     if customers_n:
         ids = ids.withColumn("customer_num", F.expr(uniform_sql("id", _salt(seed, 0), 1, customers_n)))
