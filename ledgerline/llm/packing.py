@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.llm import textstats
 from ledgerline.llm.common import checkpointed
 
 PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -34,8 +35,7 @@ SLACK = 8            # a sequence within this many tokens of full is final
 FAN_IN = 8           # tasks of one round that feed one task of the next
 BUFFER = 200_000     # pieces best-fitted together in the first round
 BINS_PER_TASK = 20_000
-CACHE_WORDS = 800_000  # per Python worker, about 200 MB
-SLICE_BYTES = 8 << 20  # text encoded at a time
+CACHE_WORDS = 400_000  # per Python worker, about 100 MB
 PUNCTUATION = ".,;:!?*$%&#|"
 
 
@@ -177,8 +177,8 @@ def _pack_documents(path: str, capacity: int, end_id: int):
     def run(batches):
         enc, parts, held = encoder(path), [], 0
         for batch in batches:
-            for part in _slices(batch):
-                flat, counts = enc.encode(pc.fill_null(part.column(1).cast(pa.large_string()), ""))
+            for part in textstats.slices(batch, 1):
+                flat, counts = enc.encode(textstats.filled(part.column(1)))
                 rows, at = [], 0
                 for doc_id, n in zip(part.column(0).to_pylist(), counts.tolist()):
                     ids = np.empty(n + 1, "<u4")
@@ -196,13 +196,6 @@ def _pack_documents(path: str, capacity: int, end_id: int):
     return run
 
 
-def _slices(batch: pa.RecordBatch):
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    cuts = np.flatnonzero(np.diff(size // SLICE_BYTES)) + 1
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-        yield batch.slice(lo, hi - lo)
-
-
 def _columns(rows: list[tuple]) -> dict[str, np.ndarray]:
     # ids may be null: they stay Python objects until Arrow types them
     cols = list(zip(*rows))

@@ -50,8 +50,8 @@ DECAY, REACH = 0.7, 5   # a triple spans at most REACH letters after its first
 WORD, STEP = 24, 12     # longer words are read in overlapping windows
 SENTENCE_WORDS = 32
 CODES = 64
-CACHE_WORDS = 400_000   # in each of two generations
-WORDS_AT_ONCE = 8_000  # whose triples and kernel rows are in memory together
+CACHE_WORDS = 250_000   # in each of two generations
+WORDS_AT_ONCE = 4_000  # whose triples and kernel rows are in memory together
 EDGES = re.compile(r"[\W_]+")
 
 
@@ -106,11 +106,17 @@ def kernel(words: list[str], marks: np.ndarray, place: np.ndarray) -> np.ndarray
     """
     row, code, w = triples(words)
     at = place[code]
-    row, at, w = row[at > 0], at[at > 0], w[at > 0]
+    row, at, w = row[at > 0], at[at > 0], w[at > 0].astype(np.float32)
     out = np.zeros((len(words), marks.shape[1]), np.float32)
     if len(row):
-        start = np.flatnonzero(np.diff(row, prepend=-1))
-        out[row[start]] = np.add.reduceat(marks[at] * w[:, None].astype(np.float32), start)
+        # the k-th known triple of every word at once; row 0 of marks is of zeros
+        count = np.bincount(row, minlength=len(words))
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        ats, ws = (np.zeros((int(count.max()), len(words)), x.dtype) for x in (at, w))
+        ats[nth, row], ws[nth, row] = at, w
+        for a, x in zip(ats, ws):
+            some = np.flatnonzero(a)
+            out[some] += marks[a[some]] * x[some, None]
     return out * out
 
 
@@ -367,7 +373,9 @@ class Scorer:
         vocabulary, codes, bounds = textstats.word_codes(lowered)
         cleaned = [clean(w) for w in vocabulary]
         self._learn(cleaned)
-        margin = np.array([self.margin[w] for w in cleaned] or [0.0])[codes] if len(codes) else np.zeros(0)
+        ids = {w: i for i, w in enumerate(dict.fromkeys(cleaned))}
+        word = np.array(list(map(ids.__getitem__, cleaned)) or [0], np.int64)[codes]
+        margin = np.array([self.margin[w] for w in ids] or [0.0])[word]
         ends = np.array([w[-1:] in (".", "!", "?") for w in vocabulary] or [False])
         single = np.array([len(w) == 1 for w in cleaned] or [False])
         empty = np.array([not w for w in cleaned] or [False])
@@ -384,8 +392,6 @@ class Scorer:
         at = np.flatnonzero(first)
         # a word counts once in a sentence: later occurrences add nothing
         of = np.cumsum(first) - 1
-        ids: dict[str, int] = {}
-        word = np.array([ids.setdefault(w, len(ids)) for w in cleaned], np.int64)[codes]
         key = of * np.int64(len(ids)) + word
         _, once = np.unique(key, return_index=True)
         added = np.zeros(len(codes))
