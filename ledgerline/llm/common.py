@@ -8,9 +8,13 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerline.session import ship_package
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy scan of one input table; the path is opened by Spark only."""
+    """Lazy scan of one input table; the path is opened by Spark only. The
+    package is sent to the executors, whose tasks import it."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +39,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     With ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go
     when the frame is garbage collected.
     """
+    ship_package(df.sparkSession)
     shared_dir(df.sparkSession)
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
@@ -45,6 +50,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back:
     a columnar lineage cut whose later scans prune columns."""
     spark = df.sparkSession
+    ship_package(spark)
     path = os.path.join(shared_dir(spark), f"ledgerline-{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
