@@ -8,9 +8,12 @@
    are summed by blocks of terms, and a QR step of that terms x rank matrix
    gives the basis. Its size depends on the benchmark only.
 4. Windows of two and four blocks of ``STEP`` words are projected and compared
-   with all items; a window is a candidate for an item if their cosine is
-   ``COSINE`` or more and it holds ``MASS`` of the item's latent vector. A window
-   too short for the least item's mass is not compared at all.
+   with all items, and with the pieces of at most ``PIECE`` words of the items
+   that are longer than a window; a window is a candidate for an item if its
+   cosine with the item or a piece is ``COSINE`` or more and it holds ``MASS`` of
+   that one's latent vector. A window too short for the least mass is not
+   compared at all. A candidate is verified over the item's full length, as the
+   piece's place in the item lays it around the window.
 5. A candidate is a leak if the longest common subsequence of words holds
    ``LCS`` of the item, or ``LCS_WITH_ANSWER`` of it and ``ANSWER`` of the item's
    answer (its last sentence, or its last quarter), and the words in common
@@ -39,6 +42,7 @@ from ledgerline.llm import textstats
 from ledgerline.llm.common import written
 
 PASSAGE, STEP = 48, 12
+PIECE = 40
 RANK, OVERSAMPLE, ROUNDS = 128, 8, 1
 COSINE, MASS = 0.4, 0.35
 WORDS_AT_ONCE = 200_000
@@ -232,19 +236,33 @@ def _bits(terms: np.ndarray) -> dict[int, int]:
     return out
 
 
+def pieces_of(items: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    """(item, start, end) of what windows are compared with: every item whole,
+    and even pieces of at most PIECE words of those longer than a window."""
+    out = [(k, 0, len(t)) for k, t in enumerate(items)]
+    for k, t in enumerate(items):
+        if len(t) > 4 * STEP:
+            cuts = np.linspace(0, len(t), -(-len(t) // PIECE) + 1).astype(int).tolist()
+            out += [(k, a, z) for a, z in zip(cuts, cuts[1:])]
+    return out
+
+
 def _search(shared):
     def run(batches):
         m = shared.value
         table = _weighted(m)
         items, answers = m["items"], m["answers"]
-        latent = np.stack([table[t].sum(0) for t in items])
+        pieces = pieces_of(items)
+        latent = np.stack([table[items[k][a:z]].sum(0) for k, a, z in pieces])
         length = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
         latent /= length[:, None]
         masks, answer_masks = [_bits(t) for t in items], [_bits(t) for t in answers]
         totals = [float(m["idf"][t].sum()) for t in items]
 
-        def verify(terms, places, lo, hi, k):
+        def verify(terms, places, lo, hi, p):
+            k, start, end = pieces[p]
             span = len(items[k]) // 2
+            lo, hi = lo - start, hi + len(items[k]) - end  # from the piece to the whole item
             a, b = np.searchsorted(places, (lo - span, hi + span))
             tokens = terms[a:b].tolist()
             share = lcs_length(masks[k], len(items[k]), tokens) / len(items[k])
@@ -269,17 +287,19 @@ def _search(shared):
                 norm = np.sqrt(np.einsum("ij,ij->i", z, z))
                 # a product with a unit vector is at most the norm: nothing is lost here
                 use = use[norm[use] >= MASS * length.min()]
-                product = z[use] @ latent.T
-                at, k = np.nonzero((product >= COSINE * norm[use, None]) & (product >= MASS * length))
-                hits += zip((product[at, k] / norm[use[at]]).tolist(), use[at].tolist(), k.tolist(), [width] * len(at))
+                for first in range(0, len(pieces), ITEMS):
+                    some = slice(first, first + ITEMS)
+                    product = z[use] @ latent[some].T
+                    at, p = np.nonzero((product >= COSINE * norm[use, None]) & (product >= MASS * length[some]))
+                    hits += zip((product[at, p] / norm[use[at]]).tolist(), use[at].tolist(), (first + p).tolist(), [width] * len(at))
             best = {}
-            for cosine, c, k, width in sorted(hits, reverse=True):
-                d = int(w.doc_of[c])
+            for cosine, c, p, width in sorted(hits, reverse=True):
+                d, k = int(w.doc_of[c]), pieces[p][0]
                 if best.get((d, k), (0,))[0] == 1.0:
                     continue
                 a, z = w.bounds[d], w.bounds[d + 1]
                 lo = int(w.nth[c]) * STEP
-                got = verify(w.term[a:z], w.place[a:z], lo, lo + width * STEP, k)
+                got = verify(w.term[a:z], w.place[a:z], lo, lo + width * STEP, p)
                 if got and got > best.get((d, k), (0,)):
                     best[d, k] = (*got, cosine)
             ids = b.column("doc_id").to_pylist()

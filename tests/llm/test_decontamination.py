@@ -91,3 +91,33 @@ def test_edges(spark):
 def test_answers():
     assert D.answer_of("Who is it? It is the king.") == ["it", "is", "the", "king"]
     assert D.answer_of("a b c d e f g h i j k l") == ["j", "k", "l"]
+
+
+def test_items_longer_than_a_window_are_found(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(words(rng, n))) for i, n in enumerate([50, 100, 150, 200, 250, 300, 400, 500] * 3)]
+    docs, leaks = [], set()
+    for d in range(72):
+        body = words(rng, rng.randint(30, 900))
+        if d % 3 == 0:
+            item, text = items[d // 3]
+            text = [w if d % 2 or k % 8 != 3 or k > len(text.split()) * 3 // 4 else f"new{rng.randrange(999)}"
+                    for k, w in enumerate(text.split())]  # every second one a paraphrase
+            at = rng.randrange(len(body))
+            body[at:at] = text
+            leaks.add((d, item))
+        docs.append((d, " ".join(body)))
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                       spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == leaks and len(got) == len(leaks)
+    lengths = {i: len(t.split()) for i, t in items}
+    assert all(r.end_word - r.start_word >= lengths[r.item_id] // 2 for r in got)
+
+
+def test_pieces_cover_the_items():
+    items = [range(n) for n in (1, 48, 49, 80, 81, 500)]
+    for k, t in enumerate(items):
+        whole, *parts = [(a, z) for i, a, z in D.pieces_of(items) if i == k]
+        assert whole == (0, len(t)) and bool(parts) == (len(t) > 48)
+        assert [x for a, z in parts for x in t[a:z]] == (list(t) if parts else [])
+        assert all(z - a <= D.PIECE for a, z in parts)
