@@ -39,7 +39,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.substring_dedup import substring_dedup
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup(docs).select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed")
+    return substring_dedup(docs, passages=True).select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 @query

@@ -9,15 +9,26 @@ repeats that hold at least ``MIN_WORDS`` words together, so a passage goes
 wherever it stands in a line while a short phrase that recurs by chance does
 not. What is removed is reported by its offsets in the original text.
 
+With ``passages`` (op3 and the pipeline) a repeat need not keep to units. Every
+run of ``GRAM`` words is hashed to 128 bits and the least of each ``REACH``
+neighbours are seeds (winnowing), so that any ``WINDOW`` words that two places
+share hold a seed of both. Seeds with an earlier occurrence are joined to runs
+and extended word by word to both sides, against the words around the earliest
+occurrence; a run is cut besides the units. So no ``WINDOW`` words of an earlier
+document stay, whatever their sentence ends, and all that is cut for a seed are
+``GRAM`` or more words in the order in which they stand at an earlier place.
+
 Each task sends one row per unit and document; the least id per digest is
 aggregated before and after the shuffle, and the join that marks repeats is an
 ordinary equi-join with the digests that occur twice or more, whose hot ones
 adaptive execution splits. Only the marks of a document, never its text, are
-gathered by key. Building the result runs the job that finds those digests.
+gathered by key; texts are read again for extension only if a bitmap of fixed
+size has their id. Building the result runs the jobs that find those digests.
 
 Defined results: null and empty texts have no units and stay as they are; rows
 with a null id stay as they are; rows that repeat an id are one document to
-each other, and neither is cut for the other's sake; a text of which nothing
+each other, and neither is cut for the other's sake; within a document only a
+passage that does not overlap the earlier one repeats it; a text of which nothing
 but white space and punctuation is left keeps that rest; an empty table gives
 no rows. Columns of the input come back unchanged beside the new text; the
 result's own columns must not be among them. Texts are read whole.
@@ -28,6 +39,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -36,9 +48,15 @@ from ledgerline.llm import textstats
 from ledgerline.llm.common import written
 
 MIN_WORDS = 25
+GRAM, REACH = 25, 26
+WINDOW = GRAM + REACH - 1
+BITS = 22
 ENDS = re.compile(r"[.!?\n]+")
 UNIT = re.compile(r"[^.!?\n]+[.!?]*")
 GAPS = re.compile(r"[\W_]+")
+WORD = re.compile(r"[^\W_]+")
+STOPS = re.compile(r"[.!?]*")
+FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
 def unit_texts(text: str) -> list[str]:
@@ -49,35 +67,36 @@ def unit_texts(text: str) -> list[str]:
 def _unit_rows(batches):
     for batch in batches:
         for part in textstats.slices(batch, 1):
-            ids, his, los, marks = [], [], [], []
-            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            ids, tids, his, los, marks = [], [], [], [], []
+            for i, text, t in zip(*(part.column(c).to_pylist() for c in range(3))):
                 seen = set()
                 for at, unit in enumerate(unit_texts(text)):
                     if unit:
                         d = xxhash.xxh3_128_intdigest(unit)
                         first = d not in seen
                         seen.add(d)
-                        ids.append(i), his.append(d >> 64), los.append(d & (2**64 - 1))
+                        ids.append(i), tids.append(t), his.append(d >> 64), los.append(d & (2**64 - 1))
                         # place, words and whether it is the document's first of its kind
                         marks.append(at << 32 | min(unit.count(" ") + 1, 2**30) << 1 | first)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(np.array(his, np.uint64).view(np.int64)),
+                [pa.array(ids, pa.int64()), pa.array(tids, pa.int64()), pa.array(np.array(his, np.uint64).view(np.int64)),
                  pa.array(np.array(los, np.uint64).view(np.int64)), pa.array(marks, pa.int64())],
-                names=["id", "hi", "lo", "mark"])
+                names=["id", "tid", "hi", "lo", "mark"])
 
 
 def repeated_units(texts: DataFrame) -> DataFrame:
-    """(id, marks): the places of the units of a document that repeat an
-    earlier one, for documents with MIN_WORDS words in such units."""
+    """(id, tid, marks): the places of the units of a document that repeat an
+    earlier one, for documents with MIN_WORDS words in such units. ``texts`` has
+    id, text and tid, a hash of the text: rows may share an id."""
     units = texts.filter("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        _unit_rows, "id long, hi long, lo long, mark long")
+        _unit_rows, "id long, tid long, hi long, lo long, mark long")
     # written, so that the join deals both of its sides itself: only then can
     # adaptive execution split the tasks of a hot digest
     first = written(units.groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
                     .filter("n > 1"), "repeated-digests")
     words = F.shiftright("mark", 1).bitwiseAND(F.lit(2**30 - 1).cast("long"))
     later = units.join(first.drop("n"), ["hi", "lo"]).filter("NOT (id = first_id AND mark % 2 = 1)")
-    return (later.groupBy("id").agg(
+    return (later.groupBy("id", "tid").agg(
         F.collect_set(F.shiftright("mark", 32).cast("int")).alias("marks"), F.sum(words).alias("words"))
         .filter(F.col("words") >= MIN_WORDS).drop("words"))
 
@@ -103,32 +122,212 @@ def cut(text: str, marks: set[int], min_words: int) -> list[tuple[int, int]]:
     return spans
 
 
+class _Hashes(dict):
+    """Lower-case word -> 64-bit hash; forgets all when it has grown large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
+HASHES = _Hashes()
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of all texts, number of words of each)."""
+    found = [WORD.findall(t) for t in texts]
+    n = np.array([len(f) for f in found], np.int64)
+    words = " ".join(w for f in found for w in f).lower().split(" ") if n.any() else []
+    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words)), n
+
+
+def _sliding(a: np.ndarray, width: int, least) -> np.ndarray:
+    """``least`` (or another of its kind) of every ``width`` neighbours."""
+    n = 1
+    while 2 * n <= width:
+        a, n = least(a[:-n], a[n:]), 2 * n
+    return least(a[:-(width - n)], a[width - n:]) if n < width else a
+
+
+def seeds(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hi, lo) of the seeds among the runs of GRAM words, where ``n``
+    holds the number of words of each text; places count through all texts."""
+    if len(h) < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams = []
+    for factor, own in zip(FACTORS, (h, (h ^ h >> np.uint64(31)) * np.uint64(FACTORS[1]))):
+        up = np.cumprod(np.full(len(h), factor, np.uint64))
+        down = np.cumprod(np.full(len(h), pow(factor, -1, 2**64), np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up)])
+        grams.append((sums[GRAM:] - sums[:-GRAM]) * down[:len(h) - GRAM + 1])
+    rank = (grams[0] ^ grams[0] >> np.uint64(29)) * np.uint64(FACTORS[1]) | np.uint64(1)
+    text = np.repeat(np.arange(len(n)), n)
+    # windows that reach into the next text choose nothing
+    least = np.where(text[:-(WINDOW - 1)] == text[WINDOW - 1:], _sliding(rank, REACH, np.minimum), np.uint64(0))
+    at = np.flatnonzero(rank == _sliding(np.pad(least, REACH - 1), REACH, np.maximum))
+    return at, grams[0][at], grams[1][at]
+
+
+def _seed_rows(batches):
+    for batch in batches:
+        for part in textstats.slices(batch, 1):
+            h, n = word_hashes(part.column(1).to_pylist())
+            at, hi, lo = seeds(h, n)
+            starts = np.cumsum(n) - n
+            text = np.searchsorted(starts + n, at, "right")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.column(c).to_numpy()[text]) for c in (0, 2)]
+                + [pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), pa.array((at - starts[text]).astype(np.int32))],
+                names=["id", "tid", "hi", "lo", "place"])
+
+
+def _runs(batches):
+    """Neighbouring seeds of a document that repeat neighbours of one place
+    -> (id, tid, a, z, fid, ftid, fa, fz): words a to z repeat words fa to fz."""
+    for b in batches:
+        rows = []
+        for i, t, found in zip(*(b.column(c).to_pylist() for c in range(3))):
+            run = None
+            for x in sorted(found, key=lambda x: x["place"]):
+                at, f = x["place"], x["first"]
+                if run and (f["id"], f["tid"], f["place"] - at) == (run[4], run[5], run[6] - run[2]) and at <= run[3] + 1:
+                    run[7] += at + GRAM - run[3]
+                    run[3] = at + GRAM
+                    continue
+                run = [i, t, at, at + GRAM, f["id"], f["tid"], f["place"], f["place"] + GRAM]
+                rows.append(run)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], pa.int64() if k in (0, 1, 4, 5) else pa.int32()) for k in range(8)],
+            names=["id", "tid", "a", "z", "fid", "ftid", "fa", "fz"])
+
+
+def _around(batches):
+    """The hashes of the REACH words before (nearest first) and after words a
+    to z of a document."""
+    for batch in batches:
+        for b in textstats.slices(batch, 1):
+            out = []
+            for i, text, t, places in zip(*(b.column(c).to_pylist() for c in range(4))):
+                h = word_hashes([text])[0].view(np.int64)
+                for x in places:
+                    a, z = x["a"], x["z"]
+                    out.append((i, t, a, z, h[max(0, a - REACH):a][::-1], h[z:z + REACH]))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)],
+                                             names=["id", "tid", "a", "z", "before", "after"])
+
+
+def _extended(batches):
+    """Runs with the words around both places -> (id, tid, a, z), extended."""
+    def same(x, y, most):
+        n = 0
+        while n < min(len(x), len(y), most) and x[n] == y[n]:
+            n += 1
+        return n
+
+    for b in batches:
+        c = {n: b.column(n).to_pylist() for n in b.schema.names}
+        starts, ends = [], []
+        for k in range(b.num_rows):
+            # a document's own earlier passage is not run into
+            inside = (c["id"][k], c["tid"][k]) == (c["fid"][k], c["ftid"][k])
+            most = max(0, c["a"][k] - c["fz"][k]) if inside else REACH
+            left = same(c["before"][k], c["fbefore"][k], most)
+            starts.append(c["a"][k] - left)
+            ends.append(c["z"][k] + same(c["after"][k], c["fafter"][k], most - left if inside else most))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("id"), b.column("tid"), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+            names=["id", "tid", "a", "z"])
+
+
+def repeated_passages(texts: DataFrame) -> DataFrame:
+    """(id, tid, runs): word ranges (a, z) that repeat an earlier place. Every
+    WINDOW words that an earlier document holds too meet one of them."""
+    texts = texts.filter("id IS NOT NULL AND text IS NOT NULL")
+    rows = written(texts.mapInArrow(_seed_rows, "id long, tid long, hi long, lo long, place int"), "seeds")
+    first = written(rows.groupBy("hi", "lo").agg(F.min(F.struct("id", "tid", "place")).alias("first"), F.count("*").alias("n"))
+                    .filter("n > 1").drop("n"), "repeated-seeds")
+    later = rows.join(first, ["hi", "lo"]).filter(
+        f"id > first.id OR id = first.id AND tid = first.tid AND place >= first.place + {GRAM}")
+    runs = written(later.groupBy("id", "tid").agg(F.collect_list(F.struct("place", "first")).alias("found")).mapInArrow(
+        _runs, "id long, tid long, a int, z int, fid long, ftid long, fa int, fz int"), "repeated-runs")
+    wanted = runs.select("id", "tid", "a", "z").union(runs.select("fid", "ftid", "fa", "fz")).distinct()
+    wanted = wanted.groupBy("id", "tid").agg(F.collect_list(F.struct("a", "z")).alias("places"))
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << BITS)) + 1  # buckets of 2**15 bits count from 1
+    maps = {r.part: r.bits for r in wanted.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("part")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect()}  # 4 KB each
+    shared = texts.sparkSession.sparkContext.broadcast(maps)
+
+    @F.pandas_udf("boolean")
+    def may_be_wanted(bits: pd.Series) -> pd.Series:
+        at = bits.to_numpy() - 1
+        out = np.zeros(len(at), bool)
+        for part, m in shared.value.items():
+            own = at >> 15 == part - 1
+            out[own] = np.unpackbits(np.frombuffer(m, np.uint8), bitorder="little")[at[own] & 2**15 - 1]
+        return pd.Series(out)
+
+    around = texts.filter(may_be_wanted(bit)).join(wanted, ["id", "tid"]).select("id", "text", "tid", "places").mapInArrow(
+        _around, "id long, tid long, a int, z int, before array<long>, after array<long>")
+    around = written(around.dropDuplicates(["id", "tid", "a", "z"]), "words-around")
+    there = around.toDF("fid", "ftid", "fa", "fz", "fbefore", "fafter")
+    both = runs.join(around, ["id", "tid", "a", "z"]).join(there, ["fid", "ftid", "fa", "fz"])
+    out = both.mapInArrow(_extended, "id long, tid long, a int, z int")
+    return out.groupBy("id", "tid").agg(F.collect_set(F.struct("a", "z")).alias("runs"))
+
+
+def spans_of(text: str, runs: list[dict], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``spans`` and the runs of words, with the sentence ends behind them, as
+    disjoint spans of the text."""
+    at = [m.span() for m in WORD.finditer(text)]
+    more = [(at[r["a"]][0], STOPS.match(text, at[r["z"] - 1][1]).end()) for r in runs]
+    out: list[tuple[int, int]] = []
+    for a, z in sorted([*spans, *more]):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(z, out[-1][1])
+        else:
+            out.append((a, z))
+    return out
+
+
 def _apply(text_at: int, min_words: int):
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for b in batches:
             texts, spans = [], []
-            for text, marks in zip(b.column(text_at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+            for text, marks, runs in zip(*(b.column(c).to_pylist() for c in (text_at, b.num_columns - 2, b.num_columns - 1))):
                 gone = cut(text, set(marks), min_words) if marks and text else []
+                if runs:
+                    gone = spans_of(text, runs, gone)
                 spans.append([{"start": s, "end": e} for s, e in gone])
                 if gone:
                     kept = [text[a:z] for a, z in zip([0] + [e for _, e in gone], [s for s, _ in gone] + [len(text)])]
                     text = "".join(kept)
                 texts.append(text)
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
+            cols = [b.column(i) for i in range(b.num_columns - 2)]
             cols[text_at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(spans, span)], names=[*b.schema.names[:-1], "removed"])
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(spans, span)], names=[*b.schema.names[:-2], "removed"])
     return run
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_words: int = MIN_WORDS) -> DataFrame:
+                    min_words: int = MIN_WORDS, passages: bool = False) -> DataFrame:
     """The input's columns, the text without its repeats, and ``removed``: the
-    spans (start, end) cut out, as offsets in the original text."""
-    marks = repeated_units(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
-    marks = marks.select(F.col("id").alias("__id"), F.col("marks").alias("__marks"))
-    joined = docs.join(marks, docs[id_col].cast("long") == marks["__id"], "left").drop("__id")
+    spans (start, end) cut out, as offsets in the original text. ``passages``
+    also cuts what repeats across unit ends; without it only units go."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tid"))
+    runs = F.lit(None).cast("array<struct<a:int,z:int>>").alias("runs")
+    marks = repeated_units(texts).select("id", "tid", "marks", runs)
+    if passages:
+        found = repeated_passages(texts).select("id", "tid", F.lit(None).cast("array<int>").alias("marks"), "runs")
+        marks = marks.union(found).groupBy("id", "tid").agg(
+            F.flatten(F.collect_list("marks")).alias("marks"), F.flatten(F.collect_list("runs")).alias("runs"))
+    marks = marks.toDF("__id", "__tid", "__marks", "__runs")
+    joined = docs.join(marks, (docs[id_col].cast("long") == marks["__id"]) & (F.xxhash64(docs[text_col]) == marks["__tid"]),
+                       "left").drop("__id", "__tid")
     schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(T.StructType([
         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
     return joined.mapInArrow(_apply(docs.columns.index(text_col), min_words), schema)

@@ -58,3 +58,60 @@ def test_units_and_spans_agree():
     text = "A b. c!? d\n\n..e f İ. g"
     spans = [m.span() for m in S.UNIT.finditer(text)]
     assert len(spans) == len(S.unit_texts(text))
+
+
+def plain(rng, n):
+    return " ".join(f"w{rng.randrange(10**5)}" for _ in range(n))
+
+
+def test_passages_without_sentence_ends_go_from_inside_sentences(frame):
+    rng = random.Random(4)
+    passages = [plain(rng, n) for n in (50, 51, 60, 90, 200, 700)]
+    rows = [(i, f"{plain(rng, 7)} {passages[i % 6]} {plain(rng, 70)}.\n{plain(rng, rng.randrange(9))}") for i in range(60)]
+    rows += [(60, f"{plain(rng, 8)} {passages[2].upper()}! {plain(rng, 3)}, {passages[3].replace(' ', ' - ', 9)}? ok")]
+    rows += [(61, f"{(own := plain(rng, 55))} {plain(rng, 30)} {own}"), (62, plain(rng, 500)), (63, None), (None, rows[0][1])]
+    got = {r.doc_id: r for r in S.substring_dedup(frame(rows).repartition(4), passages=True).collect()}
+    for i, text in rows[:60]:
+        want = text if i < 6 else text.replace(passages[i % 6], "")
+        assert got[i].text == want and len(got[i].removed) == (i >= 6)
+    assert len(S.WORD.findall(got[60].text)) == 12 and len(got[60].removed) == 2
+    assert len(S.WORD.findall(got[61].text)) == 85 and got[61].text.startswith(own)
+    assert [got[i].text for i in (62, 63, None)] == [dict(rows)[i] for i in (62, 63, None)]
+
+
+def test_no_50_words_of_an_earlier_document_stay(frame):
+    """Brute force over all windows, on passages that share parts and edges."""
+    rng = random.Random(6)
+    pool, rows = plain(rng, 900).split(), []
+    for i in range(60):
+        parts = []
+        for _ in range(4):
+            a = rng.randrange(800)
+            parts += [plain(rng, rng.randrange(1, 60)), " ".join(pool[a:a + rng.randrange(5, 130)]) + rng.choice([".", "", "\n"])]
+        rows.append((i, " ".join(parts)))
+    got = {r.doc_id: r for r in S.substring_dedup(frame(rows).repartition(3), passages=True).collect()}
+    seen, seen_short = set(), set()
+    for i, text in rows:
+        at = [m.span() for m in S.WORD.finditer(text)]
+        words = [text[a:z] for a, z in at]
+        gone = [any(r.start <= a < r.end for r in got[i].removed) for a, _ in at]
+        for k in range(len(words) - 49):
+            assert tuple(words[k:k + 50]) not in seen or any(gone[k:k + 50])
+        first = {tuple(words[k:k + 25]): k for k in reversed(range(len(words) - 24))}
+        for r in got[i].removed:  # what is cut stands earlier, 25 words at a time
+            cut = [k for k, (a, _) in enumerate(at) if r.start <= a < r.end]
+            assert len(cut) >= 25
+            covered = {j for k in range(cut[0], cut[-1] - 23) for j in range(k, k + 25)
+                       if tuple(words[k:k + 25]) in seen_short or first[tuple(words[k:k + 25])] <= k - 25}
+            assert set(cut) <= covered
+        seen |= {tuple(words[k:k + 50]) for k in range(len(words) - 49)}
+        seen_short |= {tuple(words[k:k + 25]) for k in range(len(words) - 24)}
+
+
+def test_rows_that_share_an_id_keep_their_own_places(frame):
+    rng = random.Random(7)
+    line, other = sentence(rng, 40), sentence(rng, 40)
+    rows = [(1, line), (2, f"{line}\nmine"), (2, f"{other}\n{sentence(rng, 30)}")]
+    for passages in (False, True):
+        got = sorted(r.text for r in S.substring_dedup(frame(rows), passages=passages).collect())
+        assert got == sorted([line, "\nmine", rows[2][1]])
