@@ -119,6 +119,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the eight leading components of all, whitened."""
+    from ledgerline.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), most=8)
+
+
 def _add_oracles() -> None:
     # per conversation the turns as given, marked as the template marks them
     ORACLE_SQL["op7_chat_format"] = r"""
