@@ -127,6 +127,15 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), most=8)
 
 
+@query
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    from ledgerline.llm.url_filter import judge, listed_domains
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, listed_domains(pages))
+
+
 def _add_oracles() -> None:
     # per conversation the turns as given, marked as the template marks them
     ORACLE_SQL["op7_chat_format"] = r"""
@@ -141,9 +150,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
     from ledgerline.llm.license_scan import op2_oracle
     from ledgerline.llm.quality_rules import op8_oracle
+    from ledgerline.llm.url_filter import op12_oracle
 
     ORACLE_SQL["op2_license_scan"] = op2_oracle()
     ORACLE_SQL["op8_quality_rules"] = op8_oracle()
+    ORACLE_SQL["op12_url_filter"] = op12_oracle()
 
 
 _add_oracles()
