@@ -136,6 +136,14 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, listed_domains(pages))
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and its text without their repeats."""
+    from ledgerline.llm import periodic_runs as P
+
+    return P.digests(P.periodic_runs(P.with_planted_tails(table(spark, sf_dir, "documents"))))
+
+
 def _add_oracles() -> None:
     # per conversation the turns as given, marked as the template marks them
     ORACLE_SQL["op7_chat_format"] = r"""
