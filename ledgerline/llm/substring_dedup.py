@@ -1,146 +1,108 @@
-"""Substring deduplication by hashing sentences and lines.
-
-A unit is a stretch of text between sentence ends (. ! ?) and line ends. Units
-are normalised (lower case, everything but letters, digits and _ read as one
-space) and hashed to 128 bits. Over the whole corpus, the earliest occurrence of
-a digest - least document id, then least place in that document - stays. Later
-occurrences are repeats, and a document loses those runs of neighbouring
-repeats that hold at least ``MIN_WORDS`` words together, so a passage goes
-wherever it stands in a line while a short phrase that recurs by chance does
-not. What is removed is reported by its offsets in the original text.
-
-With ``passages`` (op3 and the pipeline) a repeat need not keep to units. Every
-run of ``GRAM`` words is hashed to 128 bits and the least of each ``REACH``
-neighbours are seeds (winnowing), so that any ``WINDOW`` words that two places
-share hold a seed of both. Seeds with an earlier occurrence are joined to runs
-and extended word by word to both sides, against the words around the earliest
-occurrence; a run is cut besides the units. So no ``WINDOW`` words of an earlier
-document stay, whatever their sentence ends, and all that is cut for a seed are
-``GRAM`` or more words in the order in which they stand at an earlier place.
-
-Each task sends one row per unit and document; the least id per digest is
-aggregated before and after the shuffle, and the join that marks repeats is an
-ordinary equi-join with the digests that occur twice or more, whose hot ones
-adaptive execution splits. Only the marks of a document, never its text, are
-gathered by key; texts are read again for extension only if a bitmap of fixed
-size has their id. Building the result runs the jobs that find those digests.
+"""Substring deduplication by hashing lines and word stretches.
+
+Words are runs of letters and digits, in lower case; everything else is read as
+a gap. Two kinds of units are hashed to 128 bits, into one table of digests:
+
+* every line of ``LINE_WORDS`` words or more, whole;
+* inside and across lines, stretches of ``GRAM`` words. Of every ``REACH``
+  neighbouring stretches the one with the least hash is a unit, so that wherever
+  ``GRAM + REACH - 1`` words stand, the same stretches of them are chosen.
+
+Over the whole corpus the earliest occurrence of a digest - least document id,
+then least place in that document - stays. A repeated line goes. Repeated
+stretches go where they lie side by side (a gap of one word is closed) and cover
+``MIN_WORDS`` words together. So whatever its sentence or line ends, no run of
+``MIN_WORDS + 2 * (REACH - 1)`` words of an earlier document stays, and what does
+stay of a longer passage is at most ``REACH - 1`` words at either edge. What is
+removed is reported by its offsets in the original text. Left alone are repeated
+lines of fewer than ``LINE_WORDS`` words ("All rights reserved.") and shorter
+shared stretches inside lines.
+
+A document is read whole by one task, which finds repeats inside the document
+itself and sends each of its digests once. The least id per digest is aggregated
+before and after the shuffle, in two longs. A second pass sends only digests
+that a bitmap of the repeated ones may hold, and joins them with those; adaptive
+execution splits a hot digest, as both sides are dealt for the join. The places
+of a document that repeat, a set, meet its text in a last join, which takes only
+the documents that a bitmap of ids may hold; the others are finished where they
+are. Both bitmaps are sized by a count and at most ``MOST_BITS``; a full one
+lets more through and changes no result. Building the result runs these jobs.
 
 Defined results: null and empty texts have no units and stay as they are; rows
-with a null id stay as they are; rows that repeat an id are one document to
-each other, and neither is cut for the other's sake; within a document only a
-passage that does not overlap the earlier one repeats it; a text of which nothing
-but white space and punctuation is left keeps that rest; an empty table gives
-no rows. Columns of the input come back unchanged beside the new text; the
-result's own columns must not be among them. Texts are read whole.
+with a null id lose repeats within themselves only; rows that repeat an id are
+one document to each other, and neither is cut for the other's sake; within a
+document only a stretch that does not overlap the earlier one repeats it; a text
+of which nothing but white space and punctuation is left keeps that rest; an
+empty table gives no rows. Columns of the input come back unchanged beside the
+new text, whatever their names, but for one that is called like the column of
+removed spans: that one is replaced. Texts are read whole.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerline.llm import textstats
 from ledgerline.llm.common import written
 
+LINE_WORDS = 12
 MIN_WORDS = 25
-GRAM, REACH = 25, 26
+GRAM, REACH = 16, 9
 WINDOW = GRAM + REACH - 1
-BITS = 22
-ENDS = re.compile(r"[.!?\n]+")
-UNIT = re.compile(r"[^.!?\n]+[.!?]*")
-GAPS = re.compile(r"[\W_]+")
-WORD = re.compile(r"[^\W_]+")
+MOST_BITS = 1 << 27
+PIECE = 1 << 20
 STOPS = re.compile(r"[.!?]*")
-FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-
-
-def unit_texts(text: str) -> list[str]:
-    """The normalised units; an empty one where a unit has no word."""
-    return [GAPS.sub(" ", u).strip() for u in ENDS.split(text.lower()) if u]
-
-
-def _unit_rows(batches):
-    for batch in batches:
-        for part in textstats.slices(batch, 1):
-            ids, tids, his, los, marks = [], [], [], [], []
-            for i, text, t in zip(*(part.column(c).to_pylist() for c in range(3))):
-                seen = set()
-                for at, unit in enumerate(unit_texts(text)):
-                    if unit:
-                        d = xxhash.xxh3_128_intdigest(unit)
-                        first = d not in seen
-                        seen.add(d)
-                        ids.append(i), tids.append(t), his.append(d >> 64), los.append(d & (2**64 - 1))
-                        # place, words and whether it is the document's first of its kind
-                        marks.append(at << 32 | min(unit.count(" ") + 1, 2**30) << 1 | first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(tids, pa.int64()), pa.array(np.array(his, np.uint64).view(np.int64)),
-                 pa.array(np.array(los, np.uint64).view(np.int64)), pa.array(marks, pa.int64())],
-                names=["id", "tid", "hi", "lo", "mark"])
-
-
-def repeated_units(texts: DataFrame) -> DataFrame:
-    """(id, tid, marks): the places of the units of a document that repeat an
-    earlier one, for documents with MIN_WORDS words in such units. ``texts`` has
-    id, text and tid, a hash of the text: rows may share an id."""
-    units = texts.filter("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        _unit_rows, "id long, tid long, hi long, lo long, mark long")
-    # written, so that the join deals both of its sides itself: only then can
-    # adaptive execution split the tasks of a hot digest
-    first = written(units.groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-                    .filter("n > 1"), "repeated-digests")
-    words = F.shiftright("mark", 1).bitwiseAND(F.lit(2**30 - 1).cast("long"))
-    later = units.join(first.drop("n"), ["hi", "lo"]).filter("NOT (id = first_id AND mark % 2 = 1)")
-    return (later.groupBy("id", "tid").agg(
-        F.collect_set(F.shiftright("mark", 32).cast("int")).alias("marks"), F.sum(words).alias("words"))
-        .filter(F.col("words") >= MIN_WORDS).drop("words"))
-
-
-def cut(text: str, marks: set[int], min_words: int) -> list[tuple[int, int]]:
-    """Spans (start, end) of the runs of marked units that are long enough.
-
-    Units without a word neither mark nor break a run.
-    """
-    spans, run, words = [], [], 0
-    for at, (m, unit) in enumerate(zip(UNIT.finditer(text), unit_texts(text))):
-        if not unit:
-            continue
-        if at in marks:
-            run.append(m.span())
-            words += unit.count(" ") + 1
-            continue
-        if words >= min_words:
-            spans.append((run[0][0], run[-1][1]))
-        run, words = [], 0
-    if words >= min_words:
-        spans.append((run[0][0], run[-1][1]))
-    return spans
-
+GAP = re.compile(r"[\W_]")
+BASES = tuple(np.uint64(b) for b in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F))
+
+
+@lru_cache(maxsize=None)
+def word_characters() -> np.ndarray:
+    """Code point -> its lower-case form, 0 for what is no letter or digit."""
+    out = np.zeros(sys.maxunicode + 1, np.uint32)
+    for i in range(sys.maxunicode + 1):
+        c = chr(i)
+        if c.isalnum():
+            low = c.lower()
+            out[i] = ord(low) if len(low) == 1 else i
+    return out
 
-class _Hashes(dict):
-    """Lower-case word -> 64-bit hash; forgets all when it has grown large."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(n, b, np.uint64)) for b in (int(base), pow(int(base), -1, 2**64)))
 
 
-HASHES = _Hashes()
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(32)) * BASES[1]
+    return h ^ h >> np.uint64(29)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the words of all texts, number of words of each)."""
-    found = [WORD.findall(t) for t in texts]
-    n = np.array([len(f) for f in found], np.int64)
-    words = " ".join(w for f in found for w in f).lower().split(" ") if n.any() else []
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words)), n
+def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words, piece by piece of a long text."""
+    found, lo = [], 0
+    while lo < len(text):
+        hi = lo + PIECE
+        if hi < len(text):
+            gap = GAP.search(text, hi)
+            hi = gap.start() if gap else len(text)
+        low = word_characters()[textstats.code_points(text[lo:hi])]
+        edge = np.diff(np.concatenate([[0], (low > 0).astype(np.int8), [0]]))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        up, down = _powers(BASES[0], len(low))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low * up)])
+        found.append((starts + lo, ends + lo, _mixed((sums[ends] - sums[starts]) * down[starts])))
+        lo = hi
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _sliding(a: np.ndarray, width: int, least) -> np.ndarray:
@@ -151,140 +113,141 @@ def _sliding(a: np.ndarray, width: int, least) -> np.ndarray:
     return least(a[:-(width - n)], a[width - n:]) if n < width else a
 
 
-def seeds(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hi, lo) of the seeds among the runs of GRAM words, where ``n``
-    holds the number of words of each text; places count through all texts."""
-    if len(h) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    grams = []
-    for factor, own in zip(FACTORS, (h, (h ^ h >> np.uint64(31)) * np.uint64(FACTORS[1]))):
-        up = np.cumprod(np.full(len(h), factor, np.uint64))
-        down = np.cumprod(np.full(len(h), pow(factor, -1, 2**64), np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up)])
-        grams.append((sums[GRAM:] - sums[:-GRAM]) * down[:len(h) - GRAM + 1])
-    rank = (grams[0] ^ grams[0] >> np.uint64(29)) * np.uint64(FACTORS[1]) | np.uint64(1)
-    text = np.repeat(np.arange(len(n)), n)
-    # windows that reach into the next text choose nothing
-    least = np.where(text[:-(WINDOW - 1)] == text[WINDOW - 1:], _sliding(rank, REACH, np.minimum), np.uint64(0))
-    at = np.flatnonzero(rank == _sliding(np.pad(least, REACH - 1), REACH, np.maximum))
-    return at, grams[0][at], grams[1][at]
-
-
-def _seed_rows(batches):
-    for batch in batches:
-        for part in textstats.slices(batch, 1):
-            h, n = word_hashes(part.column(1).to_pylist())
-            at, hi, lo = seeds(h, n)
-            starts = np.cumsum(n) - n
-            text = np.searchsorted(starts + n, at, "right")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.column(c).to_numpy()[text]) for c in (0, 2)]
-                + [pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), pa.array((at - starts[text]).astype(np.int32))],
-                names=["id", "tid", "hi", "lo", "place"])
-
-
-def _runs(batches):
-    """Neighbouring seeds of a document that repeat neighbours of one place
-    -> (id, tid, a, z, fid, ftid, fa, fz): words a to z repeat words fa to fz."""
-    for b in batches:
-        rows = []
-        for i, t, found in zip(*(b.column(c).to_pylist() for c in range(3))):
-            run = None
-            for x in sorted(found, key=lambda x: x["place"]):
-                at, f = x["place"], x["first"]
-                if run and (f["id"], f["tid"], f["place"] - at) == (run[4], run[5], run[6] - run[2]) and at <= run[3] + 1:
-                    run[7] += at + GRAM - run[3]
-                    run[3] = at + GRAM
-                    continue
-                run = [i, t, at, at + GRAM, f["id"], f["tid"], f["place"], f["place"] + GRAM]
-                rows.append(run)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], pa.int64() if k in (0, 1, 4, 5) else pa.int32()) for k in range(8)],
-            names=["id", "tid", "a", "z", "fid", "ftid", "fa", "fz"])
-
-
-def _around(batches):
-    """The hashes of the REACH words before (nearest first) and after words a
-    to z of a document."""
-    for batch in batches:
-        for b in textstats.slices(batch, 1):
-            out = []
-            for i, text, t, places in zip(*(b.column(c).to_pylist() for c in range(4))):
-                h = word_hashes([text])[0].view(np.int64)
-                for x in places:
-                    a, z = x["a"], x["z"]
-                    out.append((i, t, a, z, h[max(0, a - REACH):a][::-1], h[z:z + REACH]))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)],
-                                             names=["id", "tid", "a", "z", "before", "after"])
-
-
-def _extended(batches):
-    """Runs with the words around both places -> (id, tid, a, z), extended."""
-    def same(x, y, most):
-        n = 0
-        while n < min(len(x), len(y), most) and x[n] == y[n]:
-            n += 1
-        return n
-
-    for b in batches:
-        c = {n: b.column(n).to_pylist() for n in b.schema.names}
-        starts, ends = [], []
-        for k in range(b.num_rows):
-            # a document's own earlier passage is not run into
-            inside = (c["id"][k], c["tid"][k]) == (c["fid"][k], c["ftid"][k])
-            most = max(0, c["a"][k] - c["fz"][k]) if inside else REACH
-            left = same(c["before"][k], c["fbefore"][k], most)
-            starts.append(c["a"][k] - left)
-            ends.append(c["z"][k] + same(c["after"][k], c["fafter"][k], most - left if inside else most))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("id"), b.column("tid"), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
-            names=["id", "tid", "a", "z"])
-
-
-def repeated_passages(texts: DataFrame) -> DataFrame:
-    """(id, tid, runs): word ranges (a, z) that repeat an earlier place. Every
-    WINDOW words that an earlier document holds too meet one of them."""
-    texts = texts.filter("id IS NOT NULL AND text IS NOT NULL")
-    rows = written(texts.mapInArrow(_seed_rows, "id long, tid long, hi long, lo long, place int"), "seeds")
-    first = written(rows.groupBy("hi", "lo").agg(F.min(F.struct("id", "tid", "place")).alias("first"), F.count("*").alias("n"))
-                    .filter("n > 1").drop("n"), "repeated-seeds")
-    later = rows.join(first, ["hi", "lo"]).filter(
-        f"id > first.id OR id = first.id AND tid = first.tid AND place >= first.place + {GRAM}")
-    runs = written(later.groupBy("id", "tid").agg(F.collect_list(F.struct("place", "first")).alias("found")).mapInArrow(
-        _runs, "id long, tid long, a int, z int, fid long, ftid long, fa int, fz int"), "repeated-runs")
-    wanted = runs.select("id", "tid", "a", "z").union(runs.select("fid", "ftid", "fa", "fz")).distinct()
-    wanted = wanted.groupBy("id", "tid").agg(F.collect_list(F.struct("a", "z")).alias("places"))
-    bit = F.pmod(F.xxhash64("id"), F.lit(1 << BITS)) + 1  # buckets of 2**15 bits count from 1
-    maps = {r.part: r.bits for r in wanted.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("part")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect()}  # 4 KB each
-    shared = texts.sparkSession.sparkContext.broadcast(maps)
+class Units:
+    """The units of several texts: text, place (first word), words, hi, lo.
+    Stretches of GRAM words come first, then lines, each kind by place."""
+
+    def __init__(self, texts: list[str], stretches: bool):
+        joined = "\n".join(texts)
+        self.begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        self.starts, self.ends, h = words(joined)
+        self.first_word = np.searchsorted(self.starts, self.begin)
+        text = np.repeat(np.arange(len(texts)), np.diff(self.first_word))
+        # lines, by the words between line ends
+        newline = np.flatnonzero(textstats.code_points(joined) == 10) if joined else np.zeros(0, np.int64)
+        self.newline = np.append(newline, len(joined))
+        line = np.concatenate([[0], np.searchsorted(self.starts, self.newline)])
+        long = np.flatnonzero(np.diff(line) >= LINE_WORDS)
+        sums, down = [], []
+        for base, own in ((BASES[1], h), (BASES[2], _mixed(h))):
+            up, inverse = _powers(base, len(h))
+            sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up)]))
+            down.append(inverse)
+        kinds = [(line[long], line[long + 1] - line[long])]
+        if stretches and len(h) >= WINDOW:
+            gram = (sums[0][GRAM:] - sums[0][:-GRAM]) * down[0][:len(h) - GRAM + 1]
+            rank = _mixed(gram) | np.uint64(1)
+            # windows that reach into the next text choose nothing
+            least = np.where(text[:-(WINDOW - 1)] == text[WINDOW - 1:], _sliding(rank, REACH, np.minimum), np.uint64(0))
+            at = np.flatnonzero(rank == _sliding(np.pad(least, REACH - 1), REACH, np.maximum))
+            kinds.insert(0, (at, np.full(len(at), GRAM)))
+        self.n_stretches = len(kinds[0][0]) if len(kinds) > 1 else 0
+        self.place, self.words = (np.concatenate(x) for x in zip(*kinds))
+        size = self.words.astype(np.uint64) * np.uint64(2) + (np.arange(len(self.words)) < self.n_stretches)
+        self.text = text[self.place] if len(self.place) else np.zeros(0, np.int64)
+        self.hi, self.lo = (_mixed((s[self.place + self.words] - s[self.place]) * d[self.place] ^ _mixed(size)) if len(self.place)
+                            else np.zeros(0, np.uint64) for s, d in zip(sums, down))
+
+    def repeats(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first, again) of each unit: whether it is the first of its digest in
+        its text; whether it repeats the first without overlapping it."""
+        key = self.hi ^ _mixed(self.text.astype(np.uint64))
+        order = np.argsort(key, kind="stable")
+        same = (key[order][1:] == key[order][:-1]) & (self.lo[order][1:] == self.lo[order][:-1])
+        new = np.append(True, ~same)[:len(order)]
+        head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0)) if len(order) else order
+        first, again = np.zeros((2, len(order)), bool)
+        first[order] = new
+        again[order] = ~new & (self.place[order] >= self.place[order[head]] + self.words[order])
+        return first, again
+
+    def local_place(self, which: np.ndarray) -> np.ndarray:
+        """Place in the text, doubled, and odd for a line."""
+        return (self.place[which] - self.first_word[self.text[which]]) * 2 + (which >= self.n_stretches)
+
+
+def _texts(batch: pa.RecordBatch, at: int):
+    for part in textstats.slices(batch, at, PIECE):
+        yield part, textstats.filled(part.column(at)).to_pylist()
+
+
+def _digest_rows(stretches: bool):
+    """(hi, lo, id): every digest of a document once."""
+    def run(batches):
+        for batch in batches:
+            for part, texts in _texts(batch, 1):
+                u = Units(texts, stretches)
+                first = u.repeats()[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u.hi[first].view(np.int64)), pa.array(u.lo[first].view(np.int64)),
+                     part.column(0).take(pa.array(u.text[first]))], names=["hi", "lo", "id"])
+    return run
 
-    @F.pandas_udf("boolean")
-    def may_be_wanted(bits: pd.Series) -> pd.Series:
-        at = bits.to_numpy() - 1
-        out = np.zeros(len(at), bool)
-        for part, m in shared.value.items():
-            own = at >> 15 == part - 1
-            out[own] = np.unpackbits(np.frombuffer(m, np.uint8), bitorder="little")[at[own] & 2**15 - 1]
-        return pd.Series(out)
-
-    around = texts.filter(may_be_wanted(bit)).join(wanted, ["id", "tid"]).select("id", "text", "tid", "places").mapInArrow(
-        _around, "id long, tid long, a int, z int, before array<long>, after array<long>")
-    around = written(around.dropDuplicates(["id", "tid", "a", "z"]), "words-around")
-    there = around.toDF("fid", "ftid", "fa", "fz", "fbefore", "fafter")
-    both = runs.join(around, ["id", "tid", "a", "z"]).join(there, ["fid", "ftid", "fa", "fz"])
-    out = both.mapInArrow(_extended, "id long, tid long, a int, z int")
-    return out.groupBy("id", "tid").agg(F.collect_set(F.struct("a", "z")).alias("runs"))
-
-
-def spans_of(text: str, runs: list[dict], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """``spans`` and the runs of words, with the sentence ends behind them, as
-    disjoint spans of the text."""
-    at = [m.span() for m in WORD.finditer(text)]
-    more = [(at[r["a"]][0], STOPS.match(text, at[r["z"] - 1][1]).end()) for r in runs]
+
+def _wanted_rows(stretches: bool, shared):
+    """(hi, lo, id, tid, place) of the digests that the bitmap may hold; those
+    that repeat inside their document need no other one."""
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            for part, texts in _texts(batch, 1):
+                u = Units(texts, stretches)
+                which = np.flatnonzero(~u.repeats()[1] & _holds(bits, u.hi.view(np.int64)))
+                text = pa.array(u.text[which])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u.hi[which].view(np.int64)), pa.array(u.lo[which].view(np.int64)), part.column(0).take(text),
+                     part.column(2).take(text), pa.array(u.local_place(which))], names=["hi", "lo", "id", "tid", "place"])
+    return run
+
+
+def _holds(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & (len(bits) * 8 - 1)
+    return bits[at >> 3] >> (at & 7) & 1 > 0
+
+
+def bitmap(keys: DataFrame, column: str, n: int) -> np.ndarray:
+    """The bits of the low ends of ``n`` keys, eight or more for each key up to
+    MOST_BITS, brought to the driver in maps of 4 KB."""
+    size = min(MOST_BITS, max(1 << 15, 1 << (8 * n).bit_length()))
+    bit = (F.col(column).bitwiseAND(F.lit(size - 1)) + 1).alias("bit")  # buckets of 2**15 bits count from 1
+    out = np.zeros(size // 8, np.uint8)
+    maps = keys.select(bit).groupBy(F.expr("bitmap_bucket_number(bit)").alias("part")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))
+    for r in maps.toLocalIterator():
+        out[(r.part - 1) << 12:r.part << 12] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def repeated_places(texts: DataFrame, stretches: bool) -> DataFrame:
+    """(id, tid, places): the units of a document that an earlier one holds, as
+    ``Units.local_place`` gives them. ``texts`` has id, text and tid, a hash of
+    the text: rows may share an id."""
+    texts = texts.filter("id IS NOT NULL AND text IS NOT NULL")
+    digests = texts.mapInArrow(_digest_rows(stretches), "hi long, lo long, id long")
+    # written, so that the join deals both of its sides itself: only then can
+    # adaptive execution split the tasks of a hot digest
+    first = written(digests.groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+                    .filter("first_id < last_id").drop("last_id"), "repeated-digests")
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap(first, "hi", first.count()))
+    wanted = texts.mapInArrow(_wanted_rows(stretches, shared), "hi long, lo long, id long, tid long, place long")
+    later = wanted.join(first, ["hi", "lo"]).filter("id > first_id")
+    return written(later.groupBy("id", "tid").agg(F.collect_set("place").alias("places")), "repeated-places")
+
+
+def _spans(u: Units, t: int, text: str, gone: np.ndarray, lines: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint spans of a text. ``gone`` marks the words that go, by the word's
+    place in the text; ``lines`` holds the first words of lines that go whole."""
+    lo = u.first_word[t]
+    starts, ends = u.starts[lo:u.first_word[t + 1]] - u.begin[t], u.ends[lo:u.first_word[t + 1]] - u.begin[t]
+    edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+    spans = [(int(starts[a]), STOPS.match(text, int(ends[z - 1])).end())
+             for a, z in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    for w in lines:
+        k = np.searchsorted(u.newline, u.starts[lo + w])
+        begin = max(0, int(u.newline[k - 1] + 1 - u.begin[t])) if k else 0
+        spans.append((begin, min(len(text), int(u.newline[k] + 1 - u.begin[t]))))
     out: list[tuple[int, int]] = []
-    for a, z in sorted([*spans, *more]):
+    for a, z in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1] = out[-1][0], max(z, out[-1][1])
         else:
@@ -292,42 +255,75 @@ def spans_of(text: str, runs: list[dict], spans: list[tuple[int, int]]) -> list[
     return out
 
 
-def _apply(text_at: int, min_words: int):
+def _cut_texts(texts: list[str], marks: list, stretches: bool, min_words: int):
+    """(texts without their repeats, spans of each)."""
+    u = Units(texts, stretches)
+    own = np.flatnonzero(u.repeats()[1])
+    local, of = u.local_place(own), u.text[own]
+    bounds = np.searchsorted(of[np.argsort(of, kind="stable")], np.arange(len(texts) + 1))
+    local = local[np.argsort(of, kind="stable")]
+    out, spans = [], []
+    for t, text in enumerate(texts):
+        given = marks[t]
+        places = local[bounds[t]:bounds[t + 1]]
+        if given is not None and len(given):
+            places = np.concatenate([places, np.asarray(given, np.int64)])
+        if not len(places):
+            out.append(text), spans.append([])
+            continue
+        n = int(u.first_word[t + 1] - u.first_word[t])
+        line, stretch = places[places & 1 == 1] >> 1, places[places & 1 == 0] >> 1
+        cover = np.zeros(n + 1, np.int64)
+        np.add.at(cover, stretch, 1)
+        np.add.at(cover, stretch + GRAM, -1)
+        gone = np.cumsum(cover[:-1]) > 0
+        gone[1:-1] |= gone[:-2] & gone[2:]
+        edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+        for a, z in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+            if z - a < min_words:
+                gone[a:z] = False
+        cuts = _spans(u, t, text, gone, line)
+        spans.append([{"start": a, "end": z} for a, z in cuts])
+        out.append("".join(text[a:z] for a, z in zip([0] + [z for _, z in cuts], [a for a, _ in cuts] + [len(text)])))
+    return out, spans
+
+
+def _apply(text_at: int, stretches: bool, min_words: int):
+    """Rows with a last column of places -> the same with cut texts and spans."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
-        for b in batches:
-            texts, spans = [], []
-            for text, marks, runs in zip(*(b.column(c).to_pylist() for c in (text_at, b.num_columns - 2, b.num_columns - 1))):
-                gone = cut(text, set(marks), min_words) if marks and text else []
-                if runs:
-                    gone = spans_of(text, runs, gone)
-                spans.append([{"start": s, "end": e} for s, e in gone])
-                if gone:
-                    kept = [text[a:z] for a, z in zip([0] + [e for _, e in gone], [s for s, _ in gone] + [len(text)])]
-                    text = "".join(kept)
-                texts.append(text)
-            cols = [b.column(i) for i in range(b.num_columns - 2)]
-            cols[text_at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(spans, span)], names=[*b.schema.names[:-2], "removed"])
+        for batch in batches:
+            for b, texts in _texts(batch, text_at):
+                new, spans = _cut_texts(texts, [x.values if x.is_valid else None for x in b.column(b.num_columns - 1)], stretches, min_words)
+                cols = [b.column(i) for i in range(b.num_columns - 1)]
+                cols[text_at] = pc.if_else(pc.is_valid(cols[text_at]), pa.array(new, pa.string()), pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays(cols + [pa.array(spans, span)], names=[*b.schema.names[:-1], "removed"])
     return run
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_words: int = MIN_WORDS, passages: bool = False) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                    passages: bool = False, removed_col: str = "removed") -> DataFrame:
     """The input's columns, the text without its repeats, and ``removed``: the
     spans (start, end) cut out, as offsets in the original text. ``passages``
-    also cuts what repeats across unit ends; without it only units go."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tid"))
-    runs = F.lit(None).cast("array<struct<a:int,z:int>>").alias("runs")
-    marks = repeated_units(texts).select("id", "tid", "marks", runs)
-    if passages:
-        found = repeated_passages(texts).select("id", "tid", F.lit(None).cast("array<int>").alias("marks"), "runs")
-        marks = marks.union(found).groupBy("id", "tid").agg(
-            F.flatten(F.collect_list("marks")).alias("marks"), F.flatten(F.collect_list("runs")).alias("runs"))
-    marks = marks.toDF("__id", "__tid", "__marks", "__runs")
-    joined = docs.join(marks, (docs[id_col].cast("long") == marks["__id"]) & (F.xxhash64(docs[text_col]) == marks["__tid"]),
-                       "left").drop("__id", "__tid")
-    schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(T.StructType([
+    also cuts what repeats inside and across lines; without it only lines go."""
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() != removed_col.lower()])
+    at = {c: i for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*[f"c{i}" for i in range(len(at))])  # no name of the input can clash
+    text = F.col(f"c{at[text_col]}")
+    rows = rows.withColumn("id", F.col(f"c{at[id_col]}").cast("long")).withColumn("tid", F.xxhash64(text))
+    places = repeated_places(rows.select("id", text.alias("text"), "tid"), passages)
+    bits = bitmap(places.select(F.xxhash64("id").alias("key")), "key", places.count())
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def may_repeat(key: pd.Series) -> pd.Series:
+        return pd.Series(_holds(shared.value, key.to_numpy()))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(removed_col, T.ArrayType(T.StructType([
         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
-    return joined.mapInArrow(_apply(docs.columns.index(text_col), min_words), schema)
+    rows = rows.withColumn("maybe", may_repeat(F.xxhash64("id")))
+    joined = rows.filter("maybe").join(places, ["id", "tid"], "left").drop("id", "tid", "maybe")
+    rest = rows.filter("NOT maybe").withColumn("places", F.lit(None).cast("array<long>")).drop("id", "tid", "maybe")
+    cut = _apply(at[text_col], passages, min_words)
+    return joined.mapInArrow(cut, schema).union(rest.mapInArrow(cut, schema))

@@ -12,10 +12,10 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def slices(batch: pa.RecordBatch, text_at: int):
-    """Row slices of a batch with about 4 MB of text each (a longer text alone)."""
+def slices(batch: pa.RecordBatch, text_at: int, most: int = SLICE_BYTES):
+    """Row slices of a batch with about ``most`` bytes of text each (a longer text alone)."""
     size = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // SLICE_BYTES)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // most)) + 1
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         if hi > lo:
             yield batch.slice(lo, hi - lo)

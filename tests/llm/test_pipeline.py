@@ -49,16 +49,13 @@ def test_one_of_each_group_stays(stages):
 
 
 def test_repeats_are_cut_as_brute_force_cuts_them(stages):
+    from test_substring_dedup import both, stays
+
     given, got = stages["substring dedup"]
-    first, want = {}, {}
-    for r in sorted(given.collect(), key=lambda r: r.doc_id):
-        marks = {k for k, u in enumerate(S.unit_texts(r.text)) if u and first.setdefault(u, (r.doc_id, k)) != (r.doc_id, k)}
-        text = r.text
-        for a, b in reversed(S.cut(r.text, marks, S.MIN_WORDS)):
-            text = text[:a] + text[b:]
-        if text == r.text or any(c.isalnum() for c in text):
-            want[r.doc_id] = text
-    assert {i: r.text for i, r in rows(got).items()} == want
+    texts, spans = both(S.substring_dedup(given, passages=True))
+    stays(texts, [(r.doc_id, r.text, spans[r.doc_id]) for r in given.orderBy("doc_id").collect()])
+    want = {i: t for i, t in texts.items() if not spans[i] or any(c.isalnum() for c in t)}
+    assert {i: r.text for i, r in rows(got).items()} == want and any(spans.values())
     assert all(r.n_chars == len(r.text) for r in got.collect())
 
 
