@@ -37,10 +37,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one holds; ``n_chars``
     follows the text. A document of which no word is left goes."""
-    cut = substring_dedup.substring_dedup(docs, passages=True)
-    emptied = (F.size("removed") > 0) & ~F.col("text").rlike(r"[\p{L}\p{N}]")
+    spans = "removed"
+    while spans in map(str.lower, docs.columns):
+        spans += "_"
+    cut = substring_dedup.substring_dedup(docs, passages=True, removed_col=spans)
+    emptied = (F.size(spans) > 0) & ~F.col("text").rlike(r"[\p{L}\p{N}]")
     return cut.filter(~emptied).withColumn(
-        "n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
+        "n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
             docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
