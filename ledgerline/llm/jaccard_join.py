@@ -19,10 +19,10 @@
 threshold reaches the target within the number of hashes allowed.
 
 Defined results: null and empty texts have no shingles, link to nothing and are
-classes of their own; documents are told apart by id, so repeated rows of one
-id count as copies of each other; rows with a null id get a null class; an
-empty table gives no rows. Texts are read whole. Only the named columns are
-read, so extra ones cannot clash.
+classes of their own; every distinct shingle set is a node of its own, so rows
+that share an id but not a set are judged apart and repeated rows are copies of
+each other; rows with a null id get a null class; an empty table gives no rows.
+Texts are read whole. Only the named columns are read, so extra ones cannot clash.
 """
 
 from __future__ import annotations
@@ -106,10 +106,10 @@ def _features(bands: int, rows: int, n: int):
                 sets = shingle_sets(textstats.filled(part.column(1)), n)
                 both = [_digests(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([d[0] for d in both], pa.int64()), pa.array([d[1] for d in both], pa.int64()),
-                     pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(2), pa.array([d[0] for d in both], pa.int64()),
+                     pa.array([d[1] for d in both], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([r.tobytes() for r in signatures(sets, bands, rows)], pa.binary())],
-                    names=["doc_id", "hi", "lo", "size", "bands"])
+                    names=["doc_id", "tid", "hi", "lo", "size", "bands"])
     return run
 
 
@@ -133,7 +133,7 @@ def _band_rows(bands: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(b.column(0).to_numpy(), bands)),
                  pa.array(np.tile(np.arange(bands, dtype=np.int32), b.num_rows)), pa.array(got)],
-                names=["rep", "band", "h"])
+                names=["node", "band", "h"])
     return run
 
 
@@ -167,7 +167,7 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
 
 def _verify(threshold: float):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rep", "hi", "lo"], ignore_index=True)
+        pdf = pdf.sort_values("node", ignore_index=True)
         bands = np.frombuffer(b"".join(pdf["bands"]), np.int64).reshape(len(pdf), -1)
         same = np.zeros((len(pdf), len(pdf)), bool)
         for k in range(bands.shape[1]):
@@ -178,7 +178,7 @@ def _verify(threshold: float):
         left, right = np.nonzero(np.triu(same, 1))
         used = np.unique(np.concatenate([left, right]))
         if not len(used):
-            return pd.DataFrame({"rep": [], "root": [], "links": []})
+            return pd.DataFrame({"node": [], "root": [], "links": []})
         back = np.zeros(len(pdf), np.int64)
         back[used] = np.arange(len(used))
         left, right = back[left], back[right]
@@ -187,45 +187,43 @@ def _verify(threshold: float):
         inter = _intersections(sets, left, right)
         linked = inter >= threshold * (size[left] + size[right] - inter) - 1e-9
         left, right = left[linked], right[linked]
-        rep, copies = pdf["rep"].to_numpy()[used], pdf["copies"].to_numpy()[used]
+        node, copies = pdf["node"].to_numpy()[used], pdf["copies"].to_numpy()[used]
         links = np.bincount(left, copies[right], len(used)) + np.bincount(right, copies[left], len(used))
-        root = rep.copy()
-        while True:  # least representative of what hangs together here
+        root = node.copy()
+        while True:  # least node of what hangs together here
             old = root.copy()
             np.minimum.at(root, left, old[right])
             np.minimum.at(root, right, old[left])
             if (root == old).all():
                 break
         hit = links > 0
-        return pd.DataFrame({"rep": rep[hit], "root": root[hit], "links": links[hit].astype(np.int64)})
+        return pd.DataFrame({"node": node[hit], "root": root[hit], "links": links[hit].astype(np.int64)})
     return run
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
-                    threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id (least id of the class), n_copies (documents with the
-    same shingle set, itself included) and n_links (other documents whose
-    similarity reaches the threshold, copies included). Jobs run while the
-    result is built; what they need later is written to the shared folder."""
+def _classed(docs: DataFrame, id_col: str, text_col: str, ngram: int, threshold: float, recall: float) -> DataFrame:
+    """(doc_id, tid, class_id, class_node, n_copies, n_links) of every row, where
+    tid is a hash of the text and class_node the class's own number, null for
+    rows that are in none."""
     bands, rows = choose_bands(threshold, recall, MAX_HASHES)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tid"))
     features = written(texts.mapInArrow(
-        _features(bands, rows, ngram), "doc_id long, hi long, lo long, size long, bands binary"), "shingle-features")
+        _features(bands, rows, ngram), "doc_id long, tid long, hi long, lo long, size long, bands binary"), "shingle-features")
+    # every set's number is drawn once, as the table is written
     classes = written(
         features.filter("size > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("size").alias("size"),
-             F.first("bands").alias("bands")), "shingle-classes")
-
-    # buckets with two different texts or more, and the least text of each
-    members = classes.select("rep", "bands").mapInArrow(_band_rows(bands), "rep long, band int, h long")
-    leaders = members.groupBy("band", "h").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    starred = written(members.join(leaders.drop("n"), ["band", "h"]).select("rep", "band", "h", "leader"), "buckets")
-    groups = connected_components(starred, "rep", "leader")
-    # classes that share a representative's id would be alone in the bucket graph
-    nodes = starred.select("rep").distinct().join(
-        groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("component"))
-    candidates = checkpointed(classes.join(nodes, "rep").select("rep", "hi", "lo", "copies", "size", "bands", "component"))
+             F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
+
+    # buckets with two different texts or more, and the least text of each;
+    # written, so that the join deals both of its sides and can split a hot bucket
+    members = classes.select("node", "bands").mapInArrow(_band_rows(bands), "node long, band int, h long")
+    leaders = written(members.groupBy("band", "h").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
+                      .filter("n > 1").drop("n"), "bucket-leaders")
+    starred = written(members.join(leaders, ["band", "h"]).select("node", "band", "h", "leader"), "buckets")
+    groups = connected_components(starred, "node", "leader")
+    candidates = checkpointed(classes.join(groups, "node").select("node", "rep", "hi", "lo", "copies", "size", "bands", "component"))
 
     # blocks: large groups get some of their own, the small ones share the rest
     sizes = candidates.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("w")).select(
@@ -240,40 +238,61 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .withColumn("block", block).drop("component", "size"))
     # pairs of blocks that some bucket has members in; a shared block meets itself
     own = dealt.select(F.col("block").alias("a"), F.col("block").alias("b")).distinct()
-    spread = (starred.select("rep", "band", "h").join(dealt.filter("parts > 1").select("rep", "block"), "rep")
+    spread = (starred.select("node", "band", "h").join(dealt.filter("parts > 1").select("node", "block"), "node")
               .select("band", "h", "block").distinct())
     across = (spread.alias("x").join(spread.alias("y"), ["band", "h"]).filter("x.block < y.block")
               .select(F.col("x.block").alias("a"), F.col("y.block").alias("b")).distinct())
     meets = checkpointed(own.unionByName(across))
 
-    sets = texts.join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+    sets = texts.select("doc_id", "text").join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
         _sets(ngram), "rep long, hi long, lo long, shingles binary").dropDuplicates(["rep", "hi", "lo"])
     loaded = dealt.join(sets, ["rep", "hi", "lo"])
     ends = meets.select("a", "b", F.col("a").alias("block")).unionByName(
         meets.filter("a <> b").select("a", "b", F.col("b").alias("block")))
     found = checkpointed(
-        loaded.join(ends, "block").select("a", "b", "block", "rep", "hi", "lo", "copies", "bands", "shingles")
-        .groupBy("a", "b").applyInPandas(_verify(threshold), "rep long, root long, links long"))
-
-    classed = connected_components(found, "rep", "root").select(F.col("node").alias("rep"), "component")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    result = classes.select("hi", "lo", "rep", "copies").join(links, "rep", "left").join(classed, "rep", "left")
-    linked = features.filter("size > 0 AND doc_id IS NOT NULL").select("doc_id", "hi", "lo").join(
+        loaded.join(ends, "block").select("a", "b", "block", "node", "copies", "bands", "shingles")
+        .groupBy("a", "b").applyInPandas(_verify(threshold), "node long, root long, links long"))
+
+    classed = connected_components(found, "node", "root")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    nodes = checkpointed(classes.select("hi", "lo", "node", "rep", "copies").join(links, "node", "left")
+                         .join(classed, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    # the least id of each class; most are alone
+    least = nodes.groupBy("component").agg(F.min("rep").alias("class_id"))
+    result = nodes.join(least, "component")
+    linked = features.filter("size > 0 AND doc_id IS NOT NULL").select("doc_id", "tid", "hi", "lo").join(
         result, ["hi", "lo"]).select(
-        "doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("copies").alias("n_copies"),
+        "doc_id", "tid", "class_id", F.col("component").alias("class_node"), F.col("copies").alias("n_copies"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     alone = features.filter("size = 0 OR doc_id IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"),
-        F.lit(0).cast("long").alias("n_links"))
+        "doc_id", "tid", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_node"),
+        F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone)
 
 
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+                    threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id (least id of the class), n_copies (documents with the
+    same shingle set, itself included) and n_links (other documents whose
+    similarity reaches the threshold, copies included). Jobs run while the
+    result is built; what they need later is written to the shared folder."""
+    return _classed(docs, id_col, text_col, ngram, threshold, recall).select("doc_id", "class_id", "n_copies", "n_links")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class: the one with the least id, repeated rows
-    once. Rows without a shingle or without an id stay as they are."""
-    classes = jaccard_classes(docs, id_col, text_col)
-    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
-    word = F.coalesce(F.col(text_col).rlike(r"\S"), F.lit(False)) & F.col(id_col).isNotNull()
-    # rows that repeat an id are neighbours after the join, so this needs no shuffle of its own
-    return rest.filter(word).dropDuplicates(docs.columns).unionByName(docs.filter(~word))
+    """One row of each class: of those with the least id, one with the least text
+    hash. Rows that share an id or a text are judged by their own text. Rows
+    without a shingle or without an id stay as they are."""
+    classes = _classed(docs, id_col, text_col, NGRAM, THRESHOLD, RECALL).filter("class_node IS NOT NULL")
+    # of a class's rows with its least id, one text stays: both are partial aggregates
+    own = classes.select("class_node", "doc_id", "tid", "class_id")
+    stays = own.filter("doc_id = class_id").groupBy("class_node").agg(F.min("tid").alias("kept_tid"))
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no name of the input can clash
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    ident, text = F.col(at[id_col]).cast("long"), F.col(at[text_col])
+    rows = rows.withColumn("keep_id", ident).withColumn("keep_tid", F.xxhash64(text))
+    in_class = F.coalesce(text.rlike(r"\S"), F.lit(False)) & F.col("keep_id").isNotNull()
+    kept = own.join(stays, "class_node").filter("doc_id = class_id AND tid = kept_tid").select(
+        F.col("doc_id").alias("keep_id"), F.col("tid").alias("keep_tid")).distinct()
+    one = rows.filter(in_class).join(kept, ["keep_id", "keep_tid"], "left_semi").dropDuplicates(["keep_id", "keep_tid"])
+    return one.unionByName(rows.filter(~in_class)).drop("keep_id", "keep_tid").toDF(*docs.columns)

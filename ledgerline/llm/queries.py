@@ -156,6 +156,21 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length(role) + length(escaped) + 24)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
+    # all pairs of documents by shared five-word shingles, classes by closure
+    ORACLE_SQL["op4_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n, sha256(string_agg(g, chr(10) ORDER BY g)) AS d FROM s GROUP BY doc_id),
+c AS (SELECT n.doc_id, count(*) AS copies FROM n JOIN n AS o ON n.d = o.d GROUP BY n.doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 5 * i >= 4 * (na.n + nb.n - i)),
+r AS (SELECT DISTINCT a AS node, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.node),
+k AS (SELECT node, min(m) AS class_id FROM r GROUP BY node),
+l AS (SELECT a, count(*) AS links FROM e GROUP BY a)
+SELECT w.doc_id, coalesce(k.class_id, w.doc_id) AS class_id, coalesce(c.copies, 1) AS n_copies, coalesce(l.links, 0) AS n_links
+FROM w LEFT JOIN k ON k.node = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN l ON l.a = w.doc_id"""
     from ledgerline.llm.license_scan import op2_oracle
     from ledgerline.llm.quality_rules import op8_oracle
     from ledgerline.llm.url_filter import op12_oracle

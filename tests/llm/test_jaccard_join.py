@@ -89,6 +89,35 @@ def test_repeated_and_null_ids_and_empty_table(frame):
     assert J.jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_text(frame):
+    rng = random.Random(12)
+    a, b, c = ([f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(3))
+    near = [*c[:40], "changed", *c[41:]]
+    text = " ".join
+    rows = [(1, text(a)), (2, text(a)), (2, text(b)), (3, text(c)), (3, text(near)), (4, text(b[:5])), (4, text(b[:5]))]
+    docs = frame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, tid int, keep_id int, c0 int")
+    for given in (docs, docs.repartition(3)):
+        got = J.keep_one(given)
+        assert got.columns == docs.columns
+        kept = sorted((r.doc_id, r.text) for r in got.collect())
+        assert [i for i, _ in kept] == [1, 2, 3, 4] and kept[0] == (1, text(a)) and kept[1] == (2, text(b))
+        assert kept[2][1] in (text(c), text(near)) and kept[3] == (4, text(b[:5]))
+
+
+def test_large_group_of_near_copies(spark, frame):
+    """2,500 texts that all link to each other: several blocks meet."""
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(2500):
+        t = list(base)
+        t[rng.randrange(120)] = f"z{i}"
+        rows.append((i, " ".join(t)))
+    got = J.jaccard_classes(frame(rows).repartition(6)).collect()
+    # the target recall is 0.999 for a pair at the threshold; these are somewhat above it
+    assert {r.class_id for r in got} == {0} and 0.999 * 2500 * 2499 <= sum(r.n_links for r in got) <= 2500 * 2499
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 150)] + [
