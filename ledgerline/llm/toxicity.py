@@ -9,12 +9,15 @@ vector, so the SVM is linear there, and every distinct word adds one number,
 its own margin, to the margin of its sentence. A document scores as its most
 toxic sentence does, through a logistic curve fitted to training documents.
 
-Landmarks are the words that the training labels tie to toxic documents
-(likelihood ratio of document frequencies) and clean words: frequent ones at
-first, then also those that a first SVM takes for toxic. Sentences of toxic
-documents that hold a landmark of the first kind are the positive ones, once as
-they are and once with a letter inserted; sentences of clean documents, some at
-random and those that the first SVM finds worst, are the negative ones.
+Toxic landmarks are chosen to cover the toxic training documents: again and again
+the word is taken that the likelihood ratio ties most to the toxic documents that
+hold fewer than ``COVER`` of those taken, until none is tied by ``MIN_TIE``. Clean
+landmarks are frequent words and, for each toxic landmark, the clean words next
+to it that a first SVM takes for toxic. Sentences of toxic documents that hold a
+word like a toxic landmark are the positive ones, once as they are and once with
+a letter inserted; sentences of clean documents, some at random and those that
+the first SVM finds worst, are the negative ones.
+Sentences become kernel rows in tasks; the driver gets one matrix of them.
 
 Words are lowered and lose inner punctuation, and runs of single letters are
 also read as one word, so ``i.d.i.o.t`` and ``i d i o t`` meet ``idiot``.
@@ -35,15 +38,20 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.llm import textstats
 from ledgerline.llm.common import bounded_sample, written
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3_000, 6_000
-TOXIC_LANDMARKS, CLEAN_LANDMARKS, HARD_LANDMARKS = 96, 32, 64
-MIN_TIE = 20.0          # likelihood ratio that ties a word to toxic documents
+CANDIDATES = 2_000      # words with the highest ties of their own; landmarks are chosen among them
+MIN_TIE = 10.0          # likelihood ratio that ties a landmark to toxic documents
+ALIKE = 0.15            # kernel value from which a word is like a landmark
+COVER = 3               # landmarks after which a toxic document is covered
+CLEAN_LANDMARKS, HARD_LANDMARKS = 32, 3  # frequent clean words; clean words next to each toxic landmark
 TRAIN_SENTENCES = 16_000
+HARD_SENTENCES = 1_000  # clean sentences that the first SVM finds worst
+HARD_SHARE = 0.03       # of the total weight 1, half of which is the positive sentences'
 FIT_TASKS = 16
 NEAR = 0.3              # words less like every toxic landmark than this are neutral
 DECAY, REACH = 0.7, 5   # a triple spans at most REACH letters after its first
@@ -209,21 +217,63 @@ def _disturbed(words: list[str], targets: set[str], rng: random.Random) -> list[
     return out
 
 
-def _linear_svm(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Squared-hinge SVM by Nesterov gradient steps, classes weighing the same."""
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    weight = weight.astype(np.float32)
+def _linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Squared-hinge SVM by Nesterov gradient steps: the w and bias that minimise
+    sum(weight * max(0, 1 - y * (x w + bias))**2) + l2 / 2 * |w|**2."""
     xb = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    y = y.astype(np.float32)
+    y, weight = y.astype(np.float32), weight.astype(np.float32)
     step = 1 / (2 * float(np.linalg.eigvalsh((xb.T * weight) @ xb)[-1]) + l2)
-    w = v = np.zeros(xb.shape[1])
+    w = v = np.zeros(xb.shape[1], np.float32)
     for t in range(1, rounds + 1):
         slack = np.maximum(0, 1 - y * (xb @ v))
-        new = v - step * (l2 * np.append(v[:-1], 0) - 2 * xb.T @ (weight * slack * y))
-        v, w = new + (t - 1) / (t + 2) * (new - w), new
+        new = (v - step * (l2 * np.append(v[:-1], 0) - 2 * xb.T @ (weight * slack * y))).astype(np.float32)
+        v, w = (new + (t - 1) / (t + 2) * (new - w)).astype(np.float32), new
     return w[:-1], float(w[-1])
 
 
+def tie(t, c, n_toxic: int, n_clean: int):
+    """Twice the log likelihood ratio of a word's shares in t toxic and c clean
+    documents against a common share; 0 if it isn't four times likelier in toxic ones."""
+    t, c = np.asarray(t, float), np.asarray(c, float)
+    share = (t + c) / (n_toxic + n_clean)
+    part = lambda k, m: k * np.log(np.maximum(k, 1e-300) / np.maximum(m * share, 1e-300))
+    return np.where(t * n_clean > 4 * c * n_toxic, 2 * (part(t, n_toxic) + part(c, n_clean)), 0.0)
+
+
+def choose_landmarks(holds: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> list[int]:
+    """Candidates in the order chosen. ``holds`` has a row for each candidate: the
+    toxic documents that hold it; ``clean`` counts the clean ones."""
+    covered, chosen = np.zeros(holds.shape[1], np.int64), []
+    while True:
+        ties = tie((holds & (covered < COVER)).sum(1), clean, n_toxic, n_clean)
+        ties[chosen] = 0
+        best = int(np.argmax(ties)) if len(ties) else 0
+        if not len(ties) or ties[best] < MIN_TIE:
+            return chosen
+        chosen.append(best)
+        covered += holds[best]
+
+
+def _like(words: list[str]):
+    """Tasks: (word, mark, value) of the words like a landmark of ``words``."""
+    t = landmark_table(words, [])
+
+    def run(batches):
+        for b in batches:
+            own = b.column(0).to_pylist()
+            for lo in range(0, len(own), WORDS_AT_ONCE):
+                some = own[lo:lo + WORDS_AT_ONCE]
+                pieces = [windows(w) for w in some]
+                count = np.array([len(p) for p in pieces])
+                value = kernel([p for ps in pieces for p in ps], t["marks"], t["place"])
+                value = np.maximum.reduceat(value, np.cumsum(count) - count)
+                row, mark = np.nonzero(value >= ALIKE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([some[i] for i in row], pa.string()), pa.array(mark.astype(np.int32)),
+                     pa.array(value[row, mark].astype(np.float64))], names=["word", "mark", "value"])
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text") -> dict | None:
     """The model, or None without labelled rows of both kinds."""
@@ -236,65 +286,105 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     chosen = written(texts.join(F.broadcast(marked), "doc_id").select("doc_id", "text", "y"), "toxicity-sample")
     rows = written(chosen.repartition(FIT_TASKS).mapInArrow(
         _sentence_rows, "doc_id long, y int, words array<string>"), "toxicity-sentences")
-    n = {r.y: r.n for r in rows.groupBy("y").agg(F.countDistinct("doc_id").alias("n")).collect()}
+    held = written(rows.select("doc_id", "y", F.explode("words").alias("word")).filter(F.length("word") >= 3).distinct(),
+                   "toxicity-words")
+    n = {r.y: r.n for r in held.groupBy("y").agg(F.countDistinct("doc_id").alias("n")).collect()}
     if len(n) < 2:
         return None
-    counts = (rows.select("doc_id", "y", F.explode("words").alias("word")).filter(F.length("word") >= 3).distinct()
-              .groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")))
-
-    def tie(t, c):
-        """Twice the log likelihood ratio of two shares against a common one."""
-        e = (t + c) / F.lit(float(n[1] + n[0]))
-        part = lambda k, m: F.when(k > 0, k * F.log(k / (m * e))).otherwise(0.0)
-        return 2 * (part(t, float(n[1])) + part(c, float(n[0])))
-
-    counts = counts.withColumn("tie", tie(F.col("t").cast("double"), F.col("c").cast("double")))
+    counts = written(held.groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")), "toxicity-counts")
     likelier = F.col("t") * n[0] > 4 * F.col("c") * n[1]
-    toxic = [r.word for r in counts.filter(likelier & (F.col("tie") >= MIN_TIE))
-             .orderBy(F.desc("tie"), "word").limit(TOXIC_LANDMARKS).collect()]
-    if not toxic:  # a handful of labels: the words that tie most
-        toxic = [r.word for r in counts.filter(likelier).orderBy(F.desc("tie"), "word").limit(8).collect()]
-    usual = [r.word for r in counts.filter(~likelier & (F.length("word") >= 4))
-             .orderBy(F.desc("c"), "word").limit(CLEAN_LANDMARKS).collect()]
+    toxic = _toxic_landmarks(held, counts, likelier, n)
     if not toxic:
         return None
-    lists = F.array(*[F.lit(w) for w in toxic])
-    holds = F.arrays_overlap("words", lists)
-    positive = rows.filter((F.col("y") == 1) & holds)
-    negative = rows.filter(F.col("y") == 0)
-    some = lambda df: bounded_sample(
-        df.withColumn("key", F.concat_ws(" ", "words")), "key", TRAIN_SENTENCES // 2).select("words").collect()
-    pos, neg = [list(r.words) for r in some(positive)], [list(r.words) for r in some(negative)]
-    pos.sort(), neg.sort()
-    rng = random.Random(7)
-    pos += [_disturbed(s, set(toxic), rng) for s in pos]
-    model = _train(pos, neg, toxic, usual)
-    # second round: the clean words and sentences that look worst to the first model
+    usual = [r.word for r in counts.filter(~likelier & (F.length("word") >= 4))
+             .orderBy(F.desc("c"), "word").limit(CLEAN_LANDMARKS).collect()]
+    # the words of the sample that are like a landmark: at most its vocabulary, read in tasks
+    near = counts.filter(likelier).select("word").mapInArrow(_like(toxic), "word string, mark int, value double")
+    near = written(near.select("word").distinct(), "toxicity-near")
+    some = lambda df, most: bounded_sample(
+        df.withColumn("key", F.concat_ws(" ", "words")), "key", most).drop("key")
+    numbered = rows.select("doc_id", "y", "words").withColumn("at", F.monotonically_increasing_id())
+    hit = numbered.filter("y = 1").select("at", "words", F.explode("words").alias("word")).join(F.broadcast(near), "word")
+    hit = hit.groupBy("at").agg(F.first("words").alias("words"), F.collect_set("word").alias("targets"))
+    positive = some(hit.select("words", "targets"), TRAIN_SENTENCES // 2)
+    negative = rows.filter(F.col("y") == 0).select("words").distinct()
+    first = some(negative, TRAIN_SENTENCES // 2).select(
+        "words", F.lit(None).cast("array<string>").alias("targets"), F.lit(-1).alias("y"), F.lit(0).alias("hard"))
+    given = written(positive.select("words", "targets", F.lit(1).alias("y"), F.lit(0).alias("hard")).unionByName(first), "toxicity-train")
+    model = _train(given, toxic, usual)
+    # second round: the clean words next to each landmark, and the clean sentences, that look worst to the first model
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    hard_words = [r.word for r in counts.filter(~likelier).select("word").mapInArrow(
-        _margins_of_words(shared), "word string, margin double").orderBy(F.desc("margin"), "word")
-        .limit(HARD_LANDMARKS).collect()]
-    hard = [list(r.words) for r in negative.select("words").distinct().mapInArrow(
-        _margins_of_sentences(shared), "words array<string>, margin double").orderBy(F.desc("margin"), "words")
-        .limit(TRAIN_SENTENCES // 2).collect()]
-    model = _train(pos, neg + hard, toxic, usual + hard_words)
-    fitted = [(r.y, r.margin) for r in chosen.select("doc_id", "text", "y").join(
-        margins(chosen.dropDuplicates(["doc_id"]), model), "doc_id").select("y", "margin").collect()]
-    fitted.sort()
-    return model | dict(zip(("slope", "shift"), _logistic(
-        np.array([m for _, m in fitted]), np.array([y for y, _ in fitted], np.float64))))
-
-
-def _train(pos: list[list[str]], neg: list[list[str]], toxic: list[str], usual: list[str]) -> dict:
+    words = counts.filter(~likelier).select("word").mapInArrow(_like(toxic), "word string, mark int, value double")
+    words = words.mapInArrow(_margins_of_words(shared), "word string, mark int, margin double").filter("margin > 0")
+    worst = words.groupBy("mark").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("margin"), "word"))), 1, HARD_LANDMARKS)
+                                      .alias("worst")).collect()  # one short list for each landmark
+    hard_words = sorted({r.word for row in worst for r in row.worst})
+    hard = written(negative.mapInArrow(_margins_of_sentences(shared), "words array<string>, margin double").orderBy(
+        F.desc("margin"), "words").limit(HARD_SENTENCES), "toxicity-hard")
+    hard = hard.select("words", F.lit(None).cast("array<string>").alias("targets"), F.lit(-1).alias("y"), F.lit(1).alias("hard"))
+    model = _train(given.unionByName(hard), toxic, usual + hard_words)
+    fitted = chosen.select("doc_id", "text", "y").join(
+        margins(chosen.dropDuplicates(["doc_id"]), model), "doc_id").select("y", "margin").orderBy("y", "margin").toPandas()
+    return model | dict(zip(("slope", "shift"), _logistic(fitted["margin"].to_numpy(), fitted["y"].to_numpy(np.float64))))
+
+
+def _toxic_landmarks(held: DataFrame, counts: DataFrame, likelier, n: dict[int, int]) -> list[str]:
+    """The toxic landmarks; ``held`` has a row for each word of each document."""
+    rated = counts.filter(likelier).select("word", "t", "c").toPandas()
+    rated = rated.assign(tie=tie(rated["t"], rated["c"], n[1], n[0])).sort_values(["tie", "word"], ascending=[False, True])
+    candidates = rated["word"].head(CANDIDATES).tolist()
+    if not candidates:
+        return []
+    clean = rated["c"].head(CANDIDATES).to_numpy()
+    order = {w: i for i, w in enumerate(candidates)}
+    wanted = held.sparkSession.createDataFrame([(w,) for w in candidates], "word string")
+    of = held.filter("y = 1").join(F.broadcast(wanted), "word")
+    # a bit for each of the SAMPLE_TOXIC documents and candidate
+    number = held.filter("y = 1").select("doc_id").distinct().select(
+        "doc_id", F.row_number().over(Window.orderBy("doc_id")).alias("nth"))
+    holds = np.zeros((len(candidates), n[1]), bool)
+    for r in of.join(F.broadcast(number), "doc_id").groupBy("word").agg(
+            F.expr("bitmap_construct_agg(bitmap_bit_position(nth))").alias("bits")).collect():
+        holds[order[r.word]] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")[:n[1]]
+    chosen = choose_landmarks(holds, clean, n[1], n[0])
+    return list(dict.fromkeys(candidates[i][:WORD] for i in chosen))
+
+
+def _train(sentences_: DataFrame, toxic: list[str], usual: list[str]) -> dict:
+    """Map (words, targets, y, hard) in tasks and train on one matrix; a sentence
+    with targets comes a second time, as an evader would write it."""
     t = landmark_table(toxic, usual)
     # Nystroem: k(w, L) K^-1/2 with the landmarks' own kernel matrix K
     own = kernel(t["landmarks"], t["marks"], t["place"]).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
     root = root.astype(np.float32)
-    both = pos + neg  # mapped a few at a time: what the driver holds at once is small
-    x = np.concatenate([_mapped(both[i:i + 2_000], t) @ root for i in range(0, len(both), 2_000)])
-    w, bias = _linear_svm(x, np.array([1.0] * len(pos) + [-1.0] * len(neg)))
+    shared = sentences_.sparkSession.sparkContext.broadcast(t)
+
+    def mapped(batches):
+        for b in batches:
+            words, targets = b.column(0).to_pylist(), b.column(1).to_pylist()
+            y, hard = b.column(2).to_numpy(), b.column(3).to_numpy()
+            twice = [i for i, x in enumerate(targets) if x]
+            words += [_disturbed(words[i], set(targets[i]), random.Random(" ".join(words[i]))) for i in twice]
+            at = np.concatenate([np.arange(b.num_rows), np.array(twice, np.int64)])
+            for lo in range(0, len(words), 500):
+                x = _mapped(words[lo:lo + 500], shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([" ".join(w) for w in words[lo:lo + 500]]), pa.array(y[at[lo:lo + 500]], pa.int32()),
+                     pa.array(hard[at[lo:lo + 500]], pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())],
+                    names=["key", "y", "hard", "x"])
+
+    # in a fixed order, so that equal tables give equal models
+    got = sentences_.repartition(FIT_TASKS).mapInArrow(mapped, "key string, y int, hard int, x binary").orderBy(
+        "y", "hard", "key").select("y", "hard", "x").toArrow()
+    x = np.concatenate([np.frombuffer(b"".join(c.to_pylist()), np.float32) for c in got.column("x").chunks]).reshape(got.num_rows, -1) @ root
+    y, hard = got.column("y").to_numpy(), got.column("hard").to_numpy() > 0
+    weight = np.zeros(len(y))
+    share = HARD_SHARE if hard.any() else 0.0
+    for part, all_of_it in ((y > 0, 0.5), ((y < 0) & ~hard, 0.5 - share), (hard, share)):
+        weight[part] = all_of_it / max(part.sum(), 1)
+    w, bias = _linear_svm(x, y, weight)
     return t | {"weights": (root @ w).astype(np.float32), "bias": bias}
 
 
@@ -327,7 +417,7 @@ def _margins_of_words(shared):
         for b in batches:
             words = b.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(word_margins(words, shared.value), pa.float64())], names=["word", "margin"])
+                [b.column(0), b.column(1), pa.array(word_margins(words, shared.value), pa.float64())], names=["word", "mark", "margin"])
     return run
 
 
@@ -422,7 +512,7 @@ class Scorer:
 
 def margins(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id and margin of the most toxic sentence; docs has doc_id and text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 192 landmarks
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred landmarks at most
 
     def run(batches):
         scorer = Scorer(shared.value)

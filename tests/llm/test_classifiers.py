@@ -161,3 +161,53 @@ def test_a_scorer_agrees_with_sentence_margins(toxic_corpus):
         own = [sum(T.word_margins(sorted(set(s)), model)) for s in T.sentences(text)]
         if "a b" not in text:  # spelled runs are the scorer's own
             assert margin == pytest.approx(max(own, default=0.0) + model["bias"], abs=1e-4)
+
+
+def test_svm_minimises_its_objective():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 4)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.5 * x[:, 1] + 0.3 * rng.normal(size=120) > 0, 1.0, -1.0)
+    weight = rng.random(120) / 60
+
+    def objective(w, b):
+        return float((weight * np.maximum(0, 1 - y * (x @ w + b)) ** 2).sum() + 1e-4 / 2 * (w @ w))
+
+    w, b = T._linear_svm(x, y, weight, rounds=2000)
+    best = objective(w, b)
+    for _ in range(400):  # no step in any direction lowers it
+        d, e = rng.normal(size=4), rng.normal()
+        for size in (0.3, 0.03, 0.003):
+            assert objective(w + size * d, b + size * e) >= best - 1e-7
+
+
+def test_landmarks_cover_toxic_documents():
+    holds = np.array([[1] * 8 + [0] * 12, [1] * 7 + [0] * 13, [0] * 12 + [1] * 8, [1] * 2 + [0] * 18], bool)
+    assert T.choose_landmarks(holds, np.array([0, 0, 1, 0]), 20, 200) == [0, 1, 2]
+    assert T.choose_landmarks(holds, np.array([90, 90, 90, 90]), 20, 200) == []
+    assert T.choose_landmarks(np.zeros((0, 20), bool), np.zeros(0), 20, 200) == []
+    # of words in the same documents no more than COVER are taken
+    assert T.choose_landmarks(np.ones((9, 20), bool), np.zeros(9), 20, 200) == [0, 1, 2]
+    n, m, t, c = 20, 200, 8, 1
+    p = (t + c) / (n + m)
+    assert float(T.tie(t, c, n, m)) == pytest.approx(2 * (t * np.log(t / n / p) + c * np.log(c / m / p)))
+
+
+def test_nystroem_margins_by_definition(spark):
+    """The trained margin of a sentence is the sum of its words' kernels with the
+    landmarks through the inverse root of the landmarks' own kernel matrix."""
+    toxic, usual = ["idiot", "moron"], ["table", "window"]
+    rows = [(["you", "idiot"], ["idiot"], 1, 0), (["a", "moron", "here"], ["moron"], 1, 0),
+            (["the", "table"], None, -1, 0), (["windows", "open"], None, -1, 0), (["idiom", "book"], None, -1, 1)]
+    m = T._train(spark.createDataFrame(rows, "words array<string>, targets array<string>, y int, hard int"), toxic, usual)
+    marks = toxic + usual
+    k = np.array([[kernel_by_definition(a, b) for b in marks] for a in marks])
+    assert np.allclose(T.kernel(marks, m["marks"], m["place"]), k, atol=1e-5)
+    values, vectors = np.linalg.eigh(k)
+    root = vectors / np.sqrt(values) @ vectors.T
+    for w in ("idiot", "idixot", "mooron", "idiom"):
+        own = np.array([kernel_by_definition(w, b) for b in marks])
+        x = own @ root  # the Nystroem map: its products are the kernel's projection
+        assert np.allclose(x @ root @ k, own, atol=1e-6)
+        want = own @ m["weights"] if own[:2].max() >= T.NEAR**2 else 0.0
+        assert T.word_margins([w], m)[0] == pytest.approx(want, abs=1e-5)
+    assert T.word_margins(["idiot"], m)[0] > 0 > m["bias"]
