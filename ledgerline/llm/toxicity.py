@@ -48,10 +48,10 @@ CANDIDATES = 2_000      # words with the highest ties of their own; landmarks ar
 MIN_TIE = 10.0          # likelihood ratio that ties a landmark to toxic documents
 ALIKE = 0.15            # kernel value from which a word is like a landmark
 COVER = 3               # landmarks after which a toxic document is covered
-CLEAN_LANDMARKS, HARD_LANDMARKS = 32, 3  # frequent clean words; clean words next to each toxic landmark
+CLEAN_LANDMARKS, HARD_LANDMARKS = 32, 1  # frequent clean words; clean words next to each toxic landmark
 TRAIN_SENTENCES = 16_000
 HARD_SENTENCES = 1_000  # clean sentences that the first SVM finds worst
-HARD_SHARE = 0.03       # of the total weight 1, half of which is the positive sentences'
+HARD_SHARE = 0.01       # of the total weight 1, half of which is the positive sentences'
 FIT_TASKS = 16
 NEAR = 0.3              # words less like every toxic landmark than this are neutral
 DECAY, REACH = 0.7, 5   # a triple spans at most REACH letters after its first
@@ -106,12 +106,13 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, code, w / norm[row]
 
 
-def kernel(words: list[str], marks: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Kernel values of words (rows) with the landmarks.
+def kernel(words: list[str], marks: np.ndarray, place: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Kernel values of words (rows) with the landmarks, or the first ``most``.
 
     ``place`` maps a triple to its row of ``marks`` (0: in no landmark), whose
     columns are the landmarks' weights.
     """
+    marks = marks[:, :most]
     row, code, w = triples(words)
     at = place[code]
     row, at, w = row[at > 0], at[at > 0], w[at > 0].astype(np.float32)
@@ -137,7 +138,7 @@ def landmark_table(toxic: list[str], usual: list[str]) -> dict:
     marks = np.zeros((len(known) + 1, len(words)), np.float32)
     marks[place[code], row] = w
     n_toxic = len({w[:WORD] for w in toxic})
-    return {"landmarks": words, "marks": marks, "place": place, "toxic": np.ascontiguousarray(marks[:, :n_toxic]),
+    return {"landmarks": words, "marks": marks, "place": place, "n_toxic": n_toxic,
             "peak": marks[:, :n_toxic].max(1)}
 
 
@@ -170,7 +171,7 @@ def near_kernel(words: list[str], t: dict):
         at = order[lo:lo + WORDS_AT_ONCE]
         at = at[_may_be_near([words[i] for i in at], t)]
         if len(at):
-            best = kernel([words[i] for i in at], t["toxic"], t["place"]).max(1)
+            best = kernel([words[i] for i in at], t["marks"], t["place"], t["n_toxic"]).max(1)
             at = at[best >= NEAR * NEAR]
         if len(at):
             yield at, kernel([words[i] for i in at], t["marks"], t["place"])
@@ -324,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     hard = hard.select("words", F.lit(None).cast("array<string>").alias("targets"), F.lit(-1).alias("y"), F.lit(1).alias("hard"))
     model = _train(given.unionByName(hard), toxic, usual + hard_words)
     fitted = chosen.select("doc_id", "text", "y").join(
-        margins(chosen.dropDuplicates(["doc_id"]), model), "doc_id").select("y", "margin").orderBy("y", "margin").toPandas()
+        margins(chosen.dropDuplicates(["doc_id"]), model), "doc_id").select("y", "margin").toPandas()
+    fitted = fitted.sort_values(["y", "margin"])
     return model | dict(zip(("slope", "shift"), _logistic(fitted["margin"].to_numpy(), fitted["y"].to_numpy(np.float64))))
 
 
@@ -375,9 +377,9 @@ def _train(sentences_: DataFrame, toxic: list[str], usual: list[str]) -> dict:
                      pa.array(hard[at[lo:lo + 500]], pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())],
                     names=["key", "y", "hard", "x"])
 
+    got = sentences_.repartition(FIT_TASKS).mapInArrow(mapped, "key string, y int, hard int, x binary").toArrow()
     # in a fixed order, so that equal tables give equal models
-    got = sentences_.repartition(FIT_TASKS).mapInArrow(mapped, "key string, y int, hard int, x binary").orderBy(
-        "y", "hard", "key").select("y", "hard", "x").toArrow()
+    got = got.sort_by([(c, "ascending") for c in ("y", "hard", "key")]).drop_columns("key")
     x = np.concatenate([np.frombuffer(b"".join(c.to_pylist()), np.float32) for c in got.column("x").chunks]).reshape(got.num_rows, -1) @ root
     y, hard = got.column("y").to_numpy(), got.column("hard").to_numpy() > 0
     weight = np.zeros(len(y))
