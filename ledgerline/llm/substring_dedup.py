@@ -288,14 +288,19 @@ def _cut_texts(texts: list[str], marks: list, stretches: bool, min_words: int):
     return out, spans
 
 
-def _apply(text_at: int, stretches: bool, min_words: int):
-    """Rows with a last column of places -> the same with cut texts and spans."""
+def _apply(text_at: int, stretches: bool, min_words: int, shared=None):
+    """Rows with a last column of places -> the same with cut texts and spans.
+    With a shared bitmap the last column is a key instead, and only the rows are
+    taken whose key it does not hold: nothing outside of them repeats in these."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for batch in batches:
+            if shared is not None:
+                batch = batch.filter(pa.array(~_holds(shared.value, batch.column(batch.num_columns - 1).to_numpy())))
             for b, texts in _texts(batch, text_at):
-                new, spans = _cut_texts(texts, [x.values if x.is_valid else None for x in b.column(b.num_columns - 1)], stretches, min_words)
+                places = [None] * len(texts) if shared is not None else [x.values if x.is_valid else None for x in b.column(b.num_columns - 1)]
+                new, spans = _cut_texts(texts, places, stretches, min_words)
                 cols = [b.column(i) for i in range(b.num_columns - 1)]
                 cols[text_at] = pc.if_else(pc.is_valid(cols[text_at]), pa.array(new, pa.string()), pa.scalar(None, pa.string()))
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(spans, span)], names=[*b.schema.names[:-1], "removed"])
@@ -322,8 +327,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = T.StructType([*docs.schema.fields, T.StructField(removed_col, T.ArrayType(T.StructType([
         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
-    rows = rows.withColumn("maybe", may_repeat(F.xxhash64("id")))
-    joined = rows.filter("maybe").join(places, ["id", "tid"], "left").drop("id", "tid", "maybe")
-    rest = rows.filter("NOT maybe").withColumn("places", F.lit(None).cast("array<long>")).drop("id", "tid", "maybe")
-    cut = _apply(at[text_col], passages, min_words)
-    return joined.mapInArrow(cut, schema).union(rest.mapInArrow(cut, schema))
+    key = F.xxhash64("id")
+    joined = rows.filter(may_repeat(key)).join(places, ["id", "tid"], "left").drop("id", "tid")
+    rest = rows.withColumn("key", key).drop("id", "tid")
+    return joined.mapInArrow(_apply(at[text_col], passages, min_words), schema).union(
+        rest.mapInArrow(_apply(at[text_col], passages, min_words, shared), schema))

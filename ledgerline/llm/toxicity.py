@@ -59,7 +59,8 @@ WORD, STEP = 24, 12     # longer words are read in overlapping windows
 SENTENCE_WORDS = 32
 CODES = 64
 CACHE_WORDS = 250_000   # in each of two generations
-WORDS_AT_ONCE = 4_000  # whose triples and kernel rows are in memory together
+WORDS_AT_ONCE = 1_000  # whose triples and kernel rows are in memory together
+TEXT_AT_ONCE = 1 << 20
 EDGES = re.compile(r"[\W_]+")
 
 
@@ -255,8 +256,9 @@ def choose_landmarks(holds: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean
         covered += holds[best]
 
 
-def _like(words: list[str]):
-    """Tasks: (word, mark, value) of the words like a landmark of ``words``."""
+def _like(words: list[str], shared=None):
+    """Tasks: (word, mark, margin) of the words like a landmark of ``words``, with
+    the margin that a model gives them; 0 without one."""
     t = landmark_table(words, [])
 
     def run(batches):
@@ -269,9 +271,13 @@ def _like(words: list[str]):
                 value = kernel([p for ps in pieces for p in ps], t["marks"], t["place"])
                 value = np.maximum.reduceat(value, np.cumsum(count) - count)
                 row, mark = np.nonzero(value >= ALIKE)
+                near = np.unique(row)
+                margin = np.zeros(len(some))
+                if shared is not None and len(near):
+                    margin[near] = word_margins([some[i] for i in near], shared.value)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([some[i] for i in row], pa.string()), pa.array(mark.astype(np.int32)),
-                     pa.array(value[row, mark].astype(np.float64))], names=["word", "mark", "value"])
+                    [pa.array([some[i] for i in row], pa.string()), pa.array(mark.astype(np.int32)), pa.array(margin[row])],
+                    names=["word", "mark", "margin"])
     return run
 
 
@@ -300,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     usual = [r.word for r in counts.filter(~likelier & (F.length("word") >= 4))
              .orderBy(F.desc("c"), "word").limit(CLEAN_LANDMARKS).collect()]
     # the words of the sample that are like a landmark: at most its vocabulary, read in tasks
-    near = counts.filter(likelier).select("word").mapInArrow(_like(toxic), "word string, mark int, value double")
+    near = counts.filter(likelier).select("word").mapInArrow(_like(toxic), "word string, mark int, margin double")
     near = written(near.select("word").distinct(), "toxicity-near")
     some = lambda df, most: bounded_sample(
         df.withColumn("key", F.concat_ws(" ", "words")), "key", most).drop("key")
@@ -315,8 +321,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     model = _train(given, toxic, usual)
     # second round: the clean words next to each landmark, and the clean sentences, that look worst to the first model
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    words = counts.filter(~likelier).select("word").mapInArrow(_like(toxic), "word string, mark int, value double")
-    words = words.mapInArrow(_margins_of_words(shared), "word string, mark int, margin double").filter("margin > 0")
+    words = counts.filter(~likelier).select("word").mapInArrow(
+        _like(toxic, shared), "word string, mark int, margin double").filter("margin > 0")
     worst = words.groupBy("mark").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("margin"), "word"))), 1, HARD_LANDMARKS)
                                       .alias("worst")).collect()  # one short list for each landmark
     hard_words = sorted({r.word for row in worst for r in row.worst})
@@ -414,15 +420,6 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def _margins_of_words(shared):
-    def run(batches):
-        for b in batches:
-            words = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(word_margins(words, shared.value), pa.float64())], names=["word", "mark", "margin"])
-    return run
-
-
 def _margins_of_sentences(shared):
     def run(batches):
         for b in batches:
@@ -519,7 +516,7 @@ def margins(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         scorer = Scorer(shared.value)
         for b in batches:
-            for part in textstats.slices(b, 1):
+            for part in textstats.slices(b, 1, TEXT_AT_ONCE):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(scorer(textstats.filled(part.column(1))), pa.float64())],
                     names=["doc_id", "margin"])
@@ -547,7 +544,7 @@ def keep_clean(docs: DataFrame, model: dict | None, threshold: float, text_col:
     def run(batches):
         scorer = Scorer(shared.value)
         for b in batches:
-            for part in textstats.slices(b, at):
+            for part in textstats.slices(b, at, TEXT_AT_ONCE):
                 keep = scorer(textstats.filled(part.column(at))) < border
                 yield part.filter(pa.array(keep))
 
