@@ -26,6 +26,7 @@ compiles such a stage per expression. Every intermediate stays below 2⁶³, so
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 MODULUS = 2147483647  # 2^31 - 1
 
@@ -79,6 +80,44 @@ def pick_sql(id_sql: str, salt: int, values: Sequence[str], dialect: str = "spar
     return f"([{items}])[{idx}]"
 
 
+def alias_table(weights: Sequence[float]) -> tuple[list[int], list[int]]:
+    """(threshold, other) of Walker's alias method over n equal slots: a slot
+    gives its own entry for draws below its threshold of MODULUS, else another
+    one. Weights are taken as exact fractions, so each entry's share is its
+    weight's to within n / MODULUS."""
+    total = sum(map(Fraction, weights), Fraction(0))
+    if not weights or total <= 0 or min(weights) < 0:
+        raise ValueError("weights must not be negative and must have a positive sum")
+    n = len(weights)
+    share = [Fraction(w) * n / total for w in weights]
+    small, large = [i for i in range(n) if share[i] < 1], [i for i in range(n) if share[i] >= 1]
+    threshold, other = [MODULUS] * n, list(range(n))
+    while small and large:
+        i, j = small.pop(), large[-1]
+        threshold[i], other[i] = round(share[i] * MODULUS), j
+        share[j] -= 1 - share[i]
+        if share[j] < 1:
+            small.append(large.pop())
+    return threshold, other
+
+
+def weighted_sql(id_sql: str, salts: tuple[int, int], values: Sequence[str], weights: Sequence[float],
+                 dialect: str = "spark") -> str:
+    """One of ``values`` with a probability in proportion to its weight, any
+    number that is not negative (G7): two hashes a row and two lookups in
+    literals of one entry for each value."""
+    threshold, other = alias_table(weights)
+    slot = f"{hash_sql(id_sql, salts[0], dialect)} % {len(values)}"
+    draw = hash_sql(id_sql, salts[1], dialect)
+    name, num = ", ".join(_quote(v) for v in values), ", ".join(map(str, threshold))
+    second = ", ".join(_quote(values[i]) for i in other)
+    if dialect == "spark":
+        at = f"CAST(1 + {slot} AS INT)"
+        return (f"CASE WHEN {draw} < element_at(array({num}), {at}) THEN element_at(array({name}), {at}) "
+                f"ELSE element_at(array({second}), {at}) END")
+    return f"CASE WHEN {draw} < ([{num}])[1 + {slot}] THEN ([{name}])[1 + {slot}] ELSE ([{second}])[1 + {slot}] END"
+
+
 def key_sql(prefix: str, n_sql: str, width: int, dialect: str = "spark") -> str:
     """Zero-padded key ``PREFIX-000123`` (never truncated when wider)."""
     fn = "format_string" if dialect == "spark" else "printf"

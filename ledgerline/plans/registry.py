@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions import random as R
 from ledgerline.plans import reports, retail
 from ledgerline.sources import catalog
 from ledgerline.sources import generate as G
@@ -182,6 +183,53 @@ def q_category_revenue(spark, sf_dir):
     return retail.category_revenue(r.orders, r.products, r.lit("completed"))
 
 
+def q_category_revenue_exact(spark, sf_dir):
+    """Q8 as the exact sum of the line amounts, not rounded to cents."""
+    r = driver_roles(spark, sf_dir)
+    return retail.category_revenue_exact(r.orders, r.products, r.lit("completed"))
+
+
+def q_order_enrichment_reduced(spark, sf_dir):
+    """The flagship with its lines reduced by a Bloom filter of the kept headers."""
+    r = driver_roles(spark, sf_dir)
+    return retail.order_enrichment_by_header(
+        r.order_lines, r.order_headers, r.customers, r.products, r.lit("completed"), reduce_lines=True)
+
+
+def q_user_reach(spark, sf_dir):
+    """A5: distinct users per event type, exact and by united daily sketches."""
+    return reports.user_reach(Tables(spark, sf_dir).events)
+
+
+def q_run_log_pivot_found(spark, sf_dir):
+    """Q10 with the engines that the log holds as columns."""
+    return reports.run_log_pivot(reports.events_run_log(Tables(spark, sf_dir).events))
+
+
+# The tables of a report, in its order
+LISTED_TABLES = ("user_9", "user_2", "user_41")
+
+
+def q_run_log_pivot_listed(spark, sf_dir):
+    """The report's rows are the tables that the caller lists, in that order."""
+    return reports.run_log_pivot(reports.events_run_log(Tables(spark, sf_dir).events), tables=LISTED_TABLES)
+
+
+def q_running_value(spark, sf_dir):
+    """A keyed function with a running state, per user in the order of time."""
+    return reports.running_value(Tables(spark, sf_dir).events)
+
+
+def q_weighted_labels(spark, sf_dir):
+    """Labels drawn with weights that are no whole numbers, one per order."""
+    label = R.weighted_sql("o_orderkey", (901, 902), list(WEIGHTED), list(WEIGHTED.values()))
+    return Tables(spark, sf_dir).orders.select("o_orderkey", F.expr(label).alias("label"))
+
+
+# Fixed values of the query weighted_labels: label -> weight
+WEIGHTED = {"web": 0.437, "store": 0.31, "phone": 0.15, "partner": 0.1, "mail": 0.003}
+
+
 def _scan(name):
     def q(spark, sf_dir):
         return getattr(Tables(spark, sf_dir), name).select("*")
@@ -326,6 +374,13 @@ QUERIES: dict[str, Query] = {
     "product_units_top5": q_product_units_top5,
     "category_revenue": q_category_revenue,
     "category_revenue_decimal": q_category_revenue_decimal,
+    "category_revenue_exact": q_category_revenue_exact,
+    "order_enrichment_reduced": q_order_enrichment_reduced,
+    "user_reach": q_user_reach,
+    "run_log_pivot_found": q_run_log_pivot_found,
+    "run_log_pivot_listed": q_run_log_pivot_listed,
+    "running_value": q_running_value,
+    "weighted_labels": q_weighted_labels,
     **{f"scan_{t}": _scan(t) for t in SCAN_TABLES},
     "pivot_report": q_pivot_report,
     "run_log_pivot": q_run_log_pivot,
@@ -432,6 +487,31 @@ _TYPE_POS = "CASE event_type " + " ".join(
 
 ORACLE_SQL: dict[str, str] = {
     "order_enrichment": _ORDER_ENRICHMENT,
+    "order_enrichment_reduced": _ORDER_ENRICHMENT,
+    # whole multiples of 2**-60, summed as 128-bit integers and rounded once from
+    # their decimal digits; the last division is by a power of two
+    "category_revenue_exact": """
+SELECT p.p_type AS category,
+       CAST(CAST(SUM(CAST(CAST(l.l_extendedprice AS DOUBLE) * CAST(l.l_quantity AS DOUBLE) * power(2.0, 60) AS HUGEINT))
+                 AS VARCHAR) AS DOUBLE) / power(2.0, 60) AS revenue
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey
+WHERE o.o_orderstatus = 'F'
+GROUP BY p.p_type
+ORDER BY revenue DESC, category
+""",
+    "user_reach": """
+SELECT event_type, COUNT(DISTINCT user_id) AS users, TRUE AS within_bound, TRUE AS unites
+FROM events GROUP BY event_type
+""",
+    "running_value": """
+SELECT event_id, user_id, row_number() OVER w AS nth, MAX(value) OVER w AS highest
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+""",
+    "weighted_labels": f"""
+SELECT o_orderkey, {R.weighted_sql("o_orderkey", (901, 902), list(WEIGHTED), list(WEIGHTED.values()), "duckdb")} AS label FROM orders
+""",
     "order_enrichment_flat": _ORDER_ENRICHMENT,
     "order_enrichment_sql": _ORDER_ENRICHMENT,
     "order_enrichment_header_sql": _ORDER_ENRICHMENT,
@@ -476,6 +556,16 @@ ORDER BY score DESC, customer_id, product_name, category, reason LIMIT 200
 SELECT "table", arg_min("rows", engine) AS "rows", 6 AS cols, {", ".join(
         f"MAX(CASE WHEN engine = '{e}' THEN time_s END) AS {e}" for e in _ENGINES)}
 FROM ({_RUN_LOG}) l GROUP BY "table" ORDER BY "table"
+""",
+    "run_log_pivot_found": f"""
+SELECT "table", arg_min("rows", engine) AS "rows", 6 AS cols, {", ".join(
+        f"MAX(CASE WHEN engine = '{e}' THEN time_s END) AS {e}" for e in _ENGINES)}
+FROM ({_RUN_LOG}) l GROUP BY "table"
+""",
+    "run_log_pivot_listed": f"""
+SELECT "table", arg_min("rows", engine) AS "rows", 6 AS cols, {", ".join(
+        f"MAX(CASE WHEN engine = '{e}' THEN time_s END) AS {e}" for e in _ENGINES)}
+FROM ({_RUN_LOG}) l WHERE "table" IN {LISTED_TABLES} GROUP BY "table"
 """,
     "run_log_summary": f"""
 WITH l AS ({_RUN_LOG}),

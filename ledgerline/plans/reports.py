@@ -11,13 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import scalar as S
-from ledgerline.operators.aggregate import arg_extremes, first_per_key, pivot_sum, pivot_unique, with_total_row
+from ledgerline.operators.aggregate import (
+    SKETCH_ERROR, arg_extremes, distinct_sketches, first_per_key, pivot_sum, pivot_unique, sketched_count, united_sketches,
+    with_total_row)
 from ledgerline.operators.joins import left_enrich
 from ledgerline.operators.order import select_in_order
+from ledgerline.operators.transform import keyed_transform
 
 # Report column order of the event types (the "engines").
 EVENT_TYPE_ORDER = ["view", "click", "purchase", "signup", "error"]
@@ -29,10 +34,10 @@ def _in_order(df: DataFrame, tables: Sequence[str] | None) -> DataFrame:
     return select_in_order(df, "table", tables) if tables else df.orderBy("table")
 
 
-def run_log_pivot(log: DataFrame, engines: Sequence[str], tables: Sequence[str] | None = None) -> DataFrame:
+def run_log_pivot(log: DataFrame, engines: Sequence[str] | None = None, tables: Sequence[str] | None = None) -> DataFrame:
     """Q10: metadata (rows, cols) of each table joined with its times, one
-    column per engine in report order; a duplicate (table, engine) or an engine
-    outside the list raises. With ``tables`` the report has those rows in that
+    column per engine in report order, or for whichever engines ran where none
+    are listed; a duplicate (table, engine) or an engine outside the list raises. With ``tables`` the report has those rows in that
     order, and a table without a run raises (O6)."""
     pivot = pivot_unique(log, "table", "engine", "time_s", engines)
     meta = first_per_key(log.select("table", "rows", "cols", "engine"), "table", ["engine"]).drop("engine")
@@ -137,3 +142,41 @@ def events_display(events: DataFrame) -> DataFrame:
         S.fixed("total", 3).alias("value_fmt"),
         S.times_label("spread").alias("spread_fmt"),
     )
+
+
+def user_reach(events: DataFrame) -> DataFrame:
+    """A5: distinct users per event type, exact and from daily sketches.
+
+    ``within_bound``: the estimate from united daily sketches is off by at most
+    four standard errors. ``unites``: it equals that of one sketch of all rows.
+    """
+    day = events.select("event_type", F.to_date("ts").alias("day"), "user_id")
+    daily = distinct_sketches(day, ["event_type", "day"], "user_id")
+    united = united_sketches(daily, ["event_type"]).select("event_type", sketched_count().alias("estimate"))
+    whole = distinct_sketches(day, ["event_type"], "user_id").select("event_type", sketched_count().alias("whole"))
+    exact = day.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    return exact.join(united, "event_type").join(whole, "event_type").select(
+        "event_type", "users",
+        (F.abs(F.col("estimate") - F.col("users")) <= F.lit(4 * SKETCH_ERROR) * F.col("users") + 1).alias("within_bound"),
+        (F.col("estimate") == F.col("whole")).alias("unites"))
+
+
+def _running(key, batches):
+    """Number of the event and greatest value so far, one batch at a time."""
+    n, high = 0, -np.inf
+    for b in batches:
+        value = b.column(b.schema.get_field_index("value")).to_numpy(zero_copy_only=False).astype(float)
+        top = np.fmax.accumulate(np.append(high, value))[1:]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(b.schema.get_field_index("event_id")), pa.array([key[0]] * len(value), pa.int64()),
+             pa.array(np.arange(n + 1, n + len(value) + 1)), pa.array(top, mask=np.isneginf(top))],
+            names=["event_id", "user_id", "nth", "highest"])
+        n, high = n + len(value), top[-1] if len(top) else high
+
+
+def running_value(events: DataFrame) -> DataFrame:
+    """U1 with a key: each event's number among its user's events in the order of
+    time, and the user's greatest value up to it."""
+    rows = events.select("event_id", "user_id", "ts", "value")
+    return keyed_transform(rows, ["user_id"], _running, "event_id:long, user_id:long, nth:long, highest:double",
+                           order_by=["ts", "event_id"])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.sources import catalog
 from ledgerline.sources import generate as G
+from ledgerline.sources.loads import refuse_nulls, write_observed
 
 ECOMMERCE_TABLES = ("products", "customers", "orders", "clickstream", "recommendations")
 
@@ -31,7 +32,7 @@ def seed_ecommerce(
     max_records_per_file: int = 5_000_000,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Q14: namespace → five tables → ``(table, rows)`` counts read back.
+    """Q14: namespace → five tables → ``(table, rows)`` counts, taken as they are written.
 
     With ``buckets`` (size it so one bucket is ~128–512 MB at the target
     scale), customers and orders are bucketed on ``customer_id`` and
@@ -54,27 +55,39 @@ def seed_ecommerce(
     catalog.create_namespace(spark, ns)
     fq = {t: _fqn(catalog_name, namespace, t) for t in ECOMMERCE_TABLES}
 
-    catalog.write_table(G.products(spark), fq["products"], "replace", fmt)
-    catalog.write_table(
-        G.customers(G.id_range(spark, n["customers"])), fq["customers"], "replace", fmt, max_records_per_file,
-        bucket_by=by_customer,
-    )
-    catalog.write_table(
-        G.orders(G.id_range(spark, n["orders"], n["customers"], seed=G.SEED_ORDERS), G.products(spark)),
-        fq["orders"], "replace", fmt, max_records_per_file, bucket_by=by_customer,
-    )
     clicks = G.clickstream(G.id_range(spark, n["clickstream"], n["customers"], seed=G.SEED_CLICKS))
-    catalog.write_table(  # the table keeps instants, in the session's time zone
-        clicks.withColumn("timestamp", clicks["timestamp"].cast("timestamp")),
-        fq["clickstream"], "replace", fmt, max_records_per_file, bucket_by=by_session,
-    )
-    catalog.write_table(
-        G.recommendations(G.id_range(spark, n["recommendations"], n["customers"], seed=G.SEED_RECS)),
-        fq["recommendations"], "replace", fmt, max_records_per_file,
-    )
+    clicks = clicks.withColumn("timestamp", clicks["timestamp"].cast("timestamp"))  # instants, in the session's time zone
+    frames = {
+        "products": (G.products(spark), None),
+        "customers": (G.customers(G.id_range(spark, n["customers"])), by_customer),
+        "orders": (G.orders(G.id_range(spark, n["orders"], n["customers"], seed=G.SEED_ORDERS), G.products(spark)), by_customer),
+        "clickstream": (clicks, by_session),
+        "recommendations": (
+            G.recommendations(G.id_range(spark, n["recommendations"], n["customers"], seed=G.SEED_RECS)), None),
+    }
     # every e-commerce column is declared NOT NULL
-    frames = {fq[t]: spark.read.table(fq[t]) for t in ECOMMERCE_TABLES}
-    return catalog.checked_row_counts({f: (df, df.columns) for f, df in frames.items()})
+    return _written(spark, {
+        fq[t]: (frames[t][0], frames[t][0].columns, frames[t][1]) for t in ECOMMERCE_TABLES}, fmt, max_records_per_file)
+
+
+def _written(spark: SparkSession, tables: dict, fmt: str, max_records_per_file: int) -> DataFrame:
+    """Write ``name -> (frame, NOT NULL columns, buckets)`` and return ``(table,
+    rows)``. Rows and NULLs are measured in the write's own job; a bucketed table
+    is shuffled by its write, so it is read back instead."""
+    counted, read_back = [], {}
+    for fqn, (df, not_null, buckets) in tables.items():
+        def write(d: DataFrame, fqn=fqn, buckets=buckets) -> None:
+            catalog.write_table(d, fqn, "replace", fmt, max_records_per_file, bucket_by=buckets)
+
+        if buckets:
+            write(df)
+            read_back[fqn] = (spark.read.table(fqn), not_null)
+        else:
+            metrics = write_observed(df, write, not_null)
+            refuse_nulls(metrics, fqn)
+            counted.append((fqn, metrics["rows"]))
+    out = spark.createDataFrame(counted, "table string, rows long")
+    return out.unionByName(catalog.checked_row_counts(read_back)) if read_back else out
 
 
 # the ten fixed columns of the wide tables are NOT NULL; generated ones may be NULL
@@ -100,7 +113,7 @@ def seed_wide(
     configs = configs or G.WIDE_TABLES
     ns = f"{catalog_name}.{namespace}" if catalog_name else namespace
     catalog.create_namespace(spark, ns)
-    written = {}
+    written, whole = {}, {}
     for name, cols, rows in configs:
         fqn = _fqn(catalog_name, namespace, name)
         seed = G.SEED_WIDE.get(name, 50)
@@ -110,11 +123,12 @@ def seed_wide(
                 for start in range(1, rows + 1, batch_rows)
             )
             catalog.write_batches(batches, fqn, fmt)
+            written[fqn] = (spark.read.table(fqn), WIDE_NOT_NULL)
         else:
-            catalog.write_table(G.wide(G.id_range(spark, rows), cols, seed), fqn, "replace", fmt,
-                                max_records_per_file)
-        written[fqn] = spark.read.table(fqn)
-    return catalog.checked_row_counts({f: (df, WIDE_NOT_NULL) for f, df in written.items()})
+            whole[fqn] = (G.wide(G.id_range(spark, rows), cols, seed), WIDE_NOT_NULL, None)
+    if written:
+        return catalog.checked_row_counts(written)
+    return _written(spark, whole, fmt, max_records_per_file)
 
 
 def verify(spark: SparkSession, fqns, sample_rows: int = 10, show: bool = True) -> DataFrame:

@@ -120,6 +120,12 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def runs_in_one_process(master: str) -> bool:
+    """True for ``local`` and ``local[...]``: one machine, one JVM. A
+    ``local-cluster[...]`` has executors with folders of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -138,7 +144,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not runs_in_one_process(sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared folder for lineage cuts on this cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")

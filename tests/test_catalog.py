@@ -283,3 +283,10 @@ def test_checkpoint_dir_without_spark_context():
 
     assert ensure_checkpoint_dir(_ConnectLikeSession({"spark.checkpoint.dir": "s3a://b/ck"})) == "s3a://b/ck"
     assert ensure_checkpoint_dir(_ConnectLikeSession({})) == ""
+
+
+def test_only_one_process_gets_a_scratch_checkpoint_folder():
+    from ledgerline.session import runs_in_one_process
+
+    assert [runs_in_one_process(m) for m in ("local", "local[*]", "local[8]", "local-cluster[3,2,1024]", "yarn", "spark://h:7077")] == [
+        True, True, True, False, False, False]
