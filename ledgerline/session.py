@@ -85,6 +85,17 @@ def build_session(
 
 _SHIPPED: set[str] = set()
 
+# Bytes of a batch that a Python worker is sent; Spark's own bound is 64 MB, held
+# several times at once by a task's JVM and worker.
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(ARROW_BATCH_BYTES))
+
 
 def package_zip() -> bytes:
     """The package's Python files as a zip that ``sys.path`` can hold."""
@@ -105,8 +116,10 @@ def ship_package(spark: SparkSession) -> None:
     Only Python-side operators (``mapInPandas``, pandas UDFs) need it. The
     package is zipped and given to ``SparkContext.addPyFile``, which sends it to
     every executor under any master and puts it on the workers' ``sys.path``.
-    An error is raised, not swallowed, and the next call tries again.
+    An error is raised, not swallowed, and the next call tries again. Batches of
+    rows for those operators are bounded by bytes.
     """
+    bound_arrow_batches(spark)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: ship with spark.addArtifacts instead
