@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.session import ship_package
+from ledgerline.session import runs_in_one_process, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if not runs_in_one_process(spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         named = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.sparkContext.setCheckpointDir(named)
@@ -52,10 +52,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     ship_package(spark)
     path = os.path.join(shared_dir(spark), f"ledgerline-{label}-{uuid.uuid4().hex}")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Delete the folders that ``written`` made in this application and return
+    their number. Results that were not stored elsewhere can't be read any more,
+    so call it when the last of them has been."""
+    paths, jvm = _WRITTEN.pop(spark.sparkContext.applicationId, []), spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def held_out(id_col: str, mod: int, rest: int) -> Column:
     """True for rows whose crc32(id as text) mod ``mod`` equals ``rest``."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == rest, F.lit(False))

@@ -16,7 +16,7 @@
    piece's place in the item lays it around the window.
 5. A candidate is a leak if the longest common subsequence of words holds
    ``LCS`` of the item, or ``LCS_WITH_ANSWER`` of it and ``ANSWER`` of the item's
-   answer (its last sentence, or its last quarter), and the words in common
+   answer (its last sentence, or its last quarter) while the words in common
    carry ``RARE`` of the item's IDF weight.
 
 The items are taken in blocks of at most ``ITEMS`` rows, so that what is sent to
@@ -36,6 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.llm import textstats
@@ -48,7 +49,8 @@ COSINE, MASS = 0.4, 0.35
 WORDS_AT_ONCE = 200_000
 LCS, LCS_WITH_ANSWER, ANSWER, RARE = 0.8, 0.6, 0.8, 0.6
 ITEMS = 2_000
-TERM_BLOCK, SALTS = 64, 8
+TERM_BLOCK, FAN_IN = 64, 64
+CELLS_AT_ONCE = 8_192
 EDGES = re.compile(r"[\W_]+")
 
 
@@ -157,11 +159,11 @@ def _frequencies(n_terms: int):
 def _back_and_forth(shared):
     """Sums of A'(AQ) over a task's passages, by blocks of terms."""
     def run(batches):
-        table, idf, salt = _weighted(shared.value), shared.value["idf"], 0
+        table, idf = _weighted(shared.value), shared.value["idf"]
+        task = TaskContext.get().partitionId()
         out = np.zeros_like(table[:-1])
         for b in _some(batches):
             w = Words(b)
-            salt = int(b.column("doc_id")[0].as_py() or 0) % SALTS
             y = w.passage_sums(table)
             order = np.argsort(w.term, kind="stable")
             rows, own = y[w.passage[order]], w.term[order]
@@ -172,14 +174,14 @@ def _back_and_forth(shared):
             part = out[k:k + TERM_BLOCK]
             if part.any():
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([k], pa.int32()), "salt": pa.array([salt], pa.int32()),
+                    "block": pa.array([k], pa.int32()), "part": pa.array([task], pa.int32()),
                     "sums": pa.array([part.astype(np.float32).tobytes()], pa.binary())})
     return run
 
 
 def _add_up(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(s, np.float32).astype(np.float64) for s in pdf["sums"])
-    return pd.DataFrame({"block": [key[0]], "sums": [total.astype(np.float32).tobytes()]})
+    return pd.DataFrame({"block": [key[0]], "part": [key[1]], "sums": [total.astype(np.float32).tobytes()]})
 
 
 def latent_basis(places: DataFrame, items: list[np.ndarray], n_terms: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,17 +194,20 @@ def latent_basis(places: DataFrame, items: list[np.ndarray], n_terms: int) -> tu
             passages = r["df"]
         else:
             df[r.term] = r["df"]
-    # squared, so that a window's direction is that of its rare words
-    idf = (np.log1p((1 + passages) / (1 + df)) ** 2).astype(np.float32)
+    idf = np.log1p((1 + passages) / (1 + df)).astype(np.float32)
     # the items are passages too; each weighs as much as the corpus passages do per item
     weight = max(1.0, passages / max(1, len(items)))
     rank = min(RANK + OVERSAMPLE, n_terms)
     basis, _ = np.linalg.qr(np.random.default_rng(5).standard_normal((n_terms, rank)))
     for _ in range(ROUNDS):
         shared = places.sparkSession.sparkContext.broadcast({"idf": idf, "basis": basis.astype(np.float32)})
-        sums = places.mapInArrow(_back_and_forth(shared), "block int, salt int, sums binary")
-        sums = sums.groupBy("block", "salt").applyInPandas(_add_up, "block int, sums binary")
-        sums = sums.groupBy("block").applyInPandas(_add_up, "block int, sums binary")
+        sums = places.mapInArrow(_back_and_forth(shared), "block int, part int, sums binary")
+        # a tree: a group adds up FAN_IN parts of a block at most, however many tasks there were
+        parts = places.rdd.getNumPartitions()
+        while parts > 1:
+            parts = -(-parts // FAN_IN)
+            sums = sums.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("block", "part").applyInPandas(
+                _add_up, "block int, part int, sums binary")
         product = np.zeros((n_terms, rank))
         for r in sums.collect():  # n_terms x rank numbers in all
             part = np.frombuffer(r.sums, np.float32).reshape(-1, rank)
@@ -272,7 +277,7 @@ def _search(shared):
             own, n_own = np.unique(items[k], return_counts=True)
             there = (terms[a:b][:, None] == own).sum(0)
             rare = float((m["idf"][own] * np.minimum(n_own, there)).sum()) / totals[k]
-            if rare < RARE or share < LCS and answer < ANSWER:
+            if share < LCS and (answer < ANSWER or rare < RARE):
                 return None
             return share, answer, max(0, lo), hi
 
@@ -289,9 +294,11 @@ def _search(shared):
                 use = use[norm[use] >= MASS * length.min()]
                 for first in range(0, len(pieces), ITEMS):
                     some = slice(first, first + ITEMS)
-                    product = z[use] @ latent[some].T
-                    at, p = np.nonzero((product >= COSINE * norm[use, None]) & (product >= MASS * length[some]))
-                    hits += zip((product[at, p] / norm[use[at]]).tolist(), use[at].tolist(), (first + p).tolist(), [width] * len(at))
+                    for c in range(0, len(use), CELLS_AT_ONCE):
+                        own = use[c:c + CELLS_AT_ONCE]
+                        product = z[own] @ latent[some].T
+                        at, p = np.nonzero((product >= COSINE * norm[own, None]) & (product >= MASS * length[some]))
+                        hits += zip((product[at, p] / norm[own[at]]).tolist(), own[at].tolist(), (first + p).tolist(), [width] * len(at))
             best = {}
             for cosine, c, p, width in sorted(hits, reverse=True):
                 d, k = int(w.doc_of[c]), pieces[p][0]
@@ -344,5 +351,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def remove_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that hold no leak; rows with a null id stay."""
-    found = leaks.select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(found, docs[id_col].cast("long") == found["__leaked"], "left_anti")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no name of the input can clash
+    found = leaks.select(F.col("doc_id").alias("leaked")).distinct()
+    return rows.join(found, rows[docs.columns.index(id_col)].cast("long") == found["leaked"], "left_anti").toDF(*docs.columns)

@@ -144,9 +144,10 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Trees over at most SAMPLE_ROWS labelled rows (0 or 1, non-null)."""
+    """Trees over at most SAMPLE_ROWS labelled rows (0 or 1, non-null); repeated
+    label rows count once, an id with both labels is an example of each."""
     marked = bounded_sample(labels.filter(F.col(label_col).isin(0, 1)).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")), "doc_id", SAMPLE_ROWS)
+        F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).distinct(), "doc_id", SAMPLE_ROWS)
     rows = document_statistics(  # SAMPLE_ROWS ids at most: the bounded side is the broadcast one
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         .join(F.broadcast(marked.select("doc_id")), "doc_id", "left_semi"))

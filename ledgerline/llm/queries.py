@@ -171,6 +171,30 @@ k AS (SELECT node, min(m) AS class_id FROM r GROUP BY node),
 l AS (SELECT a, count(*) AS links FROM e GROUP BY a)
 SELECT w.doc_id, coalesce(k.class_id, w.doc_id) AS class_id, coalesce(c.copies, 1) AS n_copies, coalesce(l.links, 0) AS n_links
 FROM w LEFT JOIN k ON k.node = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN l ON l.a = w.doc_id"""
+    # equal stretches of three words, q apart, at neighbouring places make a run
+    ORACLE_SQL["op13_periodic_runs"] = r"""
+WITH c AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(doc_id::VARCHAR) + 1),
+      lambda k: ord(substr(doc_id::VARCHAR, k, 1))::BIGINT)), lambda x, b: list_reduce(
+        list_concat([xor(x, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))),
+      4294967295::BIGINT) AS h FROM documents),
+a AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS tail, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM c),
+t AS (SELECT doc_id, n, unnest(w) AS w, unnest(range(n)) AS i FROM (SELECT doc_id, n, CASE WHEN tail THEN list_transform(range(n),
+    lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM a)),
+s AS (SELECT doc_id, n, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS three FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+p AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM s AS x JOIN s AS y ON x.doc_id = y.doc_id AND x.three = y.three
+      AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+k AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM p),
+m AS (SELECT doc_id, min(i) AS start, count(*) + 2 + q AS length, q FROM k GROUP BY doc_id, q, island
+      HAVING count(*) + 2 + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM m GROUP BY doc_id, start, length),
+d AS (SELECT doc_id, count(*) AS n_runs, arg_min({'s': start, 'l': length, 'p': period}, (-length, start, period)) AS best,
+      string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+x AS (SELECT DISTINCT t.doc_id, t.i FROM t JOIN r ON r.doc_id = t.doc_id AND t.i >= r.start + r.period AND t.i < r.start + r.length),
+l AS (SELECT t.doc_id, string_agg(t.w, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN x ON x.doc_id = t.doc_id AND x.i = t.i GROUP BY t.doc_id)
+SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+  1000 * best.l // best.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM c LEFT JOIN d ON d.doc_id = c.doc_id LEFT JOIN l ON l.doc_id = c.doc_id"""
     from ledgerline.llm.license_scan import op2_oracle
     from ledgerline.llm.quality_rules import op8_oracle
     from ledgerline.llm.url_filter import op12_oracle

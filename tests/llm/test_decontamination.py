@@ -121,3 +121,37 @@ def test_pieces_cover_the_items():
         assert whole == (0, len(t)) and bool(parts) == (len(t) > 48)
         assert [x for a, z in parts for x in t[a:z]] == (list(t) if parts else [])
         assert all(z - a <= D.PIECE for a, z in parts)
+
+
+def test_items_whose_rare_words_are_replaced_are_found(spark):
+    """The rarest 15 % of an item's words are others, the rest stands as it was."""
+    rng = random.Random(21)
+    items = [(i, " ".join(words(rng, rng.randint(20, 59)))) for i in range(40)]
+    noise = [(100 + d, " ".join(words(rng, 300))) for d in range(200)]
+    counts: dict = {}
+    for _, t in noise:
+        for w in set(t.split()):
+            counts[w] = counts.get(w, 0) + 1
+    docs = list(noise)
+    for i, t in items:
+        own = t.split()
+        rare = set(sorted(range(len(own)), key=lambda k: counts.get(own[k], 0))[:int(0.15 * len(own))])
+        body = words(rng, 120)
+        body[60:60] = [f"other{i}x{k}" if k in rare else w for k, w in enumerate(own)]
+        docs.append((i, " ".join(body)))
+    got = {(r.doc_id, r.item_id) for r in D.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(got & {(i, i) for i in range(40)}) >= 36 and not {d for d, _ in got} - set(range(40))
+
+
+def test_partial_sums_are_added_up_in_a_tree(spark, monkeypatch):
+    rng = random.Random(22)
+    items = [(i, " ".join(words(rng, 30))) for i in range(10)]
+    docs = [(d, " ".join(words(rng, 100) + (items[d % 10][1].split() if d % 9 == 0 else []))) for d in range(90)]
+    args = spark.createDataFrame(docs, "doc_id long, text string").repartition(9), spark.createDataFrame(items, "item_id long, text string")
+    want = {(r.doc_id, r.item_id) for r in D.find_leaks(*args).collect()}
+    monkeypatch.setattr(D, "FAN_IN", 2)
+    monkeypatch.setattr(D, "CELLS_AT_ONCE", 3)
+    assert {(r.doc_id, r.item_id) for r in D.find_leaks(*args).collect()} == want >= {(d, d % 10) for d in range(0, 90, 9)}
+    clash = args[0].withColumnRenamed("text", "leaked")
+    assert D.remove_leaks(clash, D.find_leaks(*args)).columns == ["doc_id", "leaked"]

@@ -6,7 +6,8 @@ from helpers import digest
 SF01 = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["op2_license_scan", "op4_jaccard_join", "op7_chat_format", "op8_quality_rules", "op12_url_filter"])
+@pytest.mark.parametrize("name", ["op2_license_scan", "op4_jaccard_join", "op7_chat_format", "op8_quality_rules", "op12_url_filter",
+                                  "op13_periodic_runs"])
 def test_query_equals_sql(spark, duck, name):
     from ledgerline.llm.queries import ORACLE_SQL, QUERIES
 
