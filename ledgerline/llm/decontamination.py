@@ -269,16 +269,21 @@ def _search(shared):
             span = len(items[k]) // 2
             lo, hi = lo - start, hi + len(items[k]) - end  # from the piece to the whole item
             a, b = np.searchsorted(places, (lo - span, hi + span))
-            tokens = terms[a:b].tolist()
-            share = lcs_length(masks[k], len(items[k]), tokens) / len(items[k])
+            tokens, own = terms[a:b].tolist(), masks[k]
+            # no subsequence is longer than the words that the item holds at all
+            if sum(t in own for t in tokens) < LCS_WITH_ANSWER * len(items[k]):
+                return None
+            share = lcs_length(own, len(items[k]), tokens) / len(items[k])
             if share < LCS_WITH_ANSWER:
                 return None
             answer = lcs_length(answer_masks[k], len(answers[k]), tokens) / len(answers[k])
-            own, n_own = np.unique(items[k], return_counts=True)
-            there = (terms[a:b][:, None] == own).sum(0)
-            rare = float((m["idf"][own] * np.minimum(n_own, there)).sum()) / totals[k]
-            if share < LCS and (answer < ANSWER or rare < RARE):
-                return None
+            if share < LCS:
+                if answer < ANSWER:
+                    return None
+                kinds, n_own = np.unique(items[k], return_counts=True)
+                there = (terms[a:b][:, None] == kinds).sum(0)
+                if float((m["idf"][kinds] * np.minimum(n_own, there)).sum()) < RARE * totals[k]:
+                    return None
             return share, answer, max(0, lo), hi
 
         for b in _some(batches):
