@@ -45,7 +45,7 @@ from ledgerline.llm.common import bounded_sample, written
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3_000, 6_000
 CANDIDATES = 2_000      # words with the highest ties of their own; landmarks are chosen among them
-MIN_TIE = 10.0          # likelihood ratio that ties a landmark to toxic documents
+MIN_TIE = 17.0          # likelihood ratio that ties a landmark to toxic documents
 ALIKE = 0.15            # kernel value from which a word is like a landmark
 COVER = 3               # landmarks after which a toxic document is covered
 CLEAN_LANDMARKS, HARD_LANDMARKS = 32, 1  # frequent clean words; clean words next to each toxic landmark
