@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.schema import schema_of
-from ledgerline.session import ship_package
+from ledgerline.session import bound_arrow_batches, ship_package
 
 
 def transform(
@@ -53,6 +53,7 @@ def transform(
             yield res
 
     ship_package(df.sparkSession)
+    bound_arrow_batches(df.sparkSession)
     return df.mapInPandas(run, out_schema)
 
 
@@ -88,6 +89,7 @@ def keyed_transform(
             yield batch.select(names)
 
     ship_package(df.sparkSession)
+    bound_arrow_batches(df.sparkSession)
     if order_by:  # the grouping needs this partitioning and order too, and adds none of its own
         df = df.repartition(*keys).sortWithinPartitions(*keys, *order_by)
     return df.groupBy(*keys).applyInArrow(run, out_schema)
