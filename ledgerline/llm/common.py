@@ -8,7 +8,14 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.session import runs_in_one_process, ship_package
+from ledgerline import session
+from ledgerline.session import runs_in_one_process
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors and bound what their Python workers get at once."""
+    session.ship_package(spark)
+    session.bound_arrow_batches(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
