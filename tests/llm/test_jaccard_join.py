@@ -129,3 +129,34 @@ def test_components(spark):
     linked = {n for e in edges for n in e if e[0] != e[1]}
     got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert len(got) == len(linked) and {r.node: r.component for r in got} == {n: label[n] for n in linked}
+
+
+def test_tasks_of_components_go_with_the_edges(spark, monkeypatch):
+    """Rounds over a few edges take few tasks, however many partitions the
+    session shuffles into, and no round only confirms the one before it."""
+    edges = [(10 * k + i, 10 * k + i + 1) for k in range(30) for i in range(6)]
+    held = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("components", "")
+        frame = spark.createDataFrame(edges, "u long, v long").coalesce(1)
+        got = connected_components(frame).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.component for r in got} == {10 * k + i: 10 * k for k in range(30) for i in range(7)}
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)) and i.numCompletedTasks)
+    assert tasks < 4500, tasks
+
+
+def test_components_of_stars_and_of_nothing(spark):
+    star = spark.createDataFrame([(9, 1), (1, 8), (7, 1), (7, 1)], "u long, v long")
+    assert {(r.node, r.component) for r in connected_components(star).collect()} == {(n, 1) for n in (1, 7, 8, 9)}
+    for edges in ([], [(3, 3)]):
+        assert connected_components(spark.createDataFrame(edges, "u long, v long")).count() == 0
