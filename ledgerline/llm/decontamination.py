@@ -107,6 +107,7 @@ class Words:
         self.place, self.term = (b.column(c).flatten().to_numpy() for c in ("place", "term"))
         per_doc = pc.list_value_length(b.column("place")).to_numpy(zero_copy_only=False)
         self.bounds = np.concatenate([[0], np.cumsum(per_doc)])
+        self.at = None
         doc = np.repeat(np.arange(b.num_rows), per_doc)
         cells = np.maximum(1, -(-b.column("n_words").to_numpy() // STEP))
         self.first = np.concatenate([[0], np.cumsum(cells)])
@@ -120,6 +121,12 @@ class Words:
         self.passage_of = passages[self.doc_of] + self.nth // per
         self.passage = self.passage_of[self.cell]
 
+    def tokens_before(self, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Index of the first shared word of a document at or after a place."""
+        if self.at is None:  # documents ascend, and places do in each
+            self.at = np.repeat(np.arange(len(self.bounds) - 1) << 32, np.diff(self.bounds)) + self.place
+        return np.searchsorted(self.at, (doc << 32) + np.clip(place, 0, (1 << 32) - 1))
+
     def cell_sums(self, table: np.ndarray) -> np.ndarray:
         """Sum of the terms' rows by cell; the table's last row is of zeros."""
         at = np.full((len(self.doc_of), STEP), len(table) - 1, np.int32)
@@ -252,6 +259,31 @@ def pieces_of(items: list[np.ndarray]) -> list[tuple[int, int, int]]:
     return out
 
 
+class Kinds:
+    """The distinct terms of each item and how often the item holds them."""
+
+    def __init__(self, items: list[np.ndarray], n_terms: int):
+        self.n_terms = n_terms
+        pairs = np.concatenate([t.astype(np.int64) + k * n_terms for k, t in enumerate(items)])
+        self.pair, self.count = np.unique(pairs, return_counts=True)
+
+    def shared(self, terms: np.ndarray, a: np.ndarray, z: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Size of the multiset intersection of terms[a:z] and the item, for each
+        of many stretches; about WORDS_AT_ONCE words are looked up at once."""
+        out = np.zeros(len(a), np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(z - a) // WORDS_AT_ONCE)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(a)]):
+            n = (z - a)[lo:hi]
+            nth = np.repeat(np.arange(hi - lo), n)
+            at = np.arange(len(nth)) - np.repeat(np.cumsum(n) - n - a[lo:hi], n)
+            pair = item[lo:hi][nth] * self.n_terms + terms[at]
+            kind = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+            known = self.pair[kind] == pair
+            both, times = np.unique(nth[known] * len(self.pair) + kind[known], return_counts=True)
+            out[lo:hi] = np.bincount(both // len(self.pair), np.minimum(times, self.count[both % len(self.pair)]), hi - lo)
+        return out
+
+
 def _search(shared):
     def run(batches):
         m = shared.value
@@ -263,28 +295,23 @@ def _search(shared):
         latent /= length[:, None]
         masks, answer_masks = [_bits(t) for t in items], [_bits(t) for t in answers]
         totals = [float(m["idf"][t].sum()) for t in items]
+        kinds = Kinds(items, len(table))
+        item_of, start, end = (np.array(x) for x in zip(*pieces))
+        size = np.array([len(t) for t in items])
 
-        def verify(terms, places, lo, hi, p):
-            k, start, end = pieces[p]
-            span = len(items[k]) // 2
-            lo, hi = lo - start, hi + len(items[k]) - end  # from the piece to the whole item
-            a, b = np.searchsorted(places, (lo - span, hi + span))
-            tokens, own = terms[a:b].tolist(), masks[k]
-            # no subsequence is longer than the words that the item holds at all
-            if sum(t in own for t in tokens) < LCS_WITH_ANSWER * len(items[k]):
-                return None
-            share = lcs_length(own, len(items[k]), tokens) / len(items[k])
+        def verify(terms, k):
+            share = lcs_length(masks[k], len(items[k]), tokens := terms.tolist()) / len(items[k])
             if share < LCS_WITH_ANSWER:
                 return None
             answer = lcs_length(answer_masks[k], len(answers[k]), tokens) / len(answers[k])
             if share < LCS:
                 if answer < ANSWER:
                     return None
-                kinds, n_own = np.unique(items[k], return_counts=True)
-                there = (terms[a:b][:, None] == kinds).sum(0)
-                if float((m["idf"][kinds] * np.minimum(n_own, there)).sum()) < RARE * totals[k]:
+                own, n_own = np.unique(items[k], return_counts=True)
+                there = (terms[:, None] == own).sum(0)
+                if float((m["idf"][own] * np.minimum(n_own, there)).sum()) < RARE * totals[k]:
                     return None
-            return share, answer, max(0, lo), hi
+            return share, answer
 
         for b in _some(batches):
             w = Words(b)
@@ -298,22 +325,31 @@ def _search(shared):
                 # a product with a unit vector is at most the norm: nothing is lost here
                 use = use[norm[use] >= MASS * length.min()]
                 for first in range(0, len(pieces), ITEMS):
-                    some = slice(first, first + ITEMS)
+                    least = MASS * length[first:first + ITEMS]
                     for c in range(0, len(use), CELLS_AT_ONCE):
                         own = use[c:c + CELLS_AT_ONCE]
-                        product = z[own] @ latent[some].T
-                        at, p = np.nonzero((product >= COSINE * norm[own, None]) & (product >= MASS * length[some]))
-                        hits += zip((product[at, p] / norm[own[at]]).tolist(), own[at].tolist(), (first + p).tolist(), [width] * len(at))
+                        product = z[own] @ latent[first:first + ITEMS].T
+                        at, p = np.divmod(np.flatnonzero(product >= least), len(least))
+                        value, at = product[at, p], own[at]
+                        close = value >= COSINE * norm[at]
+                        hits.append((value[close] / norm[at[close]], at[close], first + p[close], np.full(close.sum(), width)))
+            cosine, c, p, width = (np.concatenate(x) for x in zip(*hits)) if hits else np.zeros((4, 0), np.int64)
+            # each window and the words around it that the rest of the item may cover
+            k, d, span = item_of[p], w.doc_of[c], size[item_of[p]] // 2
+            lo = w.nth[c] * STEP - start[p]
+            hi = (w.nth[c] + width) * STEP + size[k] - end[p]
+            a, z = (w.tokens_before(d, at) for at in (lo - span, hi + span))
+            # no subsequence is longer than the words that the item and the stretch share
+            hopeful = np.flatnonzero(kinds.shared(w.term, a, z, k) >= LCS_WITH_ANSWER * size[k])
+            order = hopeful[np.lexsort((width[hopeful], p[hopeful], c[hopeful], cosine[hopeful]))[::-1]]
             best = {}
-            for cosine, c, p, width in sorted(hits, reverse=True):
-                d, k = int(w.doc_of[c]), pieces[p][0]
-                if best.get((d, k), (0,))[0] == 1.0:
+            for i, key in zip(order.tolist(), zip(d[order].tolist(), k[order].tolist())):
+                if best.get(key, (0,))[0] == 1.0:
                     continue
-                a, z = w.bounds[d], w.bounds[d + 1]
-                lo = int(w.nth[c]) * STEP
-                got = verify(w.term[a:z], w.place[a:z], lo, lo + width * STEP, p)
-                if got and got > best.get((d, k), (0,)):
-                    best[d, k] = (*got, cosine)
+                if found := verify(w.term[a[i]:z[i]], key[1]):
+                    got = *found, max(0, int(lo[i])), int(hi[i])
+                    if got > best.get(key, (0,)):
+                        best[key] = (*got, float(cosine[i]))
             ids = b.column("doc_id").to_pylist()
             rows = [(ids[d], m["ids"][k], c, s, a, lo, hi) for (d, k), (s, a, lo, hi, c) in sorted(best.items())]
             yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((

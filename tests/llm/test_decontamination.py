@@ -1,5 +1,9 @@
 import random
+from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import decontamination as D
@@ -155,3 +159,34 @@ def test_partial_sums_are_added_up_in_a_tree(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in D.find_leaks(*args).collect()} == want >= {(d, d % 10) for d in range(0, 90, 9)}
     clash = args[0].withColumnRenamed("text", "leaked")
     assert D.remove_leaks(clash, D.find_leaks(*args)).columns == ["doc_id", "leaked"]
+
+
+def test_subsequences_are_sought_only_where_enough_words_are_shared(monkeypatch):
+    """One frequent word of an item, many times over, is no reason to verify."""
+    item = "the a0 the a1 the a2 the a3 a4 a5 a6 a7 a8 a9 a10 a11".split()
+    vocabulary = {w: k for k, w in enumerate(sorted(set(item)))}
+    terms = np.array([vocabulary[w] for w in item], np.int32)
+    texts = [" ".join(["the"] * 40 + ["a0", "a1", "a2", "a3"] + ["the"] * 40), "x " * 30 + " ".join(item) + " y" * 30, None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3], pa.int64()), "text": pa.array(texts)})
+    calls = []
+    lcs = D.lcs_length
+    monkeypatch.setattr(D, "lcs_length", lambda *a: calls.append(a[1]) or lcs(*a))
+    shared = SimpleNamespace(value={
+        "idf": np.ones(len(vocabulary), np.float32), "basis": np.eye(len(vocabulary), dtype=np.float32),
+        "items": [terms], "answers": [terms[-4:]], "ids": [7]})
+    got = [r for b in D._search(shared)(D._places(vocabulary)([batch])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["item_id"], r["lcs_share"]) for r in got] == [(2, 7, 1.0)]
+    assert len(calls) == 2  # of document 2, its item and the answer; of document 1, none
+
+
+def test_shared_words_are_counted_as_often_as_both_hold_them(monkeypatch):
+    monkeypatch.setattr(D, "WORDS_AT_ONCE", 50)
+    rng = np.random.default_rng(8)
+    items = [rng.integers(0, 12, n).astype(np.int32) for n in (5, 30, 1)]
+    terms = rng.integers(0, 15, 300).astype(np.int32)
+    a = rng.integers(0, 300, 200)
+    z = np.minimum(300, a + rng.integers(0, 60, 200))
+    item = rng.integers(0, 3, 200)
+    want = [(Counter(terms[x:y].tolist()) & Counter(items[k].tolist())).total() for x, y, k in zip(a, z, item)]
+    assert D.Kinds(items, 15).shared(terms, a, z, item).tolist() == want
+    assert D.Kinds(items, 15).shared(terms, a[:0], z[:0], item[:0]).tolist() == []
